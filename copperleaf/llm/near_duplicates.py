@@ -4,11 +4,13 @@
    its entry, and an empty bin copies one by optimal densification (its own sequence of
    probes). Bands of entries are bucket keys. Texts with equal sets form a class; only the
    class's smallest id goes on.
-2. In every bucket each member is paired with the smallest id: a star, so pairs grow with
-   the members and not with their square. Pairs are confirmed on the full sets.
+2. In every bucket each member is paired with the one that has most bucket mates over all
+   its buckets: a star, so pairs grow with the members and not with their square. (An
+   original shares more buckets with its edited copies than they do among themselves.)
+   Pairs are confirmed on the full sets.
 3. Components are taken from the confirmed links. Where members of one bucket still lie in
-   different components, their pairs across components are checked too, after a bound on
-   sizes and on a sketch of the entries; so no link that shares a bucket is lost. (A link at
+   different components, their pairs across components are checked too, after bounds by
+   their sizes and sketches; so no link that shares a bucket is lost. (A link at
    the threshold shares no bucket with a chance under 1e-7; ``bands_for`` sees to that.)
 
 Texts stream past their centre's sets sorted by centre; a centre with many members is
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from copperleaf.llm.common import WordTable, chunks, documents, narrow, written
@@ -37,6 +39,10 @@ MISS = 1e-7
 #: Members that one salt of a centre takes.
 SALT_MEMBERS = 500
 SKETCH = 128
+#: Columns: an odd sketch of 512 bits, then one bit of each of the first 128 entries.
+SKETCHES = [f"odd{i}" for i in range(8)] + ["least0", "least1"]
+#: Sets of this size fill the bins, so that the entries' bits are independent.
+LARGE = 1500
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,8 +107,16 @@ def signatures(sets: list[np.ndarray], bins: int) -> np.ndarray:
     return out
 
 
+def odd_sketches(sets: list[np.ndarray]) -> np.ndarray:
+    """512 bits a set (8 longs); each shingle flips one. Two sets differ in at least as many shingles as their sketches in bits."""
+    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    spot = (mix(np.concatenate(sets) + np.uint64(1)) & np.uint64(511)).astype(np.int64)
+    flips = np.bincount(np.repeat(np.arange(len(sets)), size) * 512 + spot, minlength=512 * len(sets)).reshape(-1, 512)
+    return np.packbits((flips & 1).astype(np.uint8), axis=1).view(np.int64)
+
+
 def signed(docs: DataFrame, k: int, percent: int, rows: int = ROWS) -> DataFrame:
-    """id, n_shingles, set_hash (binary; null for an empty set), bands array<long>, sketch (two longs) of each row."""
+    """id, n_shingles, set_hash (binary; null for an empty set), bands array<long> and the sketches of each row."""
     bands = bands_for(percent, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,15 +129,16 @@ def signed(docs: DataFrame, k: int, percent: int, rows: int = ROWS) -> DataFrame
             keys = np.zeros((len(sets), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
             for r in range(rows):
                 keys = mix(keys * P + sig[:, r : bands * rows : rows])
-            bits = np.packbits((mix(sig[:, :SKETCH]) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+            least = np.packbits((mix(sig[:, :SKETCH]) & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
+            sketch = np.concatenate([odd_sketches(sets), least], axis=1)
             hashes = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1, dtype=np.int32) * bands), pa.array(keys.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(hashes, pa.binary()), lists, pa.array(bits[:, 0]), pa.array(bits[:, 1])],
-                ["id", "n_shingles", "set_hash", "bands", "sketch0", "sketch1"],
+                [batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(hashes, pa.binary()), lists, *map(pa.array, sketch.T)],
+                ["id", "n_shingles", "set_hash", "bands", *SKETCHES],
             )
 
-    return narrow(docs).mapInArrow(run, "id long, n_shingles long, set_hash binary, bands array<long>, sketch0 long, sketch1 long")
+    return narrow(docs).mapInArrow(run, f"id long, n_shingles long, set_hash binary, bands array<long>, {', '.join(f'{c} long' for c in SKETCHES)}")
 
 
 def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -184,42 +199,57 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     """doc_id, n_shingles, component_id and kept of each row of docs."""
     every = written(signed(docs, k, percent, rows))
     classes = written(
-        every.filter("set_hash is not null and id is not null").groupBy("set_hash").agg(F.min(F.struct("id", "n_shingles", "bands", "sketch0", "sketch1")).alias("r")).select("set_hash", "r.*")
+        every.filter("set_hash is not null and id is not null").groupBy("set_hash").agg(F.min(F.struct("id", "n_shingles", "bands", *SKETCHES)).alias("r")).select("set_hash", "r.*")
     )
-    keyed = classes.select(F.explode("bands").alias("band"), "id", "n_shingles", "sketch0", "sketch1")
-    stars = keyed.groupBy("band").agg(F.min("id").alias("centre"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    members = written(keyed.join(stars, "band"))
-    size_fits = lambda x, y: (100 * F.least(x, y) >= percent * F.greatest(x, y))
-    centre_sizes = members.filter("id = centre").select("band", F.col("n_shingles").alias("c_size"), F.col("sketch0").alias("c0"), F.col("sketch1").alias("c1"))
-    limit = sketch_limit(percent)
-    apart = lambda a0, a1, b0, b1: F.bit_count(F.col(a0).bitwiseXOR(F.col(b0))) + F.bit_count(F.col(a1).bitwiseXOR(F.col(b1)))
+    keyed = classes.select(F.explode("bands").alias("band"), "id")
+    shared = keyed.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
+    placed = written(keyed.join(shared, "band"))
+    degree = placed.groupBy("id").agg(F.sum("n").alias("degree"))
+    best = placed.select("band", "id").join(degree, "id").groupBy("band").agg(F.max(F.struct("degree", (-F.col("id")).alias("minus"))).alias("m"))
+    stars = placed.select("band", "id").join(best.select("band", (-F.col("m.minus")).alias("centre")), "band").filter("id <> centre")
+    tried = written(stars.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"), "centre").distinct())
+    own = classes.select("id", "n_shingles", *SKETCHES)
+    there = own.select(*[F.col(c).alias(f"{c}_") for c in own.columns])
     pairs = written(
-        members.filter("id <> centre").join(centre_sizes, "band")
-        .filter(size_fits(F.col("n_shingles"), F.col("c_size")) & (apart("sketch0", "sketch1", "c0", "c1") <= limit))
-        .select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
+        tried.select(F.col("centre").alias("id_"), F.when(F.col("a") == F.col("centre"), F.col("b")).otherwise(F.col("a")).alias("id"))
+        .join(own, "id").join(there, "id_").filter(may_link(percent)).select(F.col("id_").alias("a"), F.col("id").alias("b"))
     )
     links = written(confirmed(docs, pairs, k, percent))
     found = written(components(links))
     # members of one bucket in different components: their pairs across components
-    placed = members.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
-    rest = written(placed.join(open_, "band").select("band", "id", "n_shingles", "sketch0", "sketch1", "component"))
-    other = rest.select("band", *[F.col(c).alias(f"{c}_") for c in ("id", "n_shingles", "sketch0", "sketch1", "component")])
+    now = placed.select("band", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_ = now.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("band")
+    rest = written(now.join(open_, "band").join(own, "id"))
+    other = rest.select("band", *[F.col(c).alias(f"{c}_") for c in (*own.columns, "component")])
     across = (
-        rest.join(other, "band")
-        .filter((F.col("component") < F.col("component_")) & size_fits(F.col("n_shingles"), F.col("n_shingles_")) & (apart("sketch0", "sketch1", "sketch0_", "sketch1_") <= limit))
-        .select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
+        rest.join(other, "band").filter((F.col("component") < F.col("component_")) & may_link(percent))
+        .select(F.least("id", "id_").alias("a"), F.greatest("id", "id_").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     )
     across = written(across)
     if across.take(1):
         links = links.unionByName(written(confirmed(docs, across, k, percent)))
         found = written(components(links))
     of_class = classes.select("set_hash", "id").join(found, "id", "left").select("set_hash", F.coalesce("component", "id").alias("component"))
-    own = every.select("id", "n_shingles", "set_hash").join(of_class, "set_hash", "left")
-    ids = own.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    placed_all = every.select("id", "n_shingles", "set_hash").join(of_class, "set_hash", "left")
+    ids = placed_all.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
     return ids.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def may_link(percent: int) -> Column:
+    """Whether a row's two sets (columns, and the same with _ at the end) may reach the threshold.
+
+    By their sizes, and by the odd sketches, no link is lost; by the bits of entries of large
+    sets, one with a chance under 1e-7.
+    """
+    n, m = F.col("n_shingles"), F.col("n_shingles_")
+    apart = lambda cs: sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_"))) for c in cs), F.lit(0))
+    return (
+        (100 * F.least(n, m) >= percent * F.greatest(n, m))
+        & (apart(SKETCHES[:8]) * (100 + percent) <= (n + m) * (100 - percent))
+        & ((F.least(n, m) < LARGE) | (apart(SKETCHES[8:]) <= sketch_limit(percent)))
+    )
+
+
 def sketch_limit(percent: int) -> int:
     """Differing sketch bits that a pair at the threshold exceeds with a chance under 1e-7 (one bit differs with chance (1 - J) / 2)."""
     p = (1 - percent / 100) / 2

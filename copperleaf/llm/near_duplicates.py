@@ -38,6 +38,8 @@ ROWS = 5
 MISS = 1e-7
 #: Members that one salt of a centre takes.
 SALT_MEMBERS = 500
+#: Rows (under 32 bytes each) up to which candidates are broadcast to their texts; beyond, the texts are shuffled.
+BROADCAST_ROLES = 500_000
 SKETCH = 128
 #: Columns: an odd sketch of 512 bits, then one bit of each of the first 128 entries.
 SKETCHES = [f"odd{i}" for i in range(8)] + ["least0", "least1"]
@@ -146,7 +148,9 @@ def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFr
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_MEMBERS).cast("int").alias("salts"))
     members = pairs.join(sizes, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"))
     centres = sizes.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"))
-    rows = narrow(docs).join(members.unionByName(centres), "id").select("a", "salt", "role", "id", "text")
+    roles = written(members.unionByName(centres))
+    roles = F.broadcast(roles) if roles.count() <= BROADCAST_ROLES else roles
+    rows = narrow(docs).join(roles, "id").select("a", "salt", "role", "id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(word_hashes)

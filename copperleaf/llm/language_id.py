@@ -134,7 +134,7 @@ def fit(docs: DataFrame, learn, sample: int = SAMPLE, text_col: str = "text", la
         return Trees({})
     share = F.element_at(F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, sample / n)]), F.col("lang"))
     drawn = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003 < share)
-    grams = drawn.mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    grams = drawn.mapInArrow(_grams, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     return Trees({lang: (g["gram"].to_numpy(np.int64), g["n"].to_numpy(np.float64)) for lang, g in grams.groupby("lang")})
 
 

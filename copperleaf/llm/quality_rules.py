@@ -17,6 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from copperleaf.llm.common import documents, narrow, written
 
@@ -116,11 +117,10 @@ def keep_good(docs: DataFrame, host_col: str = "source", max_rate: float = MAX_R
     bad = host_verdicts(stats, max_rate).filter("rejected").select(F.col("host").alias("_host"))
     few = len(bad.take(BROADCAST_HOSTS + 1)) <= BROADCAST_HOSTS
     names = [F.col(f"`{c}`") for c in docs.columns]
-    good = docs.filter(_passes(F.col("text")))
+    good = docs.filter(F.pandas_udf(_passes, BooleanType())(F.col("text")))
     return good.join(F.broadcast(bad) if few else bad, F.col(host_col).cast("string") == F.col("_host"), "left_anti").select(*names)
 
 
-@F.pandas_udf("boolean")
 def _passes(texts: pd.Series) -> pd.Series:
     def good(t: str | None) -> bool:
         n, _, _, _, repeats = text_stats(t.encode() if t else None)

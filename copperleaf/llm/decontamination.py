@@ -105,7 +105,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
     """A row for each document and item that it leaks: doc_id, item_id, n_windows (of the item, found), coverage, consistency, exact."""
     spark = docs.sparkSession
     items = written(template_windows(narrow(benchmark, "item_id")).withColumnsRenamed({"id": "item_id", "pos": "item_pos", "slots": "item_slots"}))
-    spots = items.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("s")).distinct().toPandas()["s"].to_numpy(np.int64)  # at most 2 ** FILTER_BITS
+    spots = items.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("s")).distinct().toArrow()  # at most 2 ** FILTER_BITS
+    spots = np.asarray(spots["s"], np.int64)
     bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
     np.bitwise_or.at(bits, spots >> 3, (1 << (spots & 7)).astype(np.uint8))
     found = template_windows(narrow(docs), spark.sparkContext.broadcast(bits))  # 2 MB

@@ -73,7 +73,8 @@ def shingle_sets(raw: list[bytes | None], k: int, table: WordTable) -> list[np.n
         return [np.zeros(0, np.uint64)] * len(raw)
     rolled = values.copy()
     for j in range(1, k):
-        rolled[: len(values) - j] = rolled[: len(values) - j] * P + values[j:]
+        n = max(0, len(values) - j)
+        rolled[:n] = rolled[:n] * P + values[j:]
     rolled = mix(rolled)
     out = []
     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):

@@ -135,7 +135,7 @@ SCORED = "id long, lang string, trusted boolean, n_bytes long, bits double"
 def _near(rows: DataFrame, lengths: DataFrame) -> DataFrame:
     """Bits of each document by a broadcast table."""
     table = lengths.toArrow()
-    shared = rows.sparkSession.sparkContext.broadcast((table["g"].to_numpy(np.int64), table["bits"].to_numpy(np.float32)))
+    shared = rows.sparkSession.sparkContext.broadcast((np.asarray(table["g"], np.int64), np.asarray(table["bits"], np.float32)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = Hashed(*shared.value)

@@ -79,7 +79,8 @@ def test_field_finds_unlisted_forms():
     secret = lambda: "".join(rng.choice(list("0123456789abcdef"), 20))
     texts = [f"the quick brown fox number {k} password={secret()} jumps over dogs" for k in range(120)] + [f"plain words {k} without anything" for k in range(120)]
     field = secret_scan.train(texts)
-    text = f"the quick brown fox password {secret()} jumps"
+    text = f"the quick brown fox passcode={secret()} jumps"
+    assert secret_scan.base_spans(text) == []
     assert secret_scan.tagged(field, [text, "plain words"], WordTable(field.fill)) == {0: [(29, 49)]}
 
 

@@ -13,18 +13,18 @@ CATEGORY_COLUMNS = {
     "CAR_EXPENSE": "car", "PERSONAL_TRANSFER": "personal_transfer", "OTHER": "other",
 }
 UNKNOWN_MERCHANT = "未知商户"
-T = F.col("tx_time")
+T = "tx_time"
 
 
-def month(t: Column = T) -> Column:
+def month(t: Column | str = T) -> Column:
     return F.date_format(t, "yyyy-MM")
 
 
-def week(t: Column = T) -> Column:
+def week(t: Column | str = T) -> Column:
     return F.concat(F.extract(F.lit("YEAROFWEEK"), t).cast("string"), F.lit("-W"), F.lpad(F.weekofyear(t).cast("string"), 2, "0"))
 
 
-def day(t: Column = T) -> Column:
+def day(t: Column | str = T) -> Column:
     return F.to_date(t)
 
 
@@ -110,7 +110,7 @@ def in_period(tx: DataFrame, kind: str, value: str) -> DataFrame:
         year, number = value.split("-W")
         low = F.date_add(F.trunc(F.make_date(F.lit(int(year)), F.lit(1), F.lit(4)), "week"), 7 * (int(number) - 1))
         high = F.date_add(low, 7)
-    return tx.filter((T >= low.cast("timestamp_ntz")) & (T < high.cast("timestamp_ntz")))
+    return tx.filter((F.col(T) >= low.cast("timestamp_ntz")) & (F.col(T) < high.cast("timestamp_ntz")))
 
 
 def fallback_summary(tx: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into numpy arrays at a time.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Words that a task remembers before it starts anew.
 MEMO_WORDS = 400_000
 

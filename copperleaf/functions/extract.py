@@ -159,15 +159,26 @@ def payment_channel(body: Column) -> Column:
     return filled(body, first_label(body, CHANNELS, F.lit("DIRECT")))
 
 
-def tx_time(body: Column, received: Column, zone: str = ZONE) -> Column:
-    """Stamp at the end, else day and time in the body on the local month of receipt, else receipt; instants as UTC wall time."""
+def _times(body: Column, received: Column, zone: str) -> tuple[Column, Column]:
+    """The stamp at the end, and day and time in the body on the local month of receipt; each null where absent or no real time."""
     stamp = F.try_to_timestamp(F.regexp_replace(_group(body, r"SubId[：:]\s*[0-9]+?(\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2})"), r"\s+", " "), F.lit("yyyy-MM-dd HH:mm:ss"))
     day = r"(\d{1,2})日(\d{1,2}):(\d{2})"
     part = lambda k: F.regexp_extract(body, day, k)
     local = F.from_utc_timestamp(received, zone)
     text = F.concat_ws("", F.date_format(local, "yyyy-MM-"), F.lpad(part(1), 2, "0"), F.lit(" "), F.lpad(part(2), 2, "0"), F.lit(":"), part(3))
     inside = F.when(part(1) != "", F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")))
-    return F.coalesce(F.to_utc_timestamp(stamp, zone), F.to_utc_timestamp(inside, zone), received)
+    return F.to_utc_timestamp(stamp, zone), F.to_utc_timestamp(inside, zone)
+
+
+def tx_time(body: Column, received: Column, zone: str = ZONE) -> Column:
+    """The stamp, else the time in the body, else receipt; instants as UTC wall time."""
+    return F.coalesce(*_times(body, received, zone), received)
+
+
+def time_source(body: Column, received: Column, zone: str = ZONE) -> Column:
+    """Where ``tx_time`` comes from: stamp, body or received."""
+    stamp, inside = _times(body, received, zone)
+    return F.when(stamp.isNotNull(), "stamp").when(inside.isNotNull(), "body").otherwise("received")
 
 
 def counterparty(body: Column) -> Column:
@@ -188,9 +199,14 @@ def cleaned_merchant(party: Column, aliases: dict[str, str] | None = None) -> Co
     return F.coalesce(F.try_element_at(names, raw), F.try_element_at(names, cut), F.nullif(cut, F.lit("")), party)
 
 
-def category(body: Column) -> Column:
+def personal_transfer(body: Column) -> Column:
+    """Whether the merchant label names what looks like a person; False for a null body."""
     person = _group(body, PERSON)
-    rest = F.when(person.isNotNull() & ~has(person, NOT_A_PERSON), "PERSONAL_TRANSFER").otherwise("OTHER")
+    return F.coalesce(person.isNotNull() & ~has(person, NOT_A_PERSON), F.lit(False))
+
+
+def category(body: Column) -> Column:
+    rest = F.when(personal_transfer(body), "PERSONAL_TRANSFER").otherwise("OTHER")
     return filled(body, first_label(body, CATEGORIES, rest))
 
 

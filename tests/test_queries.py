@@ -5,7 +5,7 @@ import decimal
 import duckdb
 import pytest
 
-from copperleaf import registry
+from copperleaf import registry_tables as registry
 
 D = "/root/testdata/sf0.001"
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into numpy arrays at a time.
 CHUNK_BYTES = 1 << 20
+#: Bytes of a batch that Spark hands to Python (its own default is 64 MB, of which JVM and Python each hold several).
+BATCH_BYTES = 4 << 20
 #: Words that a task remembers before it starts anew.
 MEMO_WORDS = 400_000
 
@@ -38,8 +40,17 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches by ``BATCH_BYTES``; a smaller bound of its own stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.conf.get(key).rstrip("b")
+    if not own.isdigit() or int(own) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def narrow(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
-    """Only the named columns, under the names id, text and their own."""
+    """Only the named columns, under the names id, text and their own; Python gets them in small batches."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *more)
 
 

@@ -3,9 +3,13 @@
 Words of benchmark items and documents are canonicalised: numbers, units and names (capital
 words that don't begin a sentence) become typed placeholders, other words lower case
 without outer punctuation. Windows of ``WINDOW`` template words are hashed and joined. A
-document leaks an item when it holds a sufficient share of the item's windows and the
-placeholders' values map one to one, so that "5 apples ... 5" may become "7 apples ... 7"
-but not "7 apples ... 3". Windows with few plain words are left out.
+document leaks an item when one occurrence in it holds a sufficient share of the item's
+windows and the placeholders' values map one to one there, so that "5 apples ... 5" may
+become "7 apples ... 7" but not "7 apples ... 3". Windows with few plain words are left out.
+
+An occurrence is what lies on one diagonal (place in the document less place in the item);
+as a name may have more words than the one it replaces, diagonals within ``DRIFT`` of each
+other are tried together too. The best occurrence is reported.
 
 The documents' windows are first probed against a fixed-size table of bits, so that only
 windows that may be in the benchmark are joined. Null or empty texts and texts shorter
@@ -20,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from copperleaf.llm.common import WordTable, chunks, documents, narrow, written
@@ -31,8 +35,13 @@ WINDOW = 8
 PLAIN = 4
 #: Share of an item's windows, and of its slots' values that map one to one.
 COVERAGE, CONSISTENT = 0.25, 0.8
+#: Words by which one name may be longer or shorter than the name in its place.
+DRIFT = 3
 FILTER_BITS = 24
 
+#: What a document's text and an item's text are told by.
+PAIR = ("doc_id", "doc_key", "item_id", "item_key")
+
 # Words that count as units of measure.
 UNITS = frozenset(
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds lb lbs ton tons ml l litre litres "
@@ -80,50 +89,68 @@ def windows(raw: list[bytes | None], table: WordTable) -> tuple[np.ndarray, np.n
 
 
 def _rows(ids: pa.Array, raw: list, table: WordTable, bits: np.ndarray | None) -> pa.RecordBatch:
+    import xxhash
+
     owner, pos, h, values, at = windows(raw, table)
+    of = np.bincount(owner, minlength=len(raw))[owner]
     if bits is not None:
         spot = h >> np.uint64(64 - FILTER_BITS)
         hit = np.flatnonzero(bits[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8) & 1)
-        owner, pos, h = owner[hit], pos[hit], h[hit]
+        owner, pos, h, of = owner[hit], pos[hit], h[hit], of[hit]
     each = values[(at[owner] + pos)[:, None] + np.arange(WINDOW)].view(np.int64) if len(owner) else np.zeros((0, WINDOW), np.int64)
     lists = pa.ListArray.from_arrays(pa.array(np.arange(len(owner) + 1, dtype=np.int32) * WINDOW), pa.array(each.ravel()))
-    return pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array(pos, pa.int32()), pa.array(h.view(np.int64)), lists], ["id", "pos", "hash", "slots"])
+    texts, back = np.unique(owner, return_inverse=True)
+    keys = np.array([xxhash.xxh3_64_intdigest(raw[i]) for i in texts], np.uint64).view(np.int64)[back]
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array(keys), pa.array(of), pa.array(pos, pa.int32()), pa.array(h.view(np.int64)), lists], ["id", "key", "of", "pos", "hash", "slots"])
 
 
 def template_windows(rows: DataFrame, bits=None) -> DataFrame:
-    """id, pos, hash, slots (the value of each word that is a placeholder, else 0) of the windows of ``rows`` (id, text) that ``bits`` lets through."""
+    """id, key (hash of the text), of (windows of the text), pos, hash, slots (the value of each word that is a placeholder, else 0) of the windows of ``rows`` (id, text) that ``bits`` lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(canonical)
         for batch, raw in chunks(batches):
             yield _rows(batch.column("id"), raw, table, None if bits is None else bits.value)
 
-    return rows.mapInArrow(run, "id long, pos int, hash long, slots array<long>")
+    return rows.mapInArrow(run, "id long, key long, of long, pos int, hash long, slots array<long>")
+
+
+def occurrences(hits: DataFrame) -> DataFrame:
+    """``hits`` with a row for each occurrence that they may belong to: ``kind`` and its number ``part``."""
+    by = [*PAIR, "diagonal"]
+    hits = hits.withColumn("diagonal", F.col("pos") - F.col("item_pos"))
+    far = F.col("diagonal") - F.lag("diagonal").over(Window.partitionBy(*PAIR).orderBy("diagonal")) > DRIFT
+    hits = hits.withColumn("far", far.cast("int")).withColumn("cluster", F.sum(F.coalesce("far", F.lit(0))).over(Window.partitionBy(*PAIR).orderBy("diagonal")))
+    kinds = {"diagonal": F.col("diagonal"), "cluster": F.col("cluster")}
+    return hits.withColumn("o", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), n.cast("long").alias("part")) for k, n in kinds.items()]))).select("*", "o.*")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistent: float = CONSISTENT) -> DataFrame:
-    """A row for each document and item that it leaks: doc_id, item_id, n_windows (of the item, found), coverage, consistency, exact."""
+    """A row for each document and item that it leaks, of the best occurrence: doc_id, item_id, n_windows (of the item, found), coverage, consistency, exact."""
     spark = docs.sparkSession
-    items = written(template_windows(narrow(benchmark, "item_id")).withColumnsRenamed({"id": "item_id", "pos": "item_pos", "slots": "item_slots"}))
+    items = written(template_windows(narrow(benchmark, "item_id")).withColumnsRenamed({"id": "item_id", "key": "item_key", "pos": "item_pos", "slots": "item_slots"}))
     spots = items.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("s")).distinct().toArrow()  # at most 2 ** FILTER_BITS
     spots = np.asarray(spots["s"], np.int64)
     bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
     np.bitwise_or.at(bits, spots >> 3, (1 << (spots & 7)).astype(np.uint8))
-    found = template_windows(narrow(docs), spark.sparkContext.broadcast(bits))  # 2 MB
-    hits = written(found.join(items, "hash").select(F.col("id").alias("doc_id"), "item_id", "pos", "item_pos", "slots", "item_slots"))
-    pairs = hits.select("doc_id", "item_id", F.explode(F.arrays_zip("item_slots", "slots")).alias("p")).filter("p.item_slots <> 0").groupBy("doc_id", "item_id", F.col("p.item_slots").alias("was"), F.col("p.slots").alias("now")).agg(F.count("*").alias("n"))
-    slots = (
-        pairs.groupBy("doc_id", "item_id", "was").agg(F.max("n").alias("best"), F.sum("n").alias("n"), F.sum(F.when(F.col("was") == F.col("now"), F.col("n")).otherwise(0)).alias("same"))
-        .groupBy("doc_id", "item_id").agg((F.sum("best") / F.sum("n")).alias("consistency"), (F.sum("same") == F.sum("n")).alias("exact"))
+    found = template_windows(narrow(docs), spark.sparkContext.broadcast(bits)).drop("of").withColumnsRenamed({"id": "doc_id", "key": "doc_key"})  # 2 MB
+    hits = occurrences(written(found.join(items.distinct(), "hash").drop("hash").distinct()))
+    one = [*PAIR, "kind", "part"]
+    seen = hits.groupBy(*one).agg(F.count_distinct("item_pos").alias("n_windows"), F.first("of").alias("of"))
+    pairs = hits.select(*one, F.explode(F.arrays_zip("item_slots", "slots")).alias("p")).filter("p.item_slots <> 0").groupBy(*one, F.col("p.item_slots").alias("was"), F.col("p.slots").alias("now")).agg(F.count("*").alias("n"))
+    held = lambda side: pairs.groupBy(*one, side).agg(F.max("n").alias("best"), F.sum("n").alias("n"), F.sum(F.when(F.col("was") == F.col("now"), F.col("n")).otherwise(0)).alias("same") if side == "was" else F.lit(0).alias("same"))
+    slots = held("was").select(*one, F.lit(1).alias("side"), "best", "n", "same").unionByName(held("now").select(*one, F.lit(2).alias("side"), "best", "n", "same")).groupBy(*one).agg(
+        F.least(*[F.sum(F.when(F.col("side") == k, F.col("best"))) / F.sum(F.when(F.col("side") == k, F.col("n"))) for k in (1, 2)]).alias("consistency"),
+        (F.sum("same") == F.sum(F.when(F.col("side") == 1, F.col("n")))).alias("exact"),
     )
-    total = items.groupBy("item_id").agg(F.count_distinct("item_pos").alias("of"))
-    seen = hits.groupBy("doc_id", "item_id").agg(F.count_distinct("item_pos").alias("n_windows"))
-    return (
-        seen.join(total, "item_id").withColumn("coverage", F.round(F.col("n_windows") / F.col("of"), 6)).filter(F.col("coverage") >= coverage)
-        .join(slots.withColumnsRenamed({"doc_id": "d", "item_id": "i"}), F.col("d").eqNullSafe(F.col("doc_id")) & F.col("i").eqNullSafe(F.col("item_id")), "left")
-        .select("doc_id", "item_id", "n_windows", "coverage", F.round(F.coalesce("consistency", F.lit(1.0)), 6).alias("consistency"), F.coalesce("exact", F.lit(True)).alias("exact"))
-        .filter(F.col("consistency") >= consistent)
+    both = seen.withColumn("consistency", F.lit(None).cast("double")).withColumn("exact", F.lit(None).cast("boolean")).unionByName(slots, allowMissingColumns=True)
+    rated = both.groupBy(*one).agg(*[F.max(c).alias(c) for c in ("n_windows", "of", "consistency", "exact")]).select(
+        "doc_id", "item_id", "n_windows", F.round(F.col("n_windows") / F.col("of"), 6).alias("coverage"),
+        F.round(F.coalesce("consistency", F.lit(1.0)), 6).alias("consistency"), F.coalesce("exact", F.lit(True)).alias("exact"),
     )
+    good = rated.filter((F.col("coverage") >= coverage) & (F.col("consistency") >= consistent))
+    best = good.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "exact", "consistency", "n_windows")).alias("b"))
+    return best.select("doc_id", "item_id", "b.n_windows", "b.coverage", "b.consistency", "b.exact")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -241,6 +241,22 @@ def test_decontamination(spark, docs, empty):
     assert dc.clean(df, bench).count() + len(got) == 5 and dc.clean(docs, bench).columns == docs.columns
 
 
+def test_decontamination_takes_each_occurrence_alone(spark):
+    item = "Tom buys 5 apples and 7 pears at the old market then sells 6 apples to the baker for 20 euros"
+    again = "In box 3 she put 4 apples at the old market. In box 5 she put 6 apples at the old market."
+    bench = spark.createDataFrame([(1, item), (2, again)], "item_id long, text string")
+    change = lambda *v: item.replace("5", v[0]).replace("7", v[1]).replace("6", v[2]).replace("20", v[3])
+    two = item + ". " + change("11", "12", "13", "14")
+    many = ". ".join(change(*[f"{k}{j}" for j in "1234"]) for k in range(31, 39))
+    named = "The boys met and Maria Del Carmen buys 5 apples and 7 pears at the old market then Maria Del Carmen sells 6 apples to the baker for 20 euros"
+    mixed = "so " + change("9", "9", "9", "9")  # four values become one
+    df = spark.createDataFrame([(1, two), (2, many), (3, "see: " + again), (4, named), (5, mixed)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in dc.leaks(df, bench).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 2), (4, 1)}
+    assert got[1, 1].exact and got[1, 1].coverage == got[1, 1].consistency == 1.0 and got[3, 2].exact and not got[2, 1].exact
+    assert [r.doc_id for r in dc.clean(df, bench).collect()] == [5]
+
+
 def test_quality_model_paths_agree(spark, docs, empty):
     good = spark.createDataFrame([(9,), (10,), (11,)], "id long")
     near = {r.doc_id: r.perplexity for r in quality_model.quality_model(docs, good).collect()}

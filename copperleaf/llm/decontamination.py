@@ -9,7 +9,9 @@ become "7 apples ... 7" but not "7 apples ... 3". Windows with few plain words a
 
 An occurrence is what lies on one diagonal (place in the document less place in the item);
 as a name may have more words than the one it replaces, diagonals within ``DRIFT`` of each
-other are tried together too. The best occurrence is reported.
+other are tried together too. The best occurrence is reported. Whatever share of the item
+it is, a passage of ``RUN`` words in a row is a leak too, if the placeholders' values map
+one to one in it, or if a part of it of that length repeats the values themselves.
 
 The documents' windows are first probed against a fixed-size table of bits, so that only
 windows that may be in the benchmark are joined. Null or empty texts and texts shorter
@@ -37,6 +39,8 @@ PLAIN = 4
 COVERAGE, CONSISTENT = 0.25, 0.8
 #: Words by which one name may be longer or shorter than the name in its place.
 DRIFT = 3
+#: Words in a row that are a leak whatever share of the item they are.
+RUN = 13
 FILTER_BITS = 24
 
 #: What a document's text and an item's text are told by.
@@ -116,16 +120,23 @@ def template_windows(rows: DataFrame, bits=None) -> DataFrame:
 
 
 def occurrences(hits: DataFrame) -> DataFrame:
-    """``hits`` with a row for each occurrence that they may belong to: ``kind`` and its number ``part``."""
-    by = [*PAIR, "diagonal"]
+    """``hits`` with a row for each occurrence that they may belong to: ``kind``, its diagonal ``line`` (0 for several) and its number ``part`` there."""
     hits = hits.withColumn("diagonal", F.col("pos") - F.col("item_pos"))
     far = F.col("diagonal") - F.lag("diagonal").over(Window.partitionBy(*PAIR).orderBy("diagonal")) > DRIFT
     hits = hits.withColumn("far", far.cast("int")).withColumn("cluster", F.sum(F.coalesce("far", F.lit(0))).over(Window.partitionBy(*PAIR).orderBy("diagonal")))
-    kinds = {"diagonal": F.col("diagonal"), "cluster": F.col("cluster")}
-    return hits.withColumn("o", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), n.cast("long").alias("part")) for k, n in kinds.items()]))).select("*", "o.*")
-
-
-def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistent: float = CONSISTENT) -> DataFrame:
+    # passages: windows that overlap or touch, and among them those that repeat the values too
+    hits = hits.withColumn("same", F.col("slots") == F.col("item_slots"))
+    for name, by in (("passage", [*PAIR, "diagonal"]), ("copied", [*PAIR, "diagonal", "same"])):
+        order = Window.partitionBy(*by).orderBy("item_pos")
+        hits = hits.withColumn("far", (F.col("item_pos") - F.lag("item_pos").over(order) > WINDOW).cast("int"))
+        hits = hits.withColumn("far", F.coalesce("far", F.lit(0))).withColumn(name, F.sum("far").over(order))
+    line, none = F.col("diagonal"), F.lit(0)
+    kinds = {"diagonal": (line, none), "cluster": (none, F.col("cluster")), "passage": (line, F.col("passage")), "copied": (line, F.when(F.col("same"), F.col("copied")))}
+    parts = [F.struct(F.lit(k).alias("kind"), at.cast("long").alias("line"), n.cast("long").alias("part")) for k, (at, n) in kinds.items()]
+    return hits.withColumn("o", F.explode(F.array(*parts))).select("*", "o.*").filter("part is not null")
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistent: float = CONSISTENT, run: int = RUN) -> DataFrame:
     """A row for each document and item that it leaks, of the best occurrence: doc_id, item_id, n_windows (of the item, found), coverage, consistency, exact."""
     spark = docs.sparkSession
     items = written(template_windows(narrow(benchmark, "item_id")).withColumnsRenamed({"id": "item_id", "key": "item_key", "pos": "item_pos", "slots": "item_slots"}))
@@ -135,8 +146,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
     np.bitwise_or.at(bits, spots >> 3, (1 << (spots & 7)).astype(np.uint8))
     found = template_windows(narrow(docs), spark.sparkContext.broadcast(bits)).drop("of").withColumnsRenamed({"id": "doc_id", "key": "doc_key"})  # 2 MB
     hits = occurrences(written(found.join(items.distinct(), "hash").drop("hash").distinct()))
-    one = [*PAIR, "kind", "part"]
-    seen = hits.groupBy(*one).agg(F.count_distinct("item_pos").alias("n_windows"), F.first("of").alias("of"))
+    one = [*PAIR, "kind", "line", "part"]
+    seen = hits.groupBy(*one).agg(F.count_distinct("item_pos").alias("n_windows"), F.first("of").alias("of"), (F.max("item_pos") - F.min("item_pos") + WINDOW).alias("n_words"))
     pairs = hits.select(*one, F.explode(F.arrays_zip("item_slots", "slots")).alias("p")).filter("p.item_slots <> 0").groupBy(*one, F.col("p.item_slots").alias("was"), F.col("p.slots").alias("now")).agg(F.count("*").alias("n"))
     held = lambda side: pairs.groupBy(*one, side).agg(F.max("n").alias("best"), F.sum("n").alias("n"), F.sum(F.when(F.col("was") == F.col("now"), F.col("n")).otherwise(0)).alias("same") if side == "was" else F.lit(0).alias("same"))
     slots = held("was").select(*one, F.lit(1).alias("side"), "best", "n", "same").unionByName(held("now").select(*one, F.lit(2).alias("side"), "best", "n", "same")).groupBy(*one).agg(
@@ -144,11 +155,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
         (F.sum("same") == F.sum(F.when(F.col("side") == 1, F.col("n")))).alias("exact"),
     )
     both = seen.withColumn("consistency", F.lit(None).cast("double")).withColumn("exact", F.lit(None).cast("boolean")).unionByName(slots, allowMissingColumns=True)
-    rated = both.groupBy(*one).agg(*[F.max(c).alias(c) for c in ("n_windows", "of", "consistency", "exact")]).select(
-        "doc_id", "item_id", "n_windows", F.round(F.col("n_windows") / F.col("of"), 6).alias("coverage"),
+    rated = both.groupBy(*one).agg(*[F.max(c).alias(c) for c in ("n_windows", "of", "n_words", "consistency", "exact")]).select(
+        "doc_id", "item_id", "kind", "n_words", "n_windows", F.round(F.col("n_windows") / F.col("of"), 6).alias("coverage"),
         F.round(F.coalesce("consistency", F.lit(1.0)), 6).alias("consistency"), F.coalesce("exact", F.lit(True)).alias("exact"),
     )
-    good = rated.filter((F.col("coverage") >= coverage) & (F.col("consistency") >= consistent))
+    enough = (F.col("coverage") >= coverage) | F.col("kind").isin("passage", "copied") & (F.col("n_words") >= run)
+    good = rated.filter(enough & (F.col("consistency") >= consistent))
     best = good.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "exact", "consistency", "n_windows")).alias("b"))
     return best.select("doc_id", "item_id", "b.n_windows", "b.coverage", "b.consistency", "b.exact")
 

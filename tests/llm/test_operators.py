@@ -257,6 +257,21 @@ def test_decontamination_takes_each_occurrence_alone(spark):
     assert [r.doc_id for r in dc.clean(df, bench).collect()] == [5]
 
 
+def test_decontamination_finds_passages_of_long_items(spark):
+    rng = np.random.default_rng(3)
+    speak = lambda n: ["".join(rng.choice(list("abcdefgh"), 6)) for _ in range(n)]
+    item = speak(200)
+    item[70:130:10] = [str(k) for k in range(41, 47)]
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    other = [str(int(w) * 7) if w.isdigit() else w for w in item]
+    crossed = [str(9 + i % 2) if w.isdigit() else w for i, w in enumerate(item)]
+    texts = [item[80:120], item[50:63], item[50:62], other[80:120], crossed[75:115], crossed[71:115] + item[115:119], [*item[62:91], *crossed[91:130]]]
+    df = spark.createDataFrame([(i, " ".join([*speak(20), *t, *speak(20)])) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in dc.leaks(df, bench).collect()}
+    assert set(got) == {0, 1, 3, 6} and got[0].coverage == pytest.approx(33 / 193, abs=1e-6) and got[0].exact and got[1].n_windows == 6 and not got[3].exact and got[6].exact
+    assert [r.doc_id for r in dc.clean(df, bench).orderBy("doc_id").collect()] == [2, 4, 5]
+
+
 def test_quality_model_paths_agree(spark, docs, empty):
     good = spark.createDataFrame([(9,), (10,), (11,)], "id long")
     near = {r.doc_id: r.perplexity for r in quality_model.quality_model(docs, good).collect()}

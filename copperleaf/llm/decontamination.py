@@ -14,9 +14,13 @@ it is, a passage of ``RUN`` words in a row is a leak too, if the placeholders' v
 one to one in it, or if a part of it of that length repeats the values themselves.
 
 The documents' windows are first probed against a fixed-size table of bits, so that only
-windows that may be in the benchmark are joined. Null or empty texts and texts shorter
-than a window hold no window; an item shorter than a window cannot be found. A null id
-is reported like any other. Repeated rows count as one document.
+windows that may be in the benchmark are joined.
+
+An item without any such window (it is short, or mostly numbers, names and units) is taken
+whole, at its own length: a document leaks it when it holds the same words in a row, case
+aside, or, where a short item has ``PLAIN`` plain words, the same template with values that
+map one to one. Such items' lengths are sent to the tasks. Null or empty texts hold nothing.
+A null id is reported like any other. Repeated rows count as one document.
 """
 
 from __future__ import annotations
@@ -46,6 +50,8 @@ FILTER_BITS = 24
 #: What a document's text and an item's text are told by.
 PAIR = ("doc_id", "doc_key", "item_id", "item_key")
 
+P_INVERSE = np.uint64(pow(int(P), -1, 1 << 64))
+
 # Words that count as units of measure.
 UNITS = frozenset(
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces pound pounds lb lbs ton tons ml l litre litres "
@@ -70,53 +76,139 @@ def canonical(words: list[bytes]) -> np.ndarray:
     return out
 
 
-def windows(raw: list[bytes | None], table: WordTable) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(text, position, hash) of each window with enough plain words; values of all words (0 for plain ones); and where each text's words begin."""
-    found, at = table.values([t.split() if t else [] for t in raw])
-    none = np.zeros(0, np.int64)
-    if found is None or len(found) < WINDOW:
-        return none, none, none.astype(np.uint64), none.astype(np.uint64), at
-    kind = (found[:, 2] & np.uint64(3)).astype(np.int64)
-    begins = np.ones(len(found), bool)
-    begins[1:] = found[:-1, 2] >= 4
-    begins[at[:-1][np.diff(at) > 0]] = True
-    slot = np.where((kind == 3) & begins, 0, kind)
-    word = np.where(slot > 0, slot.astype(np.uint64), found[:, 0])
-    n = len(found) - WINDOW + 1
-    h = np.zeros(n, np.uint64)
-    for j in range(WINDOW):
-        h = h * P + word[j : j + n]
-    plain = np.concatenate([[0], np.cumsum(slot == 0)])
-    owner = np.repeat(np.arange(len(raw)), np.diff(at))
-    ok = np.flatnonzero((owner[:n] == owner[WINDOW - 1 :]) & (plain[WINDOW:] - plain[:-WINDOW] >= PLAIN))
-    return owner[ok], ok - at[owner[ok]], mix(h[ok]), np.where(slot > 0, found[:, 1] | np.uint64(1), 0), at
-
-
-def _rows(ids: pa.Array, raw: list, table: WordTable, bits: np.ndarray | None) -> pa.RecordBatch:
+class Words:
+    """The words of texts, one after the other: text, low (hash as a plain word), word (hash as a template word), value (0 for plain ones); and where each text's begin."""
+
+    def __init__(self, raw: list[bytes | None], table: WordTable):
+        found, self.at = table.values([t.split() if t else [] for t in raw])
+        found = np.zeros((0, 3), np.uint64) if found is None else found
+        kind = (found[:, 2] & np.uint64(3)).astype(np.int64)
+        begins = np.ones(len(found), bool)
+        begins[1:] = found[:-1, 2] >= 4
+        begins[self.at[:-1][np.diff(self.at) > 0]] = True
+        slot = np.where((kind == 3) & begins, 0, kind)
+        self.low, self.capital = found[:, 0], kind == 3
+        self.word = np.where(slot > 0, slot.astype(np.uint64), found[:, 0])
+        self.value = np.where(slot > 0, found[:, 1] | np.uint64(1), np.uint64(0))
+        self.plain = np.concatenate([[0], np.cumsum(slot == 0)])
+        self.text = np.repeat(np.arange(len(raw)), np.diff(self.at))
+
+    def starts(self, length: int) -> np.ndarray:
+        """Where ``length`` words of one text begin."""
+        n = max(0, len(self.text) - length + 1)
+        return np.flatnonzero(self.text[:n] == self.text[length - 1 :][:n])
+
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where windows with enough plain words begin, and their hashes."""
+        n = max(0, len(self.word) - WINDOW + 1)
+        h = np.zeros(n, np.uint64)
+        for j in range(WINDOW):
+            h = h * P + self.word[j : j + n]
+        ok = self.starts(WINDOW)
+        ok = ok[self.plain[ok + WINDOW] - self.plain[ok] >= PLAIN]
+        return ok, mix(h[ok])
+
+    def hashed(self) -> None:
+        """Sums from which the hash of any run of words follows."""
+        n = len(self.low)
+        self.power, back = np.cumprod(np.full(n, P)), np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, P_INVERSE)]))[:n]
+        self.sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(w * back)]) for w in (self.low, self.word)]
+
+    def exact(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of ``length`` words from each of ``at`` on, case aside."""
+        h = (self.sums[0][at + length] - self.sums[0][at]) * self.power[at + length - 1]
+        return mix(h * P + np.uint64(length << 1))
+
+    def template(self, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the templates; the first word counts as a sentence's first."""
+        h = (self.sums[1][at + length] - self.sums[1][at + 1]) * self.power[at + length - 1]
+        h += np.where(self.capital[at], self.low[at], self.word[at]) * np.uint64(pow(int(P), length, 1 << 64))
+        return mix(h * P + np.uint64(length << 1 | 1))
+
+
+def _passes(h: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    spot = h >> np.uint64(64 - FILTER_BITS)
+    return np.flatnonzero(bits[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8) & 1)
+
+
+def _item_rows(w: Words) -> list[tuple]:
+    """(begins, hashes, words in each, whether slots count) of items' windows; of those without, whole ones, and the first windows of long ones as anchors (0 words)."""
+    at, h = w.windows()
+    out = [(at, h, WINDOW, True)]
+    size = np.diff(w.at)
+    bare = np.flatnonzero((size > 0) & (np.bincount(w.text[at], minlength=len(size)) == 0))
+    if len(bare):
+        w.hashed()
+    for length in np.unique(size[bare]).tolist():
+        begin = w.at[bare[size[bare] == length]]
+        out.append((begin, w.exact(begin, length), length, False))
+        if length >= WINDOW:
+            out.append((begin, w.exact(begin, WINDOW), 0, False))
+        else:
+            begin = begin[w.plain[begin + length] - w.plain[begin] >= PLAIN]
+            out.append((begin, w.template(begin, length), length, True))
+    return out
+
+
+def _document_rows(w: Words, bits: np.ndarray, lengths: list[int]) -> list[tuple]:
+    at, h = w.windows()
+    hit = _passes(h, bits)
+    out = [(at[hit], h[hit], WINDOW, True)]
+    if not lengths or not len(w.low):
+        return out
+    w.hashed()
+    anchors = None
+    for length in lengths:
+        if length < WINDOW:
+            at = w.starts(length)
+        else:
+            if anchors is None:
+                anchors = w.starts(WINDOW)
+                anchors = anchors[_passes(w.exact(anchors, WINDOW), bits)]
+            at = anchors[anchors + length <= w.at[w.text[anchors] + 1]]
+        for hashes, slots in ((w.exact, False), (w.template, True)):
+            if not slots or PLAIN <= length < WINDOW:
+                h = hashes(at, length)
+                hit = _passes(h, bits)
+                out.append((at[hit], h[hit], length, slots))
+    return out
+
+
+def _rows(ids: pa.Array, raw: list, table: WordTable, shared: tuple[np.ndarray, list[int]] | None) -> Iterator[pa.RecordBatch]:
     import xxhash
 
-    owner, pos, h, values, at = windows(raw, table)
-    of = np.bincount(owner, minlength=len(raw))[owner]
-    if bits is not None:
-        spot = h >> np.uint64(64 - FILTER_BITS)
-        hit = np.flatnonzero(bits[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8) & 1)
-        owner, pos, h, of = owner[hit], pos[hit], h[hit], of[hit]
-    each = values[(at[owner] + pos)[:, None] + np.arange(WINDOW)].view(np.int64) if len(owner) else np.zeros((0, WINDOW), np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(owner) + 1, dtype=np.int32) * WINDOW), pa.array(each.ravel()))
-    texts, back = np.unique(owner, return_inverse=True)
-    keys = np.array([xxhash.xxh3_64_intdigest(raw[i]) for i in texts], np.uint64).view(np.int64)[back]
-    return pa.RecordBatch.from_arrays([ids.take(pa.array(owner)), pa.array(keys), pa.array(of), pa.array(pos, pa.int32()), pa.array(h.view(np.int64)), lists], ["id", "key", "of", "pos", "hash", "slots"])
+    w = Words(raw, table)
+    n = np.bincount(w.text[w.windows()[0]], minlength=len(raw)) if shared is None else np.zeros(len(raw), np.int64)
+    for k, (at, h, length, slots) in enumerate(_item_rows(w) if shared is None else _document_rows(w, *shared)):
+        owner, whole = w.text[at], k > 0  # the first are windows
+        width = length if slots else 0
+        each = w.value[at[:, None] + np.arange(width)]
+        if whole and width:
+            each[w.capital[at], 0] = 0
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * width), pa.array(each.view(np.int64).ravel()))
+        texts, back = np.unique(owner, return_inverse=True)
+        keys = np.array([xxhash.xxh3_64_intdigest(raw[i]) for i in texts], np.uint64).view(np.int64)[back]
+        words = pa.array(np.full(len(at), length if whole else -1), pa.int32())
+        yield pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(owner)), pa.array(keys), pa.array(np.maximum(1, n[owner])), words, pa.array(at - w.at[owner], pa.int32()), pa.array(h.view(np.int64)), lists],
+            ["id", "key", "of", "words", "pos", "hash", "slots"],
+        )
+
 
+def template_windows(rows: DataFrame, shared=None) -> DataFrame:
+    """id, key (hash of the text), of (windows of the text), words, pos, hash, slots (the value of each word that is a placeholder, else 0) of the windows of ``rows`` (id, text).
 
-def template_windows(rows: DataFrame, bits=None) -> DataFrame:
-    """id, key (hash of the text), of (windows of the text), pos, hash, slots (the value of each word that is a placeholder, else 0) of the windows of ``rows`` (id, text) that ``bits`` lets through."""
+    ``words`` is -1 for windows; the words of a text taken whole; 0 for anchors, which mark
+    where a long one may begin. Without ``shared`` the rows are items; with it (table of
+    bits, lengths of whole items) they are documents, and only what the bits let through.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(canonical)
         for batch, raw in chunks(batches):
-            yield _rows(batch.column("id"), raw, table, None if bits is None else bits.value)
+            yield from _rows(batch.column("id"), raw, table, None if shared is None else shared.value)
 
-    return rows.mapInArrow(run, "id long, key long, of long, pos int, hash long, slots array<long>")
+    return rows.mapInArrow(run, "id long, key long, of long, words int, pos int, hash long, slots array<long>")
 
 
 def occurrences(hits: DataFrame) -> DataFrame:
@@ -144,8 +236,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
     spots = np.asarray(spots["s"], np.int64)
     bits = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
     np.bitwise_or.at(bits, spots >> 3, (1 << (spots & 7)).astype(np.uint8))
-    found = template_windows(narrow(docs), spark.sparkContext.broadcast(bits)).drop("of").withColumnsRenamed({"id": "doc_id", "key": "doc_key"})  # 2 MB
-    hits = occurrences(written(found.join(items.distinct(), "hash").drop("hash").distinct()))
+    lengths = [r.words for r in items.filter("words > 0").select("words").distinct().orderBy("words").collect()]
+    found = template_windows(narrow(docs), spark.sparkContext.broadcast((bits, lengths))).drop("of").withColumnsRenamed({"id": "doc_id", "key": "doc_key"})  # 2 MB
+    hits = occurrences(written(found.join(items.filter("words <> 0").distinct(), ["hash", "words"]).drop("hash", "words").distinct()))
     one = [*PAIR, "kind", "line", "part"]
     seen = hits.groupBy(*one).agg(F.count_distinct("item_pos").alias("n_windows"), F.first("of").alias("of"), (F.max("item_pos") - F.min("item_pos") + WINDOW).alias("n_words"))
     pairs = hits.select(*one, F.explode(F.arrays_zip("item_slots", "slots")).alias("p")).filter("p.item_slots <> 0").groupBy(*one, F.col("p.item_slots").alias("was"), F.col("p.slots").alias("now")).agg(F.count("*").alias("n"))

@@ -272,6 +272,21 @@ def test_decontamination_finds_passages_of_long_items(spark):
     assert [r.doc_id for r in dc.clean(df, bench).orderBy("doc_id").collect()] == [2, 4, 5]
 
 
+def test_decontamination_finds_items_without_windows(spark):
+    table = " ".join(f"{k} kg {k * k} cm" for k in range(11, 31))
+    items = ["What is the capital of France?", "12 + 30 = 42", "Who wrote Hamlet?", table, None, ""]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [
+        "They asked: What is the capital of France? Nobody knew.", "they asked what is the capital of france today", "so What is the capital of Spain", "what is the capital of trade",
+        "we know 12 + 30 = 42 by heart", "12 + 30 = 43", "Who wrote Hamlet?", "Who wrote Macbeth?", "rows " + table + " end", table.replace("400", "401"), None, "", "x " * 3 + table[:60],
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = dc.leaks(df, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(0, 0), (1, 0), (2, 0), (4, 1), (6, 2), (8, 3)} and len(rows) == 6
+    assert {r.doc_id for r in rows if not r.exact} == {2} and all(r.coverage == 1 for r in rows)
+    assert [r.doc_id for r in dc.clean(df, bench).orderBy("doc_id").collect()] == [3, 5, 7, 9, 10, 11, 12]
+
+
 def test_quality_model_paths_agree(spark, docs, empty):
     good = spark.createDataFrame([(9,), (10,), (11,)], "id long")
     near = {r.doc_id: r.perplexity for r in quality_model.quality_model(docs, good).collect()}

@@ -7,6 +7,10 @@ starts with its kind's, rises with a checksum and with a telling word close befo
 spans stay whatever their score; spans that the method adds (``iban``, and ``id`` for
 labelled identity numbers) need ``MIN_SCORE``.
 
+An IBAN's pattern finds only where one may begin. Of the 15 to 34 characters there, spaces
+aside, that end where a word ends, those of its country's length (of any length, the longest
+first, for a country not listed) are tried by mod-97, so what follows an IBAN is no part of it.
+
 The patterns take runs possessively and start only where a run starts or where the last
 match ended, so they run in linear time and constant stack on any text.
 
@@ -28,7 +32,7 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})",
     "id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 SCORES = {"email": 0.8, "ip": 0.5, "card": 0.4, "phone": 0.5, "iban": 0.4, "id": 0.3}
@@ -42,6 +46,16 @@ WORDS = {
     "iban": r"iban|account|bank|konto|compte|cuenta",
     "id": r"ssn|social|security|identity|passport",
 }
+#: Characters that an IBAN may take with a space after each but the last, and one more.
+MAX_IBAN = 34 + 33 + 1
+#: Characters of the countries' IBANs.
+IBAN_LENGTHS = {
+    int(n): countries.split()
+    for n, countries in (x.split(":") for x in (
+        "15:NO", "16:BE", "18:DK FI FK FO GL NL SD", "19:MK SI", "20:AT BA EE KZ LT LU MN XK", "21:CH HR LI LV", "22:BG BH CR DE GB GE IE ME RS VA", "23:AE GI IL IQ OM SO TL",
+        "24:AD CZ ES MD PK RO SA SE SK TN VG", "25:LY PT ST", "26:IS TR", "27:BI DJ FR GR IT MC MR SM", "28:AL AZ BY CY DO GT HU LB NI PL SV", "29:BR EG PS QA UA", "30:JO KW MU YE", "31:MT SC", "32:LC", "33:RU",
+    ))
+}
 #: Characters before a match in which a telling word counts.
 NEAR = 40
 
@@ -63,6 +77,18 @@ def mod97(iban: Column) -> Column:
     return F.aggregate(moved, F.lit(0), lambda a, x: F.when(x == "", a).otherwise((a * F.when(value(x) > 9, 100).otherwise(10) + value(x)) % 97)) == 1
 
 
+def iban_at(text: Column) -> Column:
+    """The IBAN with which a text begins, as it is written there; null where there is none."""
+    listed = [c for cs in IBAN_LENGTHS.values() for c in cs]
+    country = F.left(text, F.lit(2))
+    tried = []
+    for n in range(34, 14, -1):
+        fits = ~country.isin(listed)
+        fits = fits | country.isin(IBAN_LENGTHS[n]) if n in IBAN_LENGTHS else fits
+        tried.append(F.when(fits, F.regexp_extract(text, rf"^[A-Z0-9](?:\x20?[A-Z0-9]){{{n - 1}}}(?![A-Za-z0-9])", 0)).otherwise(""))
+    return F.get(F.filter(F.array(*tried), lambda x: (x != "") & mod97(F.replace(x, F.lit(" "), F.lit("")))), F.lit(0))
+
+
 def _holds(kind: str, x: Column) -> Column:
     n = F.length(_digits(x))
     if kind == "ip":
@@ -71,8 +97,6 @@ def _holds(kind: str, x: Column) -> Column:
         return n.between(14, 19) & luhn(_digits(x))
     if kind == "phone":
         return n.between(10, 15)
-    if kind == "iban":
-        return mod97(F.replace(x, F.lit(" "), F.lit("")))
     return F.lit(True)
 
 
@@ -89,6 +113,11 @@ def _spans(kind: str, number: int, text: Column) -> Column:
         score = SCORES[kind] + F.when(F.lit(kind in ("card", "iban")), CHECKSUM).otherwise(0.0) + F.when(near, CONTEXT).otherwise(0.0)
         span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), F.least(F.lit(1.0), score).alias("score"))
         good = F.coalesce(_holds(kind, match), F.lit(False)) & (F.lit(number < 4) | (score >= MIN_SCORE))
+        if kind == "iban":
+            whole = iban_at(F.substr(text, start + 1, F.lit(MAX_IBAN)))
+            span = F.struct(span["start"].alias("start"), span["kind"].alias("kind"), (start + F.length(whole)).alias("end"), span["score"].alias("score"))
+            free = F.coalesce(F.get(state["out"], F.size(state["out"]) - 1)["end"], F.lit(0)) <= start
+            good = free & whole.isNotNull() & (score >= MIN_SCORE)
         return F.struct(end.alias("at"), F.when(good, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
 
     matches = F.regexp_extract_all(text, pattern, F.lit(0))

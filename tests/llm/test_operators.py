@@ -105,6 +105,17 @@ def test_pii(docs, empty, spark):
     assert pii.redact(docs).columns == docs.columns and pii.find(empty).count() == 0
 
 
+def test_pii_takes_an_iban_without_what_follows(spark):
+    de, gb, no = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"
+    texts = {
+        f"iban {de} The rest": "iban <iban> The rest", f"iban {de} 2024-01-01": "iban <iban> 2024-01-01", f"iban {de} BIC DEUTDEFF": "iban <iban> BIC DEUTDEFF", f"iban {gb} A note": "iban <iban> A note",
+        f"{de} {gb} {no} {de}": "<iban> <iban> <iban> <iban>", f"NOTE AB12 3456 7890 1234 {de}": "NOTE AB12 3456 7890 1234 <iban>", f"{de}X": f"{de}X", f"x{de}": f"x{de}",
+        "DE88370400440532013000 The": "DE88370400440532013000 The",
+    }
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.text for r in pii.redact(df).orderBy("doc_id").collect()] == list(texts.values())
+
+
 def test_language(spark, docs, empty):
     rng = np.random.default_rng(0)
     speak = lambda letters: " ".join("".join(rng.choice(list(letters), 5)) for _ in range(30))

@@ -4,8 +4,9 @@ For each language a tree of byte contexts (up to ``ORDER`` bytes) holds frozen c
 A symbol's code length comes from the longest context in the language's tree: a seen
 symbol has its share of the context's count, an unseen one pays the escape (method C)
 and the next shorter context's code. The language with the shortest code of the whole
-text wins. All trees are laid out as one table, a row for every context that any of them
-holds and a column for every byte, so a text's code length is a sum of table look-ups.
+text wins. A tree is sorted tables of what the training texts hold: each seen context and
+byte with its code, each context with its escape. Look-ups are made once for each distinct
+window of a slice of texts.
 
 Null text, or text without any letter: ``und`` with score 0. Without training rows every
 text is ``und``. Repeated rows each get their own result.
@@ -25,8 +26,6 @@ from copperleaf.llm.common import chunks, documents, narrow, run_sums, starts
 ORDER = 3
 #: Training texts for each language, chosen by a hash of the text.
 SAMPLE = 400
-#: Contexts of three bytes in the table: the most frequent ones; the rest use two bytes.
-LONG_CONTEXTS = 12_000
 
 
 def crc_class(column: str, n: int):
@@ -48,82 +47,59 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _code(keys: np.ndarray, n: np.ndarray, shorter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts and, for each, the probabilities of all 256 bytes; ``shorter`` gives them of the next shorter contexts' rows."""
-    contexts, row = np.unique(keys >> 8, return_inverse=True)
-    counts = np.zeros((len(contexts), 256), np.float64)
-    np.add.at(counts, (row, keys & 255), n)
-    kinds = (counts > 0).sum(1, keepdims=True)
-    total = counts.sum(1, keepdims=True) + kinds
-    return contexts, np.where(counts > 0, counts / total, kinds / total * shorter)
+def _tree(key: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each order from 0 up: seen windows and their codes' bits, contexts and their escapes' bits."""
+    out = []
+    for order in range(ORDER + 1):
+        seen, back = np.unique(key & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+        count = np.bincount(back, n)
+        contexts, row = np.unique(seen >> 8, return_inverse=True)
+        kinds = np.bincount(row)
+        total = np.bincount(row, count) + kinds
+        out.append((seen, -np.log2(count / total[row]), contexts, -np.log2(kinds / total)))
+    return out
+
+
+def _find(table: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the wanted numbers stand in a sorted table, and whether they do."""
+    at = np.minimum(np.searchsorted(table, wanted), len(table) - 1)
+    return at, table[at] == wanted
 
 
 class Trees:
-    """langs, node (context of three bytes, by compact byte number -> row), bits (row, byte number, language)."""
+    """langs, and the tree of each."""
 
-    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]], long_contexts: int = LONG_CONTEXTS):
+    def __init__(self, grams: dict[str, tuple[np.ndarray, np.ndarray]]):
         self.langs = sorted(grams)
-        if not self.langs:
-            return
-        keys = np.concatenate([k for k, _ in grams.values()])
-        used = np.unique(np.concatenate([[0], keys & 255]))
-        width = len(used) + 1  # the last number stands for any other byte
-        self.number = np.full(256, width - 1, np.int64)
-        self.number[used] = np.arange(len(used))
-        n3 = np.concatenate([n for _, n in grams.values()])
-        three, back = np.unique(keys >> 8, return_inverse=True)
-        three = three[np.argsort(-np.bincount(back, n3), kind="stable")[:long_contexts]]
-        two = np.unique(keys >> 8 & 0xFFFF)
-        one = np.unique(keys >> 8 & 0xFF)
-        levels = [three, two, one, np.zeros(1, np.int64)]
-        first = np.cumsum([0, *map(len, levels)])
-        # the longest context in the table, for every three bytes
-        self.node = np.full((width, width, width), first[3], np.int32)
-        c = self.number
-        self.node[:, :, c[one]] = first[2] + np.arange(len(one), dtype=np.int32)
-        self.node[:, c[two >> 8], c[two & 255]] = first[1] + np.arange(len(two), dtype=np.int32)
-        self.node[c[three >> 16], c[three >> 8 & 255], c[three & 255]] = np.arange(len(three), dtype=np.int32)
-        self.node = self.node.ravel()
-        self.width = width
-        self.bits = np.empty((first[4], width, len(self.langs)), np.float32)
-        for j, lang in enumerate(self.langs):
-            key, n = grams[lang]
-            rows = [np.full((1, 256), 1 / 256)]
-            known = [np.zeros(1, np.int64)]
-            for order in range(ORDER + 1):
-                short = (key & ((1 << 8 * (order + 1)) - 1)).astype(np.int64)
-                short, back = np.unique(short, return_inverse=True)
-                count = np.bincount(back, n)
-                if order == 0:
-                    contexts, p = _code(short, count, rows[-1])
-                else:
-                    below = np.unique(short >> 8) & ((1 << 8 * (order - 1)) - 1)
-                    contexts, p = _code(short, count, rows[-1][np.searchsorted(known[-1], below)])
-                rows.append(p)
-                known.append(contexts)
-            for level, contexts in enumerate(levels):
-                order = ORDER - level
-                out = np.broadcast_to(rows[1], (len(contexts), 256)).copy()
-                for o in range(1, order + 1):  # the longest one of this language's own tree
-                    want = contexts & ((1 << 8 * o) - 1)
-                    at = np.minimum(np.searchsorted(known[o + 1], want), len(known[o + 1]) - 1)
-                    own = known[o + 1][at] == want
-                    out[own] = rows[o + 1][at[own]]
-                block = self.bits[first[level] : first[level + 1], :, j]
-                block[:, : width - 1] = -np.log2(out[:, used])
-                block[:, width - 1] = -np.log2(np.delete(out, used, 1).mean(1)) if width <= 256 else 16.0
+        self.trees = [_tree(*grams[lang]) for lang in self.langs]
+
+    def codes(self, windows: np.ndarray) -> np.ndarray:
+        """Bits of the last byte of each window (row) under each language (column)."""
+        bits = np.zeros((len(windows), len(self.langs)))
+        for j, tree in enumerate(self.trees):
+            todo = np.arange(len(windows))
+            for order in range(ORDER, -1, -1):
+                seen, code, contexts, escape = tree[order]
+                short = windows[todo] & ((1 << 8 * (order + 1)) - 1)
+                at, known = _find(seen, short)
+                bits[todo[known], j] += code[at[known]]
+                todo, short = todo[~known], short[~known]
+                at, known = _find(contexts, short >> 8)
+                bits[todo[known], j] += escape[at[known]]
+            bits[todo, j] += 8  # a byte that the tree has nowhere
+        return bits
 
     def lengths(self, raw: list[bytes]) -> np.ndarray:
         """Code length in bits of each text (row) under each language (column)."""
         at = starts(np.fromiter(map(len, raw), np.int64, len(raw)))
-        data = self.number[np.frombuffer(b"".join(b"\0\0\0" + t for t in raw), np.uint8)]
-        node = self.node[(data[:-3] * self.width + data[1:-2]) * self.width + data[2:-1]]
-        spot = node.astype(np.int64) * self.width + data[3:]
-        real = np.ones(len(spot) + 3, bool)
+        data = np.frombuffer(b"".join(b"\0\0\0" + t for t in raw), np.uint8).astype(np.int64)
+        real = np.ones(len(data), bool)
         heads = at[:-1] + 3 * np.arange(len(raw))
         for k in range(3):
             real[heads + k] = False
-        return run_sums(self.bits.reshape(-1, len(self.langs))[spot[real[3:]]], at)
+        windows = data[:-3] << 24 | data[1:-2] << 16 | data[2:-1] << 8 | data[3:]
+        windows, back = np.unique(windows[real[3:]], return_inverse=True)
+        return run_sums(self.codes(windows)[back], at)
 
 
 def fit(docs: DataFrame, learn, sample: int = SAMPLE, text_col: str = "text", lang_col: str = "lang") -> Trees:
@@ -140,7 +116,7 @@ def fit(docs: DataFrame, learn, sample: int = SAMPLE, text_col: str = "text", la
 
 def identify(docs: DataFrame, trees: Trees) -> DataFrame:
     """doc_id, lang_pred, score: the winner's share of 2 ** -bits, over at most 64 bytes' worth of evidence."""
-    shared = docs.sparkSession.sparkContext.broadcast(vars(trees))  # bounded by the sample and LONG_CONTEXTS
+    shared = docs.sparkSession.sparkContext.broadcast(vars(trees))  # bounded by the sample
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Trees({})

@@ -135,6 +135,14 @@ def test_code_lengths_by_hand():
     assert trees.lengths([b"a"])[0, 0] == pytest.approx(1.0)
 
 
+def test_rare_long_contexts_keep_their_codes():
+    many = np.array([(a << 16 | b << 8 | c) << 8 | 101 for a in range(1, 31) for b in range(1, 31) for c in range(1, 16)])  # 13,500 contexts
+    rare = int.from_bytes(b"xyzw")
+    trees = language_id.Trees({"big": (many, np.full(len(many), 5.0)), "small": (np.array([rare, rare - 1, int.from_bytes(b"ayzv")]), np.array([1.0, 3.0, 10.0]))})
+    # under "small", xyz saw v three times and w once: 1 / (4 + 2); x, y and z are nowhere and cost 8 bits each after the escape of order 0, 2 / (14 + 2)
+    assert trees.lengths([b"xyzw"])[0, 1] == pytest.approx(3 * (8 - np.log2(2 / 16)) - np.log2(1 / 6), rel=1e-6)
+
+
 def test_pieces_against_plain_viterbi_and_round_trip(docs, empty):
     p = sentence_pieces.Pieces(sentence_pieces.model_path())
     scores = {p.raw[i].decode(): s for i, s in zip(p.ids, p.scores, strict=True)}

@@ -25,12 +25,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder's path below spark.checkpoint.dir; only where that is unset, a local one."""
+    """A new folder's full address below spark.checkpoint.dir; where that is unset, a local one in local mode (as in tests) and an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = f"file://{tempfile.gettempdir()}/copperleaf-shared"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/copperleaf-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/copperleaf-{uuid.uuid4().hex}")
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()  # a path without scheme lies in Spark's default file system
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -40,6 +43,14 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores after it until df has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound the session's Arrow batches by ``BATCH_BYTES``; a smaller bound of its own stays."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

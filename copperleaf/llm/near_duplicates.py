@@ -18,8 +18,9 @@ salted, so no task or memory depends on the size of a group.
 
 Null or empty text has no shingles and is linked with nothing. A text with fewer words
 than a shingle is one shingle. A row with null id is its own, kept component. Rows that
-repeat an id are one document: a link of any of them is a link of the id. An empty table
-gives an empty result.
+repeat an id are one document: a link of any of them is a link of the id, and all get its
+component. Ties take the smallest id. Very long texts are taken whole. An empty table gives
+an empty result. Extra columns, whatever their names, stay in ``keep_one``.
 """
 
 from __future__ import annotations
@@ -32,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from copperleaf.llm.common import WordTable, chunks, documents, narrow, written
+from copperleaf.llm.common import WordTable, chunks, documents, narrow, unused, written
 
 ROWS = 5
 MISS = 1e-7
 #: Members that one salt of a centre takes.
 SALT_MEMBERS = 500
-#: Rows (under 32 bytes each) up to which candidates are broadcast to their texts; beyond, the texts are shuffled.
-BROADCAST_ROLES = 500_000
+#: Bits (a power of 2) of the map that tells which ids are no candidates: 16 MB whatever the input.
+MAP_BITS = 27
 SKETCH = 128
 #: Columns: an odd sketch of 512 bits, then one bit of each of the first 128 entries.
 SKETCHES = [f"odd{i}" for i in range(8)] + ["least0", "least1"]
@@ -144,28 +145,36 @@ def signed(docs: DataFrame, k: int, percent: int, rows: int = ROWS) -> DataFrame
     return narrow(docs).mapInArrow(run, f"id long, n_shingles long, set_hash binary, bands array<long>, {', '.join(f'{c} long' for c in SKETCHES)}")
 
 
+def only_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of docs (id, ...) whose id may be among ``ids`` (id): a map of bits, of a fixed size, is broadcast."""
+    spot = F.pmod(F.xxhash64("id"), F.lit(1 << MAP_BITS))
+    maps = ids.select(F.bitmap_bucket_number(spot).alias("bucket"), F.bitmap_bit_position(spot).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
+    byte = F.conv(F.hex(F.substring("map", (F.bitmap_bit_position(spot) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    near = docs.join(F.broadcast(maps), F.bitmap_bucket_number(spot) == F.col("bucket"))  # 4 KB a row, 1 << MAP_BITS >> 15 rows
+    return near.filter(F.call_function("shiftright", byte, (F.bitmap_bit_position(spot) % 8).cast("int")) % 2 == 1).select(*docs.columns)
+
+
 def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
     """Of ``pairs`` (a, b) those whose full sets reach the threshold."""
     sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_MEMBERS).cast("int").alias("salts"))
     members = pairs.join(sizes, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"))
     centres = sizes.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"))
     roles = written(members.unionByName(centres))
-    roles = F.broadcast(roles) if roles.count() <= BROADCAST_ROLES else roles
-    rows = narrow(docs).join(roles, "id").select("a", "salt", "role", "id", "text")
+    rows = only_ids(narrow(docs), roles.select("id")).join(roles, "id").select("a", "salt", "role", "id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(word_hashes)
-        now, centre = None, []
+        now, centre = None, {}  # the distinct sets of the centre's rows
         for batch, raw in chunks(batches):
             sets = shingle_sets(raw, k, table)
             found = []
             for a, salt, role, b, s in zip(*(batch.column(c).to_pylist() for c in ("a", "salt", "role", "id")), sets, strict=True):
                 if now != (a, salt):
-                    now, centre = (a, salt), []
+                    now, centre = (a, salt), {}
                 if role == 0:
-                    centre.append(s)
+                    centre[s.tobytes()] = s
                     continue
-                for c in centre:
+                for c in centre.values():
                     if 100 * min(len(c), len(s)) >= percent * max(len(c), len(s)):
                         both = np.concatenate([c, s])
                         both.sort()
@@ -213,13 +222,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
     best = placed.select("band", "id").join(degree, "id").groupBy("band").agg(F.max(F.struct("degree", (-F.col("id")).alias("minus"))).alias("m"))
     stars = placed.select("band", "id").join(best.select("band", (-F.col("m.minus")).alias("centre")), "band").filter("id <> centre")
     tried = written(stars.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"), "centre").distinct())
+    # ids that have several texts: each such id is linked with the class of each
+    many = every.filter("id is not null").groupBy("id").agg(F.count("*").alias("n"), F.count("set_hash").alias("full"), F.min("set_hash").alias("low"), F.max("set_hash").alias("high"))
+    many = written(many.filter("low < high or (0 < full and full < n)").select("id"))
+    ties = every.select("id", "set_hash").join(many, "id").join(classes.select("set_hash", F.col("id").alias("class")), "set_hash")
+    ties = written(ties.filter("id <> class").select(F.least("id", "class").alias("a"), F.greatest("id", "class").alias("b")).distinct())
     own = classes.select("id", "n_shingles", *SKETCHES)
     there = own.select(*[F.col(c).alias(f"{c}_") for c in own.columns])
     pairs = written(
         tried.select(F.col("centre").alias("id_"), F.when(F.col("a") == F.col("centre"), F.col("b")).otherwise(F.col("a")).alias("id"))
         .join(own, "id").join(there, "id_").filter(may_link(percent)).select(F.col("id_").alias("a"), F.col("id").alias("b"))
     )
-    links = written(confirmed(docs, pairs, k, percent))
+    links = written(confirmed(docs, pairs, k, percent).unionByName(ties))
     found = written(components(links))
     # members of one bucket in different components: their pairs across components
     now = placed.select("band", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -235,9 +249,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, rows: int =
         links = links.unionByName(written(confirmed(docs, across, k, percent)))
         found = written(components(links))
     of_class = classes.select("set_hash", "id").join(found, "id", "left").select("set_hash", F.coalesce("component", "id").alias("component"))
-    placed_all = every.select("id", "n_shingles", "set_hash").join(of_class, "set_hash", "left")
-    ids = placed_all.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "id").alias("component_id"))
-    return ids.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    full = every.filter("set_hash is not null and id is not null").select("id", "n_shingles", "set_hash").join(of_class, "set_hash").select("id", "n_shingles", "component")
+    of_id = full.join(many, "id").groupBy("id").agg(F.min("component").alias("component"))
+    bare = every.filter("set_hash is null or id is null").select("id", "n_shingles").join(of_id, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component"))
+    out = full.unionByName(bare).select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def may_link(percent: int) -> Column:
@@ -269,8 +285,9 @@ def sketch_limit(percent: int) -> int:
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row of each group of near-duplicates, with all its columns: the one with the smallest id."""
-    gone = near_duplicates(docs, k, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(written(gone), F.col("doc_id") == F.col("_gone"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = unused(docs, "gone")
+    ids = written(near_duplicates(docs, k, percent).filter("not kept").select(F.col("doc_id").alias(gone)).distinct())
+    return docs.join(ids, F.col("doc_id") == F.col(gone), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,10 @@ An item without any such window (it is short, or mostly numbers, names and units
 whole, at its own length: a document leaks it when it holds the same words in a row, case
 aside, or, where a short item has ``PLAIN`` plain words, the same template with values that
 map one to one. Such items' lengths are sent to the tasks. Null or empty texts hold nothing.
-A null id is reported like any other. Repeated rows count as one document.
+A null id is reported like any other, but in ``clean`` each text without an id stands for
+itself. Repeated rows count as one document: where one of an id's rows leaks, all go.
+Equal items are each reported; of equally good occurrences one is. An empty table of
+documents or items gives no rows. Extra columns, whatever their names, stay in ``clean``.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from copperleaf.llm.common import WordTable, chunks, documents, narrow, written
+from copperleaf.llm.common import WordTable, chunks, documents, narrow, unused, written
 from copperleaf.llm.near_duplicates import P, mix
 
 WINDOW = 8
@@ -174,9 +177,7 @@ def _document_rows(w: Words, bits: np.ndarray, lengths: list[int]) -> list[tuple
     return out
 
 
-def _rows(ids: pa.Array, raw: list, table: WordTable, shared: tuple[np.ndarray, list[int]] | None) -> Iterator[pa.RecordBatch]:
-    import xxhash
-
+def _rows(ids: pa.Array, keys: pa.Array, raw: list, table: WordTable, shared: tuple[np.ndarray, list[int]] | None) -> Iterator[pa.RecordBatch]:
     w = Words(raw, table)
     n = np.bincount(w.text[w.windows()[0]], minlength=len(raw)) if shared is None else np.zeros(len(raw), np.int64)
     for k, (at, h, length, slots) in enumerate(_item_rows(w) if shared is None else _document_rows(w, *shared)):
@@ -186,17 +187,15 @@ def _rows(ids: pa.Array, raw: list, table: WordTable, shared: tuple[np.ndarray,
         if whole and width:
             each[w.capital[at], 0] = 0
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * width), pa.array(each.view(np.int64).ravel()))
-        texts, back = np.unique(owner, return_inverse=True)
-        keys = np.array([xxhash.xxh3_64_intdigest(raw[i]) for i in texts], np.uint64).view(np.int64)[back]
         words = pa.array(np.full(len(at), length if whole else -1), pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [ids.take(pa.array(owner)), pa.array(keys), pa.array(np.maximum(1, n[owner])), words, pa.array(at - w.at[owner], pa.int32()), pa.array(h.view(np.int64)), lists],
+            [ids.take(pa.array(owner)), keys.take(pa.array(owner)), pa.array(np.maximum(1, n[owner])), words, pa.array(at - w.at[owner], pa.int32()), pa.array(h.view(np.int64)), lists],
             ["id", "key", "of", "words", "pos", "hash", "slots"],
         )
 
 
 def template_windows(rows: DataFrame, shared=None) -> DataFrame:
-    """id, key (hash of the text), of (windows of the text), words, pos, hash, slots (the value of each word that is a placeholder, else 0) of the windows of ``rows`` (id, text).
+    """id, key (Spark's hash of the text), of (windows of the text), words, pos, hash, slots (the value of each word that is a placeholder, else 0) of the windows of ``rows`` (id, text).
 
     ``words`` is -1 for windows; the words of a text taken whole; 0 for anchors, which mark
     where a long one may begin. Without ``shared`` the rows are items; with it (table of
@@ -206,9 +205,9 @@ def template_windows(rows: DataFrame, shared=None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordTable(canonical)
         for batch, raw in chunks(batches):
-            yield from _rows(batch.column("id"), raw, table, None if shared is None else shared.value)
+            yield from _rows(batch.column("id"), batch.column("key"), raw, table, None if shared is None else shared.value)
 
-    return rows.mapInArrow(run, "id long, key long, of long, words int, pos int, hash long, slots array<long>")
+    return rows.select("id", "text", F.xxhash64("text").alias("key")).mapInArrow(run, "id long, key long, of long, words int, pos int, hash long, slots array<long>")
 
 
 def occurrences(hits: DataFrame) -> DataFrame:
@@ -228,8 +227,8 @@ def occurrences(hits: DataFrame) -> DataFrame:
     return hits.withColumn("o", F.explode(F.array(*parts))).select("*", "o.*").filter("part is not null")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistent: float = CONSISTENT, run: int = RUN) -> DataFrame:
-    """A row for each document and item that it leaks, of the best occurrence: doc_id, item_id, n_windows (of the item, found), coverage, consistency, exact."""
+def rated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistent: float = CONSISTENT, run: int = RUN) -> DataFrame:
+    """The occurrences that are leaks: doc_id, doc_key, item_id, n_windows (of the item, found), coverage, consistency, exact."""
     spark = docs.sparkSession
     items = written(template_windows(narrow(benchmark, "item_id")).withColumnsRenamed({"id": "item_id", "key": "item_key", "pos": "item_pos", "slots": "item_slots"}))
     spots = items.select(F.shiftrightunsigned("hash", 64 - FILTER_BITS).alias("s")).distinct().toArrow()  # at most 2 ** FILTER_BITS
@@ -248,20 +247,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, con
         (F.sum("same") == F.sum(F.when(F.col("side") == 1, F.col("n")))).alias("exact"),
     )
     both = seen.withColumn("consistency", F.lit(None).cast("double")).withColumn("exact", F.lit(None).cast("boolean")).unionByName(slots, allowMissingColumns=True)
-    rated = both.groupBy(*one).agg(*[F.max(c).alias(c) for c in ("n_windows", "of", "n_words", "consistency", "exact")]).select(
-        "doc_id", "item_id", "kind", "n_words", "n_windows", F.round(F.col("n_windows") / F.col("of"), 6).alias("coverage"),
+    each = both.groupBy(*one).agg(*[F.max(c).alias(c) for c in ("n_windows", "of", "n_words", "consistency", "exact")]).select(
+        "doc_id", "doc_key", "item_id", "kind", "n_words", "n_windows", F.round(F.col("n_windows") / F.col("of"), 6).alias("coverage"),
         F.round(F.coalesce("consistency", F.lit(1.0)), 6).alias("consistency"), F.coalesce("exact", F.lit(True)).alias("exact"),
     )
     enough = (F.col("coverage") >= coverage) | F.col("kind").isin("passage", "copied") & (F.col("n_words") >= run)
-    good = rated.filter(enough & (F.col("consistency") >= consistent))
-    best = good.groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "exact", "consistency", "n_windows")).alias("b"))
+    return each.filter(enough & (F.col("consistency") >= consistent))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, consistent: float = CONSISTENT, run: int = RUN) -> DataFrame:
+    """A row for each document and item that it leaks, of the best occurrence: doc_id, item_id, n_windows (of the item, found), coverage, consistency, exact."""
+    best = rated(docs, benchmark, coverage, consistent, run).groupBy("doc_id", "item_id").agg(F.max(F.struct("coverage", "exact", "consistency", "n_windows")).alias("b"))
     return best.select("doc_id", "item_id", "b.n_windows", "b.coverage", "b.consistency", "b.exact")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that leak no item, with all their columns."""
-    bad = written(leaks(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct())
-    return docs.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    bad, own = unused(docs, "bad"), unused(docs, "own")
+    # a text without id is known by its hash
+    of_text = lambda doc_id, key: F.when(doc_id.isNull(), key).otherwise(0)
+    gone = written(rated(docs, benchmark).select(F.col("doc_id").alias(bad), of_text(F.col("doc_id"), F.col("doc_key")).alias(own)).distinct())
+    doc_id = F.col("doc_id").cast("long")
+    rest = docs.join(gone, doc_id.eqNullSafe(F.col(bad)) & (of_text(doc_id, F.xxhash64(F.col("text").cast("string"))) == F.col(own)), "left_anti")
+    return rest.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,9 @@ first, for a country not listed) are tried by mod-97, so what follows an IBAN is
 The patterns take runs possessively and start only where a run starts or where the last
 match ended, so they run in linear time and constant stack on any text.
 
-Null text counts as empty: no spans. Repeated rows each get their own result.
+Null text counts as empty: no spans; ``redact`` leaves it null. Repeated rows each get their
+own result, spans that start together are ordered by kind. An empty table gives an empty
+result. ``find`` adds (or replaces) the column ``pii_spans``; ``redact`` keeps every column.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from copperleaf.llm.common import documents
+from copperleaf.llm.common import documents, unused
 
 # Kinds in their listed order, their patterns, first scores and telling words.
 KINDS = ("email", "ip", "card", "phone", "iban", "id")
@@ -134,9 +136,9 @@ def pii_spans(text: Column) -> Column:
     return F.array_sort(F.concat(base, free))
 
 
-def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with the column ``pii_spans`` added."""
-    return docs.withColumn("pii_spans", pii_spans(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+def find(docs: DataFrame, text_col: str = "text", name: str = "pii_spans") -> DataFrame:
+    """docs with the spans' column added."""
+    return docs.withColumn(name, pii_spans(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
 
 
 def redacted(text: Column, spans: Column) -> Column:
@@ -155,9 +157,9 @@ def redacted(text: Column, spans: Column) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with personal data replaced in the text; null texts stay null."""
-    names = [c for c in docs.columns]
-    found = find(docs, text_col)
-    return found.withColumn(text_col, F.when(F.col(text_col).isNotNull(), redacted(F.col(text_col), F.col("pii_spans")))).select(*[F.col(f"`{c}`") for c in names])
+    name = unused(docs, "pii_spans")
+    found = find(docs, text_col, name)
+    return found.withColumn(text_col, F.when(F.col(text_col).isNotNull(), redacted(F.col(text_col), F.col(name)))).drop(name)
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ shrunk towards the rate of all hosts, is over ``max_rate``.
 
 Null or empty text: no words, so the base rule of too few words fails. Null host: such
 documents share no host and get no host verdict. Repeated rows count as often as they
-occur. An empty table gives an empty result.
+occur; a rate equal to ``max_rate`` is kept. Very long texts are counted whole. An empty
+table gives an empty result. Extra columns, whatever their names, stay in ``keep_good``.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from copperleaf.llm.common import documents, narrow, written
+from copperleaf.llm.common import documents, narrow, unused, written
 
 MIN_WORDS = 50
 #: Share of words in repeated 3-word windows, in hundredths.
@@ -114,11 +115,12 @@ def quality_rules(docs: DataFrame, host_col: str = "source", max_rate: float = M
 def keep_good(docs: DataFrame, host_col: str = "source", max_rate: float = MAX_RATE) -> DataFrame:
     """The documents that the rules keep, with all their columns; texts are not shuffled for the host verdicts."""
     stats = written(document_stats(docs, host_col).select("host", "base_failed"))
-    bad = host_verdicts(stats, max_rate).filter("rejected").select(F.col("host").alias("_host"))
+    host = unused(docs, "host")
+    bad = host_verdicts(stats, max_rate).filter("rejected").select(F.col("host").alias(host))
     few = len(bad.take(BROADCAST_HOSTS + 1)) <= BROADCAST_HOSTS
     names = [F.col(f"`{c}`") for c in docs.columns]
     good = docs.filter(F.pandas_udf(_passes, BooleanType())(F.col("text")))
-    return good.join(F.broadcast(bad) if few else bad, F.col(host_col).cast("string") == F.col("_host"), "left_anti").select(*names)
+    return good.join(F.broadcast(bad) if few else bad, F.col(host_col).cast("string") == F.col(host), "left_anti").select(*names)
 
 
 def _passes(texts: pd.Series) -> pd.Series:

@@ -1,18 +1,32 @@
 """SentencePiece encoding and decoding with a batched numpy Viterbi.
 
-A text is cut before each run of spaces; no piece spans such a cut. Distinct words of
-equal length advance together, one end position at a time: rolling hashes of the
-substrings that end there probe the sorted hashes of the pieces, the best sum of piece
-scores wins (the longer last piece where sums tie) and is kept as a back pointer. A
-character without a piece becomes its UTF-8 bytes' pieces. The scores are those stored in
-the model file.
+The model file is of the merging kind: pieces are merged in the order of their scores. Its
+result is the one way to cut a text such that any two neighbouring pieces, merged by
+themselves, stay these two pieces; and a text's beginnings are cut likewise. So a Viterbi
+finds it: for each end position the last piece is the one that fits the last piece of the
+beginning before it. Distinct words (cut before each run of spaces; no piece spans such a
+cut) of equal length advance together, one end position at a time: rolling hashes of the
+substrings that end there probe the sorted hashes of the pieces, each candidate scores 1 if
+it fits and 0 if not, and the vectorised maximum is kept as a back pointer. A character
+without a piece becomes its UTF-8 bytes' pieces. The ids equal the library's.
+
+Whether two pieces fit is told by undoing their merges, the latest first, and asking whether
+two parts that then touch would have been merged before.
+
+A word longer than ``LONG`` is cut into overlapping segments that advance together as
+words of equal length do. Each segment starts anew a little before its place; where its
+last pieces there equal those that the segment before it ends with, both go on alike (a
+position depends on as many positions before it as the longest piece has characters), else
+it is run again from that state. So memory for a word is a few bytes a character.
 
 Decoding joins the pieces' bytes, so it gives back every text, literal U+2581 included.
-Null text encodes as empty: no pieces. Repeated rows each get their own result.
+Null text encodes as empty: no pieces. Repeated rows each get their own result, an empty
+table gives an empty result, and only the named columns are read, whatever others there are.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -26,9 +40,14 @@ from copperleaf.llm.common import ListTable, chunks, documents, narrow, starts
 MODEL = "piece_bpe_32k.model"
 WORD = re.compile(r" *[^ ]+| +")
 BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Words times positions that advance together, and bits of the table that tells which hashes can be a piece's.
-CELLS = 100_000
+#: Words times positions that advance together, bits of the table that tells which hashes can be a piece's, bytes of text in a slice.
+CELLS = 200_000
 MAYBE_BITS = 21
+SLICE_BYTES = 4 << 20
+#: Words beyond LONG characters are cut into segments of SEGMENT characters that start WARM characters early.
+LONG, SEGMENT, WARM = 640, 256, 64
+#: Last pieces that are none: a character without a piece, and the beginning of a word.
+BARE, BEGIN = -1, -2
 
 
 def model_path(name: str = MODEL) -> str:
@@ -42,8 +61,34 @@ def _mix(codes: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def merge(text: str, rank: dict[str, int]) -> list[tuple[str, tuple[str, str] | None]]:
+    """The pieces of a text by merging neighbours, the lowest rank (then the leftmost) first; each with the two parts of its last merge."""
+    parts: list[tuple[str, tuple[str, str] | None] | None] = [(c, None) for c in text]
+    right, left = list(range(1, len(text) + 1)), list(range(-1, len(text) - 1))
+    queue: list[tuple[int, int, str, str]] = []
+
+    def offer(i: int) -> None:
+        j = right[i] if i >= 0 else len(parts)
+        if j < len(parts) and (r := rank.get(parts[i][0] + parts[j][0])) is not None:
+            heapq.heappush(queue, (r, i, parts[i][0], parts[j][0]))
+
+    for i in range(len(text) - 1):
+        offer(i)
+    while queue:
+        _, i, a, b = heapq.heappop(queue)
+        j = right[i]
+        if parts[i] is None or parts[i][0] != a or j >= len(parts) or parts[j][0] != b:
+            continue
+        parts[i], parts[j], right[i] = (a + b, (a, b)), None, right[j]
+        if right[i] < len(parts):
+            left[right[i]] = i
+        offer(left[i])
+        offer(i)
+    return [x for x in parts if x is not None]
+
+
 class Pieces:
-    """The sorted piece hashes, scores and ids of a model file, and each id's bytes."""
+    """The sorted hashes, ranks, ids and last merges of a model file's pieces, and each id's bytes; read on the driver and sent to the tasks (bounded by the vocabulary)."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -61,19 +106,32 @@ class Pieces:
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 usable.append(i)
                 self.raw[i] = p.replace("▁", " ").encode()
-        texts = [self.raw[i].decode() for i in usable]
-        score = np.array([sp.get_score(i) for i in usable], np.float64)
-        lengths = np.array([len(t) for t in texts])
+        self._build([self.raw[i].decode() for i in usable], [sp.get_score(i) for i in usable], usable)
+
+    def _build(self, texts: list[str], scores: list[float], ids: list[int]) -> None:
+        rank = {t: r for r, (_, t) in enumerate(sorted(zip([-s for s in scores], texts, strict=True)))}
         keys = np.array([self._hash(t) for t in texts], np.uint64)
         order = np.argsort(keys)
-        self.keys, self.scores, self.ids = keys[order], score[order], np.array(usable, np.int64)[order]
-        self.scores_or = np.append(self.scores, -np.inf)  # -1 takes the last
-        self.sizes = sorted({*lengths.tolist(), 1}, reverse=True)
-        self.unknown = score.min() - 10.0
-        self.power = np.cumprod(np.append(np.ones(1, np.uint64), np.full(max(self.sizes), BASE)))
+        self.keys, self.ids = keys[order], np.array(ids, np.int64)[order]
+        assert (self.keys[1:] != self.keys[:-1]).all()
+        texts = [texts[i] for i in order]
+        place = {t: i for i, t in enumerate(texts)}
+        self.texts, self.rank = texts, rank
+        self.length = np.array([len(t) for t in texts], np.int64)
+        #: when a piece is merged (characters: -1), the two parts it is merged from, whether a part of it is merged later than itself
+        self.time = np.array([rank[t] if len(t) > 1 else -1 for t in texts], np.int64)
+        self.first, self.second = np.full(len(texts), -1, np.int64), np.full(len(texts), -1, np.int64)
+        self.alive, self.odd = self.length == 1, np.zeros(len(texts), bool)
+        for i in np.argsort(self.length, kind="stable").tolist():
+            if self.length[i] > 1 and len(own := merge(texts[i], rank)) == 1:
+                self.alive[i] = True
+                a, b = (place[x] for x in own[0][1])
+                self.first[i], self.second[i] = a, b
+                self.odd[i] = self.odd[a] or self.odd[b] or max(self.time[a], self.time[b]) > self.time[i]
+        self.sizes = np.array(sorted({*self.length.tolist(), 1}, reverse=True))
+        self.power = np.cumprod(np.append(np.ones(1, np.uint64), np.full(2 * max(self.sizes), BASE)))
         self.maybe = np.zeros(1 << MAYBE_BITS, bool)
         self.maybe[self.keys >> np.uint64(64 - MAYBE_BITS)] = True
-        assert len(np.unique(keys)) == len(keys)
 
     @staticmethod
     def _hash(text: str) -> int:
@@ -82,6 +140,34 @@ class Pieces:
             h = h * BASE + c
         return int(h[0])
 
+    def _look(self, keys: np.ndarray) -> np.ndarray:
+        """Places of the pieces with these hashes, or BARE."""
+        out = np.full(len(keys), BARE, np.int64)
+        near = np.flatnonzero(self.maybe[keys >> np.uint64(64 - MAYBE_BITS)])
+        at = np.minimum(np.searchsorted(self.keys, keys[near]), len(self.keys) - 1)
+        ok = self.keys[at] == keys[near]
+        out[near[ok]] = at[ok]
+        return out
+
+    def fits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether pieces a and b, one after the other, stay two when their text is merged."""
+        out = np.ones(len(a), bool)
+        for i in np.flatnonzero(self.odd[a] | self.odd[b]).tolist():
+            want = [self.texts[a[i]], self.texts[b[i]]]
+            out[i] = [t for t, _ in merge("".join(want), self.rank)] == want
+        todo = np.flatnonzero(~(self.odd[a] | self.odd[b]))
+        x, y, limit = a[todo], b[todo], np.full(len(todo), np.iinfo(np.int64).max)
+        while len(todo):
+            joined = self._look(self.keys[x] * self.power[self.length[y]] + self.keys[y])
+            early = (joined >= 0) & (self.time[joined] < limit)
+            out[todo[early]] = False
+            left = self.time[x] > self.time[y]
+            go = np.flatnonzero(~early & (left | (self.time[y] >= 0)))
+            todo, x, y, left = todo[go], x[go], y[go], left[go]
+            limit = np.where(left, self.time[x], self.time[y] + 1)
+            x, y = np.where(left, self.second[x], x), np.where(left, y, self.first[y])
+        return out
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all words in order, and how many each has."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -90,8 +176,14 @@ class Pieces:
         begin = 0
         while begin < len(order):
             length = int(lengths[order[begin]])
-            stop = min(int(np.searchsorted(lengths[order], length, side="right")), begin + max(1, CELLS // (length + 1)))
-            ids, n = self._equal([words[i] for i in order[begin:stop]], length)
+            if length > LONG:
+                stop = begin + 1
+                last = self._segments(words[order[begin]])[:, None]
+            else:
+                stop = min(int(np.searchsorted(lengths[order], length, side="right")), begin + max(1, CELLS // (length + 1)))
+                codes = np.frombuffer("".join([words[i] for i in order[begin:stop]]).encode("utf-32-le"), np.uint32).reshape(-1, length)
+                last = self._advance(codes, np.full((stop - begin, 1), BEGIN))
+            ids, n = self._back([words[i] for i in order[begin:stop]], last)
             flat.append(ids)
             count.append(n)
             begin = stop
@@ -102,49 +194,84 @@ class Pieces:
         to = starts(n)
         return by_length[np.repeat(at[:-1][place] - to[:-1], n) + np.arange(to[-1])], n
 
-    def _equal(self, words: list[str], length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Viterbi over words of one length; their ids one after the other, and how many each has."""
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(len(words), length)
+    def _advance(self, codes: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """The last piece at each end position (row) of each row of codes (column); ``known`` has those of each row's first positions."""
+        rows, length = codes.shape
         mixed = _mix(codes)
-        head = np.zeros((len(words), length + 1), np.uint64)
+        head = np.zeros((rows, length + 1), np.uint64)
         for j in range(length):
             head[:, j + 1] = head[:, j] * BASE + mixed[:, j]
-        sizes = [k for k in self.sizes if k <= length]
-        # what ends at each position, by size: its piece's place among the sorted keys, or -1
-        found = np.full((length + 1, len(words), len(sizes)), -1, np.int32)
+        sizes = self.sizes[self.sizes <= length]
+        # what ends at each position, by size: its piece's place among the sorted keys, or BARE
+        found = np.full((length + 1, rows, len(sizes)), BARE, np.int32)
         for c, k in enumerate(sizes):
             keys = head[:, k:] - head[:, : length + 1 - k] * self.power[k]
             r, e = np.nonzero(self.maybe[keys >> np.uint64(64 - MAYBE_BITS)])
-            keys = keys[r, e]
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            ok = self.keys[at] == keys
+            at = self._look(keys[r, e])
+            ok = (at >= 0) & self.alive[at]
             found[e[ok] + k, r[ok], c] = at[ok]
-        best = np.zeros((length + 1, len(words)))
-        piece = np.zeros((length + 1, len(words)), np.int32)
-        back = np.zeros((length + 1, len(words)), np.int32)
-        sizes = np.array(sizes)
-        row = np.arange(len(words))
-        for end in range(1, length + 1):
+        last = np.empty((length + 1, rows), np.int32)
+        last[: known.shape[1]] = known.T
+        row = np.arange(rows)
+        for end in range(known.shape[1], length + 1):
             first = int(np.searchsorted(-sizes, -end))  # sizes fall; longer ones than the end don't count
             own = found[end, :, first:]
-            score = best[end - sizes[first:]].T + self.scores_or[own]
-            score[:, -1] = np.where(own[:, -1] < 0, best[end - 1] + self.unknown, score[:, -1])
-            pick = score.argmax(1)  # the first of equal ones: the longest
-            best[end] = score[row, pick]
-            piece[end] = own[row, pick]
-            back[end] = sizes[first + pick]
-        taken = np.zeros((len(words), length + 1), bool)
-        pos, left = np.full(len(words), length), row
-        while len(left):  # all words walk back together
+            r, c = np.nonzero(own >= 0)
+            piece, before = own[r, c].astype(np.int64), last[end - sizes[first + c], r].astype(np.int64)
+            good = before < 0  # nothing merges with the beginning, or with a character that has no piece
+            todo = np.flatnonzero(~good)
+            pairs, back = np.unique(before[todo] * len(self.keys) + piece[todo], return_inverse=True)
+            good[todo] = self.fits(pairs // len(self.keys), pairs % len(self.keys))[back]
+            score = np.zeros(own.shape, np.int8)
+            score[r[good], c[good]] = 1
+            last[end] = own[row, score.argmax(1)]
+            last[end][score.max(1) == 0] = BARE
+        return last
+
+    def _segments(self, word: str) -> np.ndarray:
+        """The last piece at each end position of a long word."""
+        most = int(self.sizes[0])
+        last = np.empty(len(word) + 1, np.int32)
+        head = np.frombuffer(word[: SEGMENT].encode("utf-32-le"), np.uint32)[None, :]
+        last[: SEGMENT + 1] = self._advance(head, np.full((1, 1), BEGIN))[:, 0]
+        at, step = SEGMENT, max(1, CELLS // (SEGMENT + WARM + 1))
+        while at < len(word):
+            n = max(1, min(step, (len(word) - at) // SEGMENT))
+            size = min(SEGMENT, len(word) - at)
+            text = word[at - WARM : at + n * size]
+            codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+            rows = codes[np.arange(n)[:, None] * size + np.arange(WARM + size)]
+            own = self._advance(rows, np.full((n, 1), BEGIN))
+            for j in range(n):
+                mine = own[:, j]
+                if (mine[WARM - most : WARM + 1] != last[at - most : at + 1]).any():
+                    mine = self._advance(rows[j : j + 1, WARM - most :], last[None, at - most : at + 1])[:, 0]
+                last[at + 1 : at + size + 1] = mine[-size:]
+                at += size
+        return last
+
+    def _back(self, words: list[str], last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of one length, one after the other, and how many each has: all words walk back together."""
+        taken = np.zeros((last.shape[1], last.shape[0]), bool)
+        size = np.append(self.length, 1)  # BARE takes the last
+        row = np.arange(last.shape[1])
+        pos, left = np.full(len(row), last.shape[0] - 1), row
+        if len(row) == 1:
+            own, p = size[last[:, 0]], last.shape[0] - 1
+            while p > 0:
+                taken[0, p] = True
+                p -= own[p]
+            left = left[:0]
+        while len(left):
             taken[left, pos[left]] = True
-            pos[left] -= back[pos[left], left]
+            pos[left] -= size[last[pos[left], left]]
             left = left[pos[left] > 0]
         r, e = np.nonzero(taken)
-        at = piece[e, r]
+        at = last[e, r]
         ids = self.ids[at].astype(np.uint32)
         lone = np.flatnonzero(at < 0)
         if len(lone):
-            spelt = [self.byte_ids[list(chr(c).encode())] for c in codes[r[lone], e[lone] - 1]]
+            spelt = [self.byte_ids[list(words[r[i]][e[i] - 1].encode())] for i in lone]
             n = np.ones(len(ids), np.int64)
             n[lone] = [len(x) for x in spelt]
             to = starts(n)
@@ -159,11 +286,12 @@ class Pieces:
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
-    """id, text and ids (little-endian unsigned 32-bit numbers as binary) of each row; ``model`` is a path that executors have."""
+    """id, text and ids (little-endian unsigned 32-bit numbers as binary) of each row; ``model`` is a path that the driver has."""
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ListTable(Pieces(model).encode_words, 120_000)
-        for batch, raw in chunks(batches, 1 << 20):
+        table = ListTable(shared.value.encode_words, 120_000)
+        for batch, raw in chunks(batches, SLICE_BYTES):
             flat, at = table.lists([WORD.findall(" " + t.decode()) if t else [] for t in raw])
             ids = [x.tobytes() for x in np.split(flat.astype("<u4"), at[1:-1])]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(ids, pa.binary())], ["id", "text", "ids"])
@@ -175,11 +303,11 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
     """The rows of ``encoded`` (which has ids) with ``decoded``, the text that the ids stand for."""
     names = [*encoded.columns, "decoded"]
     schema = ", ".join(f"{n} {t}" for n, t in [*encoded.dtypes, ("decoded", "string")])
+    shared = encoded.sparkSession.sparkContext.broadcast(Pieces(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
         for batch in batches:
-            back = [pieces.decode(np.frombuffer(x, "<u4")).decode() for x in batch.column("ids").to_pylist()]
+            back = [shared.value.decode(np.frombuffer(x, "<u4")).decode() for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(back, pa.string())], names)
 
     return encoded.mapInArrow(run, schema)

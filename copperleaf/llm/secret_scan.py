@@ -2,12 +2,17 @@
 
 The field tags tokens as begin (B), inside (I) or outside (O) of a secret. Its features
 are the token's shape, shapes and words of its neighbours, and figures of the whole file.
-It learns from a bounded sample of texts, in which the patterns' matches are the labels;
-decoding is exact Viterbi. Every pattern match stays; a tagged span is added where it
-overlaps none.
-
-Null text counts as empty: no spans. Repeated rows each get their own result, an empty
-table gives an empty result (the field is then untrained and tags nothing).
+It learns from a bounded sample of texts. Their labels are the patterns' matches; so that it
+learns more than to repeat them, each such text is also given in disguise: the words before
+the secret, what stands between and the secret itself are drawn anew in forms that the
+patterns don't list, and texts without a match get decoys (dates, versions, numbers, links,
+names) that are no secrets. Decoding is exact Viterbi. Every pattern match stays; a tagged
+span is added where it overlaps none.
+
+Null text counts as empty: no spans. Repeated rows each get their own result, spans that
+start together are ordered by kind, very long texts are scanned whole, an empty table gives an
+empty result (the field is then untrained and tags nothing). Only the named columns are
+read, whatever others there are.
 """
 
 from __future__ import annotations
@@ -31,10 +36,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ with 24 characters o
 KINDS = ("assign", "access", "hex", "crf")
 HIT = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]|(?-i:AKIA[A-Z0-9]{16})|(?-i:[0-9a-f]{24})"
 
-#: Texts with and without a match that the field learns from (each), and the longest of them in characters.
-SAMPLE = 200
-SAMPLE_CHARS = 20_000
+#: Texts with and without a match that the field learns from (each), characters of them (around the first match, or from the start), disguises of each.
+SAMPLE = 128
+SAMPLE_CHARS = 2000
+DISGUISES = 4
 EPOCHS = 40
+#: What each token's score for outside is lowered by in decoding: more makes the field find more, and tag more that is none.
+LEAN = 3.0
+#: What disguises and decoys are made of.
+CUES = ["pwd", "passphrase", "passcode", "credential", "credentials", "auth", "bearer", "signing_key", "client_key", "private key", "login", "access code", "pin", "session", "webhook"]
+BETWEEN = ["=", ": ", " = ", " is ", " -> ", " => ", ":", " ", "=\"", ": '", " := "]
+PLAIN = ["required", "expired", "rotated", "missing", "stored safely", "never shared", "the same", "changed every month"]
 SLOTS = 1 << 14
 TOKEN = re.compile(r"[\w+/.-]+|[^\s\w+/.-]+")
 B, I, O = 0, 1, 2  # noqa: E741
@@ -83,12 +95,12 @@ def token_slots(word: str, words: frozenset[str]) -> list[int]:
 
 
 def file_slots(text: str, n_tokens: int) -> list[int]:
-    """Feature slots of a whole text: share of digits and of signs, size."""
+    """Feature slots of a whole text: share of digits and of signs, length of its tokens."""
     raw = text.encode()
     digits = len(raw) - len(raw.translate(None, b"0123456789"))
     signs = len(raw) - len(raw.translate(None, b"{}[]()=;:\"'<>_/\\"))
     share = lambda k: min(4, int(k * 50 / max(1, len(raw))))
-    return [_slot(f"digits{share(digits)}"), _slot(f"signs{share(signs)}"), _slot(f"size{min(4, n_tokens // 200)}")]
+    return [_slot(f"digits{share(digits)}"), _slot(f"signs{share(signs)}"), _slot(f"length{min(2, len(raw) // max(1, 8 * n_tokens))}")]
 
 
 class Field:
@@ -100,6 +112,7 @@ class Field:
         self.file = np.zeros((SLOTS, 3))
         self.steps = np.zeros((3, 3))
         self.token[:, O] = 1.0 / 4  # untrained: all outside
+        self.lean = 0.0
 
     def fill(self, tokens: list[str]) -> np.ndarray:
         """12 summed weights of each token."""
@@ -111,6 +124,7 @@ class Field:
     def emissions(self, values: np.ndarray, at: np.ndarray, file: np.ndarray) -> np.ndarray:
         """Scores of each token and tag: from itself, its neighbours in the same text, and the file."""
         out = values[:, :3] + np.repeat(file, np.diff(at), axis=0)
+        out[:, O] -= self.lean
         first = np.zeros(len(values), bool)
         first[at[:-1][np.diff(at) > 0]] = True
         inner = np.flatnonzero(~first)
@@ -147,11 +161,74 @@ def viterbi(scores: np.ndarray, at: np.ndarray, steps: np.ndarray) -> np.ndarray
     return tags
 
 
-def train(texts: list[str], epochs: int = EPOCHS) -> Field:
-    """Fit a field by gradient steps (Adagrad) on the exact likelihood, in windows of 64 tokens."""
-    labelled, near = [], Counter()
+def secret_value(rng: np.random.Generator) -> str:
+    """A secret of a random kind: hexadecimal, letters and digits, base 64, groups, or with signs."""
+    draw = lambda letters, n: "".join(letters[i] for i in rng.integers(0, len(letters), n))
+    low, up, digit = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    kind = int(rng.integers(0, 6))
+    if kind == 0:
+        return draw(digit + "abcdef", int(rng.integers(12, 41)))
+    if kind == 1:
+        return draw(low + digit, int(rng.integers(10, 33)))
+    if kind == 2:
+        return draw(low + up + digit, int(rng.integers(10, 41)))
+    if kind == 3:
+        return draw(low + up + digit + "+/", int(rng.integers(16, 45))) + "=" * int(rng.integers(0, 3))
+    if kind == 4:
+        return "-".join(draw(digit + "abcdef", n) for n in (8, 4, 4, 4, 12))
+    return draw(low + up, int(rng.integers(3, 7))) + draw("!@$%&*#", 1) + draw(low + digit, int(rng.integers(4, 9))) + draw(up + digit, int(rng.integers(1, 5)))
+
+
+def decoy(rng: np.random.Generator) -> str:
+    """What looks a little like a secret and is none."""
+    n = rng.integers(0, 10_000, 6).tolist()
+    forms = [
+        f"{2000 + n[0] % 30}-{1 + n[1] % 12:02d}-{1 + n[2] % 28:02d}", f"v{n[0] % 20}.{n[1] % 30}.{n[2] % 99}", f"{n[0]}", f"{n[0]},{n[1] % 1000:03d}.{n[2] % 100:02d}", f"https://example.org/{n[0] % 90}/page-{n[1]}.html",
+        f"user{n[0] % 100}@example.org", f"+1 {n[0] % 900} {n[1] % 900} {n[2]:04d}", f"10.{n[0] % 255}.{n[1] % 255}.{n[2] % 255}", "RuntimeConfiguration", "self-contained", "NASA/ESA", f"item_{n[0]}", f"{n[0]:x}", f"chapter{n[1] % 40}",
+        f"{CUES[n[3] % len(CUES)]}{BETWEEN[n[4] % 8]}{PLAIN[n[5] % len(PLAIN)]}", f"{['password', 'token', 'secret'][n[3] % 3]} is {PLAIN[n[5] % len(PLAIN)]}",
+    ]
+    return forms[int(rng.integers(0, len(forms)))]
+
+
+def disguised(text: str, rng: np.random.Generator) -> tuple[str, list[tuple[int, int]]]:
+    """The text with each of its secrets drawn anew in a form that the patterns don't list, and where the secrets now are."""
+    out, spans, at, size = [], [], 0, 0
+    for start, end, *_ in sorted(base_spans(text)):
+        if start >= at:
+            cue = CUES[int(rng.integers(0, len(CUES)))] + BETWEEN[int(rng.integers(0, len(BETWEEN)))] if rng.random() < 0.6 else ""
+            value = secret_value(rng)
+            size += start - at + len(cue)
+            spans.append((size, size + len(value)))
+            out += [text[at:start], cue, value]
+            size += len(value)
+            at = end
+    return "".join([*out, text[at:]]), spans
+
+
+def with_decoys(text: str, rng: np.random.Generator) -> str:
+    """The text with a decoy after about every fiftieth word."""
+    words = text.split(" ")
+    for i in rng.integers(0, len(words), 1 + len(words) // 50).tolist():
+        words[i] += " " + decoy(rng)
+    return " ".join(words)
+
+
+def samples(texts: list[str], seed: int = 11) -> list[tuple[str, list[tuple[int, int]]]]:
+    """Texts with the places of their secrets: as they are, in disguise, and with decoys."""
+    rng, out = np.random.default_rng(seed), []
     for text in texts:
         spans = [(s, e) for *_, s, e in base_spans(text)]
+        if spans:
+            out += [(text, spans), *[disguised(with_decoys(text, rng), rng) for _ in range(DISGUISES)]]
+        else:
+            out.append((with_decoys(text, rng), []))
+    return out
+
+
+def train(labelled_texts: list[tuple[str, list[tuple[int, int]]]], epochs: int = EPOCHS) -> Field:
+    """Fit a field to texts and the places of their secrets by gradient steps (Adagrad) on the exact likelihood, in windows of 64 tokens."""
+    labelled, near = [], Counter()
+    for text, spans in labelled_texts:
         tokens, tags, inside = [], [], -1
         for m in TOKEN.finditer(text):
             hit = next((k for k, (s, e) in enumerate(spans) if m.start() < e and m.end() > s), -1)
@@ -219,9 +296,10 @@ def train(texts: list[str], epochs: int = EPOCHS) -> Field:
         by_file = np.zeros_like(field.file)
         np.add.at(by_file, files, by_doc[:, None, :])
         for w, g, s in zip((field.token, field.file, field.steps), (by_slot, by_file, pair), seen, strict=True):
-            g += 0.05 * w
+            g += 0.02 * w
             s += g * g
             w -= 0.5 * g / np.sqrt(s)
+    field.lean = LEAN
     return field
 
 
@@ -286,13 +364,13 @@ def scan(docs: DataFrame, field: Field) -> DataFrame:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, chars: int = SAMPLE_CHARS) -> Field:
-    """Train on about ``sample`` texts with a match and as many without, chosen by a hash of the text."""
-    short = docs.filter(F.length("text") <= chars).select("text", F.col("text").rlike(HIT).alias("hit"))
-    counts = short.agg(F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("rest")).first()
-    draw = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003
-    share = F.when(F.col("hit"), F.lit(sample / max(1, counts.hits))).otherwise(F.lit(sample / max(1, counts.rest)))
-    rows = short.withColumn("draw", draw).filter((F.col("draw") < max(sample / max(1, counts.hits), sample / max(1, counts.rest))) & (F.col("draw") < share))
-    return train(sorted({r.text for r in rows.select("text").limit(4 * sample).collect()}))
+    """Train on at most ``sample`` distinct texts with a match and as many without: in each of ``sample`` classes of the text's hash the one with the least."""
+    rows = docs.select(F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull())
+    h = F.xxhash64("text")
+    least = rows.select(F.col("text").rlike(HIT).alias("hit"), h.alias("h")).groupBy("hit", F.pmod("h", F.lit(sample)).alias("class")).agg(F.min("h").alias("h")).collect()  # 2 * sample rows
+    window = F.substr("text", F.greatest(F.lit(1), F.regexp_instr("text", F.lit(HIT)) - chars // 2), F.lit(chars))
+    found = rows.filter(h.isin([r.h for r in least])).groupBy(h.alias("h")).agg(F.min(window).alias("text")).collect()
+    return train(samples(sorted(r.text for r in found)))
 
 
 def joined(spans, kinds=KINDS):

@@ -4,15 +4,19 @@ The units are bytes, so every language and spelling is covered and each n-gram i
 number. N-gram counts come from all trusted texts; continuation counts, contexts, the three
 discounts of each order and the interpolated probabilities are DataFrame joins, sharded by
 n-gram. Every distinct n-gram of the whole corpus gets its code length by the same joins;
-a document's perplexity is 2 ** (mean bits a byte). A document is kept when its perplexity
-is at most its language's quantile over trusted documents, times a margin.
+a document's perplexity is 2 ** (mean bits a byte). One in ``HELD_OUT`` trusted texts (by a
+hash of the text) is not learned from; a document is kept when its perplexity is at most its
+language's quantile over these, times a margin.
 
 The table of code lengths is broadcast only while it has at most ``MAX_TABLE`` rows, which
 is checked; beyond, documents meet their n-grams' code lengths by a join on blocks.
 
 Null or empty text has perplexity 1 and is kept (other rules judge it). A null language, or
-one without trusted text, uses the quantile of all trusted text; without any trusted text
-everything is kept.
+one without held-out text, uses the quantile of all held-out text, and where there is none,
+that of the texts learned from; without any trusted text everything is kept. A perplexity
+equal to the threshold is kept. Repeated rows each count and get their own result, very long
+texts are scored whole, an empty table gives an empty result. Only the named columns are
+read, whatever others there are.
 """
 
 from __future__ import annotations
@@ -28,9 +32,9 @@ from pyspark.sql import functions as F
 from copperleaf.llm.common import chunks, documents, narrow, run_sums, starts, written
 
 ORDER = 5
-QUANTILE, MARGIN = 0.99, 1.3
-#: Rows of the broadcast table (12 bytes each, twice that in a worker's hash table), of broadcast trusted ids, bytes of text in a block.
-MAX_TABLE, MAX_IDS, BLOCK_BYTES = 6_000_000, 2_000_000, 32 << 20
+QUANTILE, MARGIN, HELD_OUT = 0.99, 1.2, 8
+#: Rows of the broadcast table (12 bytes each, twice that in a worker's hash table), of broadcast trusted ids, of broadcast languages, bytes of text in a block.
+MAX_TABLE, MAX_IDS, MAX_LANGS, BLOCK_BYTES = 6_000_000, 2_000_000, 10_000, 32 << 20
 #: Bytes of text whose n-grams are counted at a time.
 COUNT_BYTES = 12 << 20
 LOW = [(1 << 8 * k) - 1 for k in range(ORDER + 1)]
@@ -49,11 +53,11 @@ def grams(raw: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct n-grams of a slice of texts, with their counts in trusted texts (0 for the others)."""
+    """Distinct n-grams of a slice of texts, with their counts in the texts learned from (0 for the others)."""
     for batch, raw in chunks(batches, COUNT_BYTES):
-        trusted = batch.column("trusted").to_pylist()
+        learned = [x == LEARNED for x in batch.column("role").to_pylist()]
         for flag in (True, False):
-            keys, n = np.unique(grams([t for t, x in zip(raw, trusted, strict=True) if x == flag])[0], return_counts=True)
+            keys, n = np.unique(grams([t for t, x in zip(raw, learned, strict=True) if x == flag])[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64) * flag)], ["g", "c"])
 
 
@@ -129,7 +133,9 @@ class Hashed:
         return out
 
 
-SCORED = "id long, lang string, trusted boolean, n_bytes long, bits double"
+SCORED = "id long, lang string, role int, n_bytes long, bits double"
+#: Roles of documents.
+OTHER, LEARNED, TEST = 0, 1, 2
 
 
 def _near(rows: DataFrame, lengths: DataFrame) -> DataFrame:
@@ -141,7 +147,7 @@ def _near(rows: DataFrame, lengths: DataFrame) -> DataFrame:
         look = Hashed(*shared.value)
         for batch, raw in chunks(batches):
             keys, at = grams(raw)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), batch.column("trusted"), pa.array(np.diff(at)), pa.array(run_sums(look(keys), at))], ["id", "lang", "trusted", "n_bytes", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("lang"), batch.column("role"), pa.array(np.diff(at)), pa.array(run_sums(look(keys), at))], ["id", "lang", "role", "n_bytes", "bits"])
 
     return rows.mapInArrow(run, SCORED)
 
@@ -160,7 +166,7 @@ def _far(rows: DataFrame, lengths: DataFrame, block_bytes: int = BLOCK_BYTES) ->
 
     def score(docs: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         look = Hashed(found["g"].to_numpy(np.int64), found["bits"].to_numpy(np.float32))
-        out = docs[["id", "lang", "trusted"]].copy()
+        out = docs[["id", "lang", "role"]].copy()
         keys, at = grams([t.encode() if isinstance(t, str) else None for t in docs["text"]])
         return out.assign(n_bytes=np.diff(at), bits=run_sums(look(keys), at))
 
@@ -169,12 +175,13 @@ def _far(rows: DataFrame, lengths: DataFrame, block_bytes: int = BLOCK_BYTES) ->
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame, max_table: int = MAX_TABLE) -> DataFrame:
-    """id, lang, trusted, n_bytes, bits of each row; ``trusted`` has the ids (id) of trusted documents."""
+    """id, lang, role, n_bytes, bits of each row; ``trusted`` has the ids (id) of trusted documents."""
     ids = written(trusted.select(F.col("id").alias("_t")).distinct())
     ids = F.broadcast(ids) if ids.count() <= MAX_IDS else ids
     rows = narrow(docs, "doc_id", "text", F.col("lang").cast("string").alias("lang")).join(ids, F.col("id") == F.col("_t"), "left")
-    rows = rows.select("id", "text", "lang", F.col("_t").isNotNull().alias("trusted"))
-    every = written(rows.select("text", "trusted").mapInArrow(_count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")))
+    role = F.when(F.col("_t").isNull(), OTHER).when(F.pmod(F.xxhash64("text"), F.lit(HELD_OUT)) == 0, TEST).otherwise(LEARNED)
+    rows = rows.select("id", "text", "lang", role.alias("role"))
+    every = written(rows.select("text", "role").mapInArrow(_count, "g long, c long").groupBy("g").agg(F.sum("c").alias("c")))
     lengths = written(code_lengths(every, levels(every.filter("c > 0"))))
     return written(_near(rows, lengths) if lengths.count() <= max_table else _far(rows, lengths))
 
@@ -182,10 +189,10 @@ def perplexities(docs: DataFrame, trusted: DataFrame, max_table: int = MAX_TABLE
 def quality_model(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN, max_table: int = MAX_TABLE) -> DataFrame:
     """doc_id, lang, n_bytes, perplexity, threshold and kept of each row of docs."""
     scored = perplexities(docs, trusted, max_table).withColumn("perplexity", F.when(F.col("n_bytes") > 0, F.pow(2.0, F.col("bits") / F.col("n_bytes"))).otherwise(1.0))
-    good = scored.filter("trusted and n_bytes > 0")
-    cut = F.percentile_approx("perplexity", F.lit(quantile), F.lit(10_000))
-    overall = good.agg(cut.alias("q")).first().q
-    by_lang = good.groupBy("lang").agg(cut.alias("q"))
+    cut = lambda role: F.percentile_approx(F.when((F.col("role") == role) & (F.col("n_bytes") > 0), F.col("perplexity")), F.lit(quantile), F.lit(10_000))
+    overall = scored.agg(F.coalesce(cut(TEST), cut(LEARNED)).alias("q")).first().q
+    by_lang = scored.filter(F.col("role") == TEST).groupBy("lang").agg(cut(TEST).alias("q"))  # a row a language
+    by_lang = F.broadcast(by_lang) if len(by_lang.take(MAX_LANGS + 1)) <= MAX_LANGS else by_lang
     threshold = margin * F.coalesce("q", F.lit(overall).cast("double"))
     return scored.join(by_lang, "lang", "left").select(
         F.col("id").alias("doc_id"), "lang", "n_bytes", "perplexity", threshold.alias("threshold"),

@@ -9,7 +9,9 @@ byte with its code, each context with its escape. Look-ups are made once for eac
 window of a slice of texts.
 
 Null text, or text without any letter: ``und`` with score 0. Without training rows every
-text is ``und``. Repeated rows each get their own result.
+text is ``und``. Of equally short codes the first language by name wins. Repeated rows each
+get their own result, very long texts are coded whole, an empty table gives an empty result.
+Only the named columns are read, whatever others there are.
 """
 
 from __future__ import annotations

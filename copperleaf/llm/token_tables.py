@@ -9,7 +9,12 @@ index by bisection and reads one run of blocks.
 Shards are dealt out by ranges of the identifier, so their names' order is key order. A
 task writes under a name of its own and renames at the end; a task that runs again gives
 the same files. Repeated identifiers keep all their entries, ordered by text; a null
-identifier sorts first. Null text counts as empty. An empty table gives no shard.
+identifier sorts first. Null text counts as empty. An empty table gives no shard. Very long
+texts are encoded whole. Only the named columns are read, whatever others there are.
+
+A folder is a full address (``file:``, ``s3:``, ``s3a:``, ``gs:``, ``hdfs:``) that every task can open;
+an address of another kind raises an error instead of being taken for a local folder. Who
+asks for shards owns the folder and deletes it.
 """
 
 from __future__ import annotations
@@ -79,6 +84,11 @@ def _filter_bits(key: bytes, size: int) -> list[int]:
     return [(a + k * b) % size for k in range(BLOOM_HASHES)]
 
 
+def file_system(folder: str) -> tuple[pafs.FileSystem, str]:
+    """The store and the path there of a folder's full address; Spark's names of object stores stand for the store's own."""
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", folder))
+
+
 class ShardWriter:
     """Takes (key, ids) in key order; ``finish`` gives (entries, tokens)."""
 
@@ -210,7 +220,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
         fill, width = word_encoder(tokenizer)
         table = ListTable(fill, 150_000)
         part = TaskContext.get().partitionId()
-        store, base = pafs.FileSystem.from_uri(folder)
+        store, base = file_system(folder)
         store.create_dir(base, recursive=True)
         done: list[tuple] = []
         writer = sink = temp = None
@@ -249,7 +259,7 @@ def read_shards(shards: DataFrame, folder: str) -> DataFrame:
     tasks = max(1, min(shards.count(), 100_000))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, base = pafs.FileSystem.from_uri(folder)
+        store, base = file_system(folder)
         for batch in batches:
             for path, start in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 out: tuple[list, ...] = ([], [], [], [])

@@ -7,7 +7,9 @@ log odds, and a text's score is that of its worst window, so a few words in a ve
 text still count. In training the windows of a text share its label through a log-sum-exp.
 
 Null or empty text has one empty window, whose score is the bias alone. Repeated rows each
-get their own result. Without labelled rows of both classes every score is 0.
+get their own result; an id or text that is labelled both ways counts as toxic. Very long
+texts are scored whole, but train only up to ``SAMPLE_CHARS``, a bound of the sample. Without
+labelled rows of both classes every score is 0. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -76,7 +78,7 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
     """Log odds of each bucket and the bias: the trained embeddings times the softmax' difference."""
     y = np.asarray(labels, float)
     if not len(y) or y.min() == y.max():
-        return np.zeros(BUCKETS), -50.0
+        return np.zeros(BUCKETS), -np.inf
     kinds: dict[bytes, int] = {}
     split = [_split(t) for t in texts]
     rows = np.array([kinds.setdefault(w, len(kinds)) for ws in split for w in ws], np.int64)
@@ -129,14 +131,14 @@ def train(texts: list[str], labels: list[int], epochs: int = EPOCHS, seed: int =
 
 def fit(docs: DataFrame, labels: DataFrame, learn, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Train on about ``sample`` texts of each class among the labelled rows where ``learn`` holds."""
-    known = labels.filter(learn & F.col("toxic").isNotNull()).select(F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic"))
+    known = labels.filter(learn & F.col("toxic").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     share = lambda c: sample / max(1, counts.get(c, 0))
     draw = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 1_000_003
-    known = known.filter(draw < F.when(F.col("toxic") == 1, share(1)).otherwise(share(0))).dropDuplicates(["id"])
-    # about 2 * sample rows of 12 bytes
-    rows = narrow(docs).filter(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(known.limit(4 * sample)), "id").select("text", "toxic").collect()
-    rows = sorted({(r.text, r.toxic) for r in rows})
+    known = known.filter(draw < F.when(F.col("toxic") == 1, share(1)).otherwise(share(0))).orderBy(draw, "id").limit(4 * sample)
+    # about 2 * sample rows of 12 bytes; however often their ids occur in docs, as many texts
+    texts = narrow(docs).filter(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(known), "id").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    rows = sorted((r.text, r.toxic) for r in texts.orderBy(F.xxhash64("text"), "text").limit(4 * sample).collect())
     return train([t for t, _ in rows], [y for _, y in rows])
 
 
@@ -156,7 +158,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
             values, at = words.values([_split((t or b"").decode()) for t in raw])
             means, first = window_means(np.zeros(0) if values is None else values, at)
             odds = np.maximum.reduceat(means, first[:-1]) + bias
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(1 / (1 + np.exp(-np.clip(odds, -500, 500))))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.where(np.isneginf(odds), 0.0, 1 / (1 + np.exp(-np.clip(odds, -500, 500)))))], ["doc_id", "score"])
 
     return narrow(docs).mapInArrow(scores, "doc_id long, score double")
 

@@ -43,7 +43,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Words times positions that advance together, bits of the table that tells which hashes can be a piece's, bytes of text in a slice.
 CELLS = 200_000
 MAYBE_BITS = 21
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Words beyond LONG characters are cut into segments of SEGMENT characters that start WARM characters early.
 LONG, SEGMENT, WARM = 640, 256, 64
 #: Last pieces that are none: a character without a piece, and the beginning of a word.
@@ -285,18 +285,24 @@ class Pieces:
         return b"".join(map(self.raw.__getitem__, ids.tolist()))[1:]
 
 
-def encode(docs: DataFrame, model: str) -> DataFrame:
-    """id, text and ids (little-endian unsigned 32-bit numbers as binary) of each row; ``model`` is a path that the driver has."""
+def encode(docs: DataFrame, model: str, verify: bool = False) -> DataFrame:
+    """id, text and ids (little-endian unsigned 32-bit numbers as binary) of each row; ``model`` is a path that the driver has.
+
+    With ``verify``, round_trip (whether the ids decode to the text; null counts as empty) stands in place of the text.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(Pieces(model))
+    name, kind = ("round_trip", "boolean") if verify else ("text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ListTable(shared.value.encode_words, 120_000)
+        pieces = shared.value
+        table = ListTable(pieces.encode_words, 120_000)
         for batch, raw in chunks(batches, SLICE_BYTES):
             flat, at = table.lists([WORD.findall(" " + t.decode()) if t else [] for t in raw])
-            ids = [x.tobytes() for x in np.split(flat.astype("<u4"), at[1:-1])]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(ids, pa.binary())], ["id", "text", "ids"])
+            each = np.split(flat.astype("<u4"), at[1:-1])
+            second = pa.array([pieces.decode(x) == (t or b"") for x, t in zip(each, raw, strict=True)], pa.bool_()) if verify else batch.column("text")
+            yield pa.RecordBatch.from_arrays([batch.column("id"), second, pa.array([x.tobytes() for x in each], pa.binary())], ["id", name, "ids"])
 
-    return narrow(docs).mapInArrow(run, "id long, text string, ids binary")
+    return narrow(docs).mapInArrow(run, f"id long, {name} {kind}, ids binary")
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -314,14 +320,8 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def encoded_digest(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32 and round_trip (the decoded text's 64-bit hash is the text's; null counts as empty)."""
-    # texts are compared by their hash, so that they need not travel on with the ids
-    check = lambda c: F.xxhash64(F.coalesce(c, F.lit("")))
-    encoded = encode(docs, model).select("id", check(F.col("text")).alias("check"), "ids")
-    return decode(encoded, model).select(
-        F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"),
-        (check(F.col("decoded")) == F.col("check")).alias("round_trip"),
-    )
+    """doc_id, n_pieces, ids_crc32 and round_trip (the ids decode to the text; null counts as empty)."""
+    return encode(docs, model, verify=True).select(F.col("id").alias("doc_id"), (F.octet_length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"), "round_trip")
 
 
 def op6_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,6 +143,8 @@ def test_rare_long_contexts_keep_their_codes():
 
 
 def test_pieces_round_trip(docs, empty):
+    back = sentence_pieces.decode(sentence_pieces.encode(docs, sentence_pieces.model_path()), sentence_pieces.model_path())
+    assert back.filter("coalesce(text, '') <> decoded").count() == 0 and back.count() == docs.count()
     got = sentence_pieces.encoded_digest(docs, sentence_pieces.model_path())
     assert got.filter("not round_trip").count() == 0 and got.count() == docs.count()
     assert sentence_pieces.encoded_digest(empty, sentence_pieces.model_path()).count() == 0

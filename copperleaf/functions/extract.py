@@ -6,8 +6,9 @@ data: an ordered list of (label, words) compiles to one ``when`` chain.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,18 +55,18 @@ SENDERS = [
 ]
 SECOND_SIM = ["SubId：2", "SIM2", "卡槽2"]
 CATEGORIES = [
-    ("CAR_EXPENSE", "汽车销售 汽车服务 欧亚特 4S店 维保 汽车保养 修车 汽修 机油 汽车配件 洗车 车检 年审 轮胎 补胎 钣金 喷漆".split()),
-    ("TRANSPORT", "打车 高德 地铁 公交 停车 易充 南网电动 汽车文化 滴滴 顺易通 科拓 车主 加油".split()),
-    ("MEDICAL", "医院 大药房 药店 卫生服务 门诊 诊所 慢病防治 慢性病 何贤 番禺中心医院 陪护".split()),
-    ("COMMUNICATION", "话费 中国移动 中国联通 中国电信 宽带 通信 10086 10010 10000".split()),
-    ("INSURANCE", "保费 保单 平安产险 平安保险 申能保险 中意人寿 人寿保险 财产保险 蚂蚁保".split()),
-    ("PROPERTY_MANAGEMENT", "物业管理 物业服务 浩丰物业 物业费 管理费 电网 供电 供电局 电费 水费 自来水 燃气 燃气费 南方电网".split()),
-    ("TRAVEL", "文旅 旅游文化 景区 门票 旅行社 度假 苏荷文旅 鼎基旅游".split()),
-    ("FOOD", "快餐 餐饮 饭堂 小面 米线 美食 萨莉亚 煲珠公 奶昔 生果 蛋挞 面馆 料理 咖啡 莲香楼 丰味馆 索迪斯 饿了么 拉扎斯 美团 三快 茶理宜世 奶茶".split()),
-    ("ONLINE_SHOPPING", "拼多多 天猫 淘宝 京东 得物 唯品会 抖音电商 快手电商 闲鱼 苏宁易购 当当网 小米商城 网易严选 阿里 电子商务 艺牛".split()),
-    ("OFFLINE_SHOPPING", "盒马 超市 沃尔玛 永旺 大润发 山姆 便利店 康成投资 今日卖场 商贸 箱包 数码 家具 家居 现代农业 曼伦 欧风麦甜 所见所得 百货 商场".split()),
+    ("CAR_EXPENSE", ["汽车销售", "汽车服务", "欧亚特", "4S店", "维保", "汽车保养", "修车", "汽修", "机油", "汽车配件", "洗车", "车检", "年审", "轮胎", "补胎", "钣金", "喷漆"]),
+    ("TRANSPORT", ["打车", "高德", "地铁", "公交", "停车", "易充", "南网电动", "汽车文化", "滴滴", "顺易通", "科拓", "车主", "加油"]),
+    ("MEDICAL", ["医院", "大药房", "药店", "卫生服务", "门诊", "诊所", "慢病防治", "慢性病", "何贤", "番禺中心医院", "陪护"]),
+    ("COMMUNICATION", ["话费", "中国移动", "中国联通", "中国电信", "宽带", "通信", "10086", "10010", "10000"]),
+    ("INSURANCE", ["保费", "保单", "平安产险", "平安保险", "申能保险", "中意人寿", "人寿保险", "财产保险", "蚂蚁保"]),
+    ("PROPERTY_MANAGEMENT", ["物业管理", "物业服务", "浩丰物业", "物业费", "管理费", "电网", "供电", "供电局", "电费", "水费", "自来水", "燃气", "燃气费", "南方电网"]),
+    ("TRAVEL", ["文旅", "旅游文化", "景区", "门票", "旅行社", "度假", "苏荷文旅", "鼎基旅游"]),
+    ("FOOD", ["快餐", "餐饮", "饭堂", "小面", "米线", "美食", "萨莉亚", "煲珠公", "奶昔", "生果", "蛋挞", "面馆", "料理", "咖啡", "莲香楼", "丰味馆", "索迪斯", "饿了么", "拉扎斯", "美团", "三快", "茶理宜世", "奶茶"]),
+    ("ONLINE_SHOPPING", ["拼多多", "天猫", "淘宝", "京东", "得物", "唯品会", "抖音电商", "快手电商", "闲鱼", "苏宁易购", "当当网", "小米商城", "网易严选", "阿里", "电子商务", "艺牛"]),
+    ("OFFLINE_SHOPPING", ["盒马", "超市", "沃尔玛", "永旺", "大润发", "山姆", "便利店", "康成投资", "今日卖场", "商贸", "箱包", "数码", "家具", "家居", "现代农业", "曼伦", "欧风麦甜", "所见所得", "百货", "商场"]),
 ]
-NOT_A_PERSON = "盒马 美团 高德 易充 京东 淘宝 天猫 超市 医院 饭堂 小面".split()
+NOT_A_PERSON = ["盒马", "美团", "高德", "易充", "京东", "淘宝", "天猫", "超市", "医院", "饭堂", "小面"]
 PERSON = r"(?:交易商户|商户|收款方)[:：](?:支付宝|财付通|微信支付)?-?([\u4e00-\u9fa5]{2,4})[。，,\s]"
 MERCHANT_LABEL = "交易商户[：:]([^。，,;\n\r]+)"
 PAYEE = "向([^，,。]+?)(?:付款|支付|成功付款|转账)"
@@ -88,7 +89,13 @@ def jtrim(x: Column) -> Column:
 
 
 def has(x: Column, words: Sequence[str]) -> Column:
-    return x.rlike("|".join(map(re.escape, words)))
+    """Whether the text holds any of the words."""
+    return reduce(or_, [x.contains(w) for w in words])
+
+
+def once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), with x evaluated once however often f uses it."""
+    return F.get(F.transform(F.array(x), lambda v: f(v)), F.lit(0))
 
 
 def first_label(x: Column, rules: Sequence[tuple[str, Sequence[str]]], default: Column) -> Column:
@@ -103,9 +110,14 @@ def _group(x: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(x, pattern, 1), F.lit(""))
 
 
+def blank(body: Column) -> Column:
+    """Whether a body is null or has nothing above U+0020."""
+    return ~F.coalesce(body.rlike(r"[^\x00-\x20]"), F.lit(False))
+
+
 def filled(body: Column, x: Column) -> Column:
     """x, or null for a null or blank body."""
-    return F.when(jtrim(body) != "", x)
+    return F.when(~blank(body), x)
 
 
 def code_only(body: Column) -> Column:
@@ -117,14 +129,18 @@ def is_valid_tx(body: Column) -> Column:
     return F.coalesce(filled(body, F.when(vetoed, False).otherwise(has(body, VALID_WORDS))), F.lit(False))
 
 
-def amount(body: Column) -> Column:
-    """The first positive match by priority; with none, the value of the last pattern that matched."""
-    raws = [_group(body, p) for p in AMOUNTS]
-    values = [F.round(F.replace(r, F.lit(","), F.lit("")).try_cast("decimal(38,18)"), 2).try_cast("decimal(12,2)") for r in raws]
-    last = None
-    for r, v in reversed(list(zip(raws, values, strict=True))):
-        last = F.when(r.isNotNull(), v) if last is None else last.when(r.isNotNull(), v)
-    return filled(body, F.when(~(code_only(body) | has(body, LOAN_ADS)), F.coalesce(*[F.when(v > 0, v) for v in values], last)))
+def amount_matches(body: Column) -> Column:
+    """array<string>: what each pattern matched, null for none."""
+    return F.array(*[_group(body, p) for p in AMOUNTS])
+
+
+def amount(body: Column, matches: Column | None = None) -> Column:
+    """The first positive match by priority; with none, the value of the last pattern that matched. ``matches``: a column of ``amount_matches``."""
+    seen = F.filter(amount_matches(body) if matches is None else matches, lambda r: r.isNotNull())
+    values = F.transform(seen, lambda r: F.round(F.replace(r, F.lit(","), F.lit("")).try_cast("decimal(38,18)"), 2).try_cast("decimal(12,2)"))
+    # each pattern is matched once: a fold keeps the first positive value, and the last one until then
+    best = F.aggregate(values, F.lit(None).cast("decimal(12,2)"), lambda a, v: F.when(a > 0, a).otherwise(v))
+    return filled(body, F.when(~(code_only(body) | has(body, LOAN_ADS)), best))
 
 
 def currency(body: Column, value: Column) -> Column:
@@ -136,7 +152,7 @@ def direction_type(body: Column) -> Column:
     pair = lambda d, t: F.struct(F.lit(d).alias("direction"), F.lit(t).alias("tx_type"))
     none = F.struct(F.lit(None).cast("string").alias("direction"), F.lit(None).cast("string").alias("tx_type"))
     return (
-        F.when(F.coalesce(jtrim(body) == "", F.lit(True)) | code_only(body) | has(body, TYPE_IGNORED), none)
+        F.when(blank(body) | code_only(body) | has(body, TYPE_IGNORED), none)
         .when(has(body, ["退款", "冲正"]), pair("INFLOW", "REFUND"))
         .when(has(body, ["还款"]) & ~has(body, ["最低还款", "账单为", "账单应还"]), pair("OUTFLOW", "TRANSFER"))
         .when(has(body, ["赔款", "理赔", "到账", "入账"]), pair("INFLOW", "INCOME"))
@@ -194,9 +210,16 @@ def cleaned_merchant(party: Column, aliases: dict[str, str] | None = None) -> Co
     names = F.create_map(*[F.lit(x) for pair in (aliases or ALIASES).items() for x in pair])
     raw = jtrim(F.regexp_replace(party, "^(?:支付宝|财付通|微信支付|银联)-", ""))
     bare = jtrim(F.regexp_replace(raw, "收款$", ""))
-    # the longest suffix is the first in the list that fits, and something must remain
-    cut = jtrim(F.regexp_replace(bare, f"^(.+?)(?:{'|'.join(CORPORATE)})$", "$1"))
-    return F.coalesce(F.try_element_at(names, raw), F.try_element_at(names, cut), F.nullif(cut, F.lit("")), party)
+
+    def cut(x: Column) -> Column:
+        """Without the first suffix in the list that fits, if something remains."""
+        chain = F.when(F.lit(False), x)
+        for suffix in CORPORATE:
+            chain = chain.when(x.endswith(suffix) & (F.length(x) > len(suffix)), F.left(x, F.length(x) - len(suffix)))
+        return jtrim(chain.otherwise(x))
+
+    named = lambda x: F.coalesce(F.try_element_at(names, x), F.nullif(x, F.lit("")))
+    return F.coalesce(once(raw, lambda r: F.try_element_at(names, r)), once(once(bare, cut), named), party)
 
 
 def personal_transfer(body: Column) -> Column:
@@ -205,21 +228,48 @@ def personal_transfer(body: Column) -> Column:
     return F.coalesce(person.isNotNull() & ~has(person, NOT_A_PERSON), F.lit(False))
 
 
-def category(body: Column) -> Column:
+def category(body: Column, rules: Sequence[tuple[str, Sequence[str]]] = CATEGORIES) -> Column:
     rest = F.when(personal_transfer(body), "PERSONAL_TRANSFER").otherwise("OTHER")
-    return filled(body, first_label(body, CATEGORIES, rest))
-
-
-def to_transactions(messages: DataFrame) -> DataFrame:
-    """16 columns of facts from messages (id, sender, received_at, raw_body); one select, no shuffle."""
-    body = F.col("raw_body")
-    first = messages.select("id", "sender", "received_at", "raw_body", amount(body).alias("amount"), card_tail(body).alias("card_tail"), direction_type(body).alias("dt"), counterparty(body).alias("counterparty"))
-    return first.select(
-        "id", F.col("id").alias("raw_record_id"), tx_time(body, F.col("received_at")).alias("tx_time"), "amount", currency(body, F.col("amount")).alias("currency"),
-        "dt.direction", "dt.tx_type", F.col("sender").alias("institution"), account_type(body, F.col("card_tail")).alias("account_type"), "card_tail",
-        payment_channel(body).alias("payment_channel"), "counterparty", cleaned_merchant(F.col("counterparty")).alias("cleaned_merchant"),
-        category(body).alias("category"), is_valid_tx(body).alias("is_valid_tx"), F.current_timestamp().alias("etl_created_at"),
-    )
+    return filled(body, first_label(body, rules, rest))
+
+
+#: What each fact is made of, by name: functions of a message's columns (raw_body, received_at, sender, id and ``MATCHED``).
+#: The facts come in steps, so that later ones can use ``FIRST``; a caller may pass other or more ``FACTS``. Long rule chains
+#: stand in lambdas (``once``), as generated code of their size in one projection would not be compiled to machine code.
+MATCHED = {"amount_matches": lambda: amount_matches(F.col("raw_body")), "label": lambda: direction_type(F.col("raw_body"))}
+FIRST = {
+    "amount": lambda: amount(F.col("raw_body"), F.col("amount_matches")),
+    "card_tail": lambda: card_tail(F.col("raw_body")),
+    "counterparty": lambda: once(F.col("raw_body"), counterparty),
+}
+FACTS = {
+    "raw_record_id": lambda: F.col("id"),
+    "tx_time": lambda: tx_time(F.col("raw_body"), F.col("received_at")),
+    "amount": lambda: F.col("amount"),
+    "currency": lambda: currency(F.col("raw_body"), F.col("amount")),
+    "direction": lambda: F.col("label.direction"),
+    "tx_type": lambda: F.col("label.tx_type"),
+    "institution": lambda: F.col("sender"),
+    "account_type": lambda: account_type(F.col("raw_body"), F.col("card_tail")),
+    "card_tail": lambda: F.col("card_tail"),
+    "payment_channel": lambda: payment_channel(F.col("raw_body")),
+    "counterparty": lambda: F.col("counterparty"),
+    "cleaned_merchant": lambda: cleaned_merchant(F.col("counterparty")),
+    "category": lambda: once(F.col("raw_body"), category),
+    "is_valid_tx": lambda: is_valid_tx(F.col("raw_body")),
+    "etl_created_at": lambda: F.current_timestamp(),
+}
+
+
+def to_transactions(messages: DataFrame, facts: dict[str, Callable[[], Column]] | None = None) -> DataFrame:
+    """Facts (id and the entries of ``FACTS``) from messages (id, sender, received_at, raw_body), without a shuffle.
+
+    ``facts`` replaces or adds entries by name.
+    """
+    each = lambda table: [f().alias(n) for n, f in table.items()]
+    base = messages.select("id", "sender", "received_at", "raw_body", *each(MATCHED))
+    first = base.select("id", "sender", "received_at", "raw_body", "label", *each(FIRST))
+    return first.select("id", *each(FACTS | (facts or {})))
 
 
 def raw_body(subject: Column, body: Column) -> Column:
@@ -243,12 +293,28 @@ def strip_html(html: Column) -> Column:
     return jtrim(F.regexp_replace(html, "<[^>]*>", ""))
 
 
-def assemble_raw(emails: DataFrame, channel: str = "SMS") -> DataFrame:
-    """Raw messages (8 columns) from emails (uid, message_id, subject, received_at, body); a null uid becomes a stable hash."""
-    text = raw_body(F.col("subject"), F.col("body"))
-    uid = msg_uid(F.col("message_id"), text)
+def body_of_parts(parts: Column) -> Column:
+    """The text of a message in parts (array<struct<is_html, content>>): html without tags, parts that are null left out, one to a line."""
+    texts = F.transform(F.filter(parts, lambda p: p["content"].isNotNull()), lambda p: F.when(p["is_html"], strip_html(p["content"])).otherwise(p["content"]))
+    return jtrim(F.array_join(texts, "\n"))
+
+
+#: Fields of a raw message by name: functions of an email's columns (subject, body, message_id, received_at, uid).
+RAW = {
+    "sender": lambda: sender(F.col("subject"), F.col("body")),
+    "receiver_phone": lambda: sim_slot(F.col("subject"), F.col("body")),
+    "received_at": lambda: F.coalesce("received_at", F.current_timestamp()),
+    "raw_body": lambda: raw_body(F.col("subject"), F.col("body")),
+    "created_at": lambda: F.current_timestamp(),
+}
+
+
+def assemble_raw(emails: DataFrame, channel: str = "SMS", fields: dict[str, Callable[[], Column]] | None = None) -> DataFrame:
+    """Raw messages (8 columns) from emails (uid, message_id, subject, received_at, body); a null uid becomes a stable hash.
+
+    ``fields`` replaces or adds entries of ``RAW`` by name.
+    """
+    uid = msg_uid(F.col("message_id"), raw_body(F.col("subject"), F.col("body")))
     return emails.select(
-        F.coalesce("uid", F.xxhash64(uid)).alias("id"), uid.alias("msg_uid"), F.lit(channel).alias("channel"), sender(F.col("subject"), F.col("body")).alias("sender"),
-        sim_slot(F.col("subject"), F.col("body")).alias("receiver_phone"), F.coalesce("received_at", F.current_timestamp()).alias("received_at"),
-        text.alias("raw_body"), F.current_timestamp().alias("created_at"),
+        F.coalesce("uid", F.xxhash64(uid)).alias("id"), uid.alias("msg_uid"), F.lit(channel).alias("channel"), *[f().alias(n) for n, f in (RAW | (fields or {})).items()],
     )

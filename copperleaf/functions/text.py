@@ -13,20 +13,29 @@ IMAGE = r"!\[[^\]]*\]\(([^()\s]+)\)"
 LINK = r"(https?://[^\s<>()\"']+)"
 
 
+#: Characters that are joined to what is left of the ones before and cut, so that work grows with the text and not with its square.
+PAGE = 1 << 14
+
+
 def blocks(text: Column, size: int = BLOCK, least: int = LEAST) -> Column:
     """array<string>: at most ``size`` characters each, cut at the last line end beyond ``least`` if there is one; blank blocks are left out."""
+    with_part = lambda parts, part: F.when(part != "", F.concat(parts, F.array(part))).otherwise(parts)
 
-    def step(acc: Column, _: Column) -> Column:
-        rest, window = acc["rest"], F.substring(acc["rest"], 1, size + 1)
+    def cut_one(acc: Column, _: Column) -> Column:
+        window = F.substring(acc["rest"], 1, size + 1)
         back = F.instr(F.reverse(window), "\n")
         line_end = F.length(window) - back
-        cut = F.when(F.length(window) <= size, F.length(window)).when((back > 0) & (line_end > least), line_end).otherwise(size)
-        part = jtrim(F.substr(rest, F.lit(1), cut))
-        parts = F.when(part != "", F.concat(acc["parts"], F.array(part))).otherwise(acc["parts"])
-        return F.struct(F.substr(rest, cut + 1).alias("rest"), parts.alias("parts"))
+        cut = F.when((back > 0) & (line_end > least), line_end).otherwise(size)
+        fresh = F.struct(F.substr(acc["rest"], cut + 1).alias("rest"), with_part(acc["parts"], jtrim(F.substr(acc["rest"], F.lit(1), cut))).alias("parts"))
+        return F.when(F.length(window) > size, fresh).otherwise(acc)
+
+    def cut_page(acc: Column, page: Column) -> Column:
+        start = F.struct(F.concat(acc["rest"], page).alias("rest"), acc["parts"].alias("parts"))
+        return F.aggregate(F.sequence(F.lit(1), F.floor((F.length(acc["rest"]) + F.length(page)) / least).cast("int") + 1), start, cut_one)
 
-    none = F.struct(jtrim(text).alias("rest"), F.array().cast("array<string>").alias("parts"))
-    return F.aggregate(F.sequence(F.lit(1), F.floor(F.length(text) / least).cast("int") + 1), none, step, lambda acc: acc["parts"])
+    none = F.struct(F.lit("").alias("rest"), F.array().cast("array<string>").alias("parts"))
+    pages = F.regexp_extract_all(jtrim(text), F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+    return F.aggregate(pages, none, cut_page, lambda acc: with_part(acc["parts"], jtrim(acc["rest"])))
 
 
 def split_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

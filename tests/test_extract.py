@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from copperleaf.functions import extract as X
-from copperleaf.sources import changelog
+from copperleaf.functions import text
+from copperleaf.plans import summaries
+from copperleaf.sources import changelog, offsets
 from copperleaf.streaming import incremental
 
 AT = datetime.datetime(2024, 3, 6, 2, 0)
@@ -41,15 +43,89 @@ def test_cleaned_merchant(spark, party, clean):
     assert df.select(X.cleaned_merchant(F.col("p"))).first()[0] == clean
 
 
-def test_replayed_commit_changes_nothing_and_as_of(spark, tmp_path):
-    a = spark.createDataFrame([(1, "x"), (2, "x")], "id long, v string")
-    b = spark.createDataFrame([(2, "y")], "id long, v string")
-    for seq, df in ((1, a), (2, b), (2, b)):
-        changelog.append(df, str(tmp_path / "t"), seq)
+def test_facts_and_fields_can_be_replaced_by_name(spark):
+    df = spark.createDataFrame([(1, "CGB", AT, SAMPLE)], "id long, sender string, received_at timestamp_ntz, raw_body string")
+    own = {"category": lambda: X.category(F.col("raw_body"), [("SNACKS", ["快餐"])]), "cleaned_merchant": lambda: X.cleaned_merchant(F.col("counterparty"), {"样例快餐": "S"}), "n_chars": lambda: F.length("raw_body")}
+    r = X.to_transactions(df, own).first()
+    assert (r.category, r.cleaned_merchant, r.n_chars, r.amount) == ("SNACKS", "S", len(SAMPLE), D("12.50"))
+    mail = spark.createDataFrame([(None, "m", "95508", None, SAMPLE)], "uid long, message_id string, subject string, received_at timestamp_ntz, body string")
+    raw = X.assemble_raw(mail, fields={"receiver_phone": lambda: F.lit("one")}).first()
+    assert raw.receiver_phone == "one" and raw.sender == "CGB" and raw.id is not None
+
+
+def test_message_in_parts(spark):
+    part = "array<struct<is_html:boolean,content:string>>"
+    df = spark.createDataFrame([([(True, "<p> a </p>"), (False, "b <c>"), (True, None)],), ([],)], f"parts {part}")
+    assert [r.b for r in df.select(X.body_of_parts(F.col("parts")).alias("b")).collect()] == ["a\nb <c>", ""]
+
+
+def test_versions_of_a_key(spark, tmp_path):
+    """Replayed batch, late older version, two versions in one commit, as-of before the first commit."""
+    put = lambda rows: spark.createDataFrame(rows, "id long, v string")
+    for seq, rows in ((1, [(1, "x"), (2, "x")]), (3, [(2, "y"), (2, "z")]), (2, [(2, "late"), (1, "w")]), (3, [(2, "y"), (2, "z")])):
+        changelog.append(put(rows), str(tmp_path / "t"), seq)
     log = changelog.read(spark, str(tmp_path / "t"))
-    assert {(r.id, r.v) for r in changelog.latest_by_key(log, ["id"]).collect()} == {(1, "x"), (2, "y")}
-    assert [(r.n_rows, r.total_rows) for r in changelog.history(log).orderBy("_commit_seq").collect()] == [(2, 2), (1, 3)]
-    assert changelog.as_of(log, ["id"], F.lit("2000-01-01").cast("timestamp")).count() == 0
+    assert {(r.id, r.v) for r in changelog.latest_by_key(log, ["id"], F.col("v")).collect()} == {(1, "w"), (2, "z")}
+    assert [(r.n_rows, r.total_rows) for r in changelog.history(log).orderBy("_commit_seq").collect()] == [(2, 2), (2, 4), (2, 6)]
+    assert changelog.as_of(log, ["id"], F.lit("2000-01-01").cast("timestamp"), F.col("v")).count() == 0
+    months = log.withColumn("t", F.make_timestamp_ntz(F.lit(2024), F.col("id").cast("int"), F.lit(5), F.lit(0), F.lit(0), F.lit(0)))
+    changelog.compact(months, str(tmp_path / "c"), ["id"], F.col("v"), "t")
+    changelog.compact(months.filter("v <> 'w'"), str(tmp_path / "c"), ["id"], F.col("v"), "t", ["2024-01"])
+    rows = spark.read.parquet(str(tmp_path / "c"))
+    assert {(r.id, r.v, r.month) for r in rows.withColumn("month", F.col("month").cast("string")).collect()} == {(1, "x", "2024-01"), (2, "z", "2024-02")}
+
+
+def test_newest_first_does_not_pass_unread_rows(spark):
+    df = spark.range(1, 101)
+    newest = changelog.next_batch(df, 10, 20, "latest_window")
+    assert {r.id for r in newest.collect()} == set(range(81, 101))
+    with pytest.raises(ValueError, match="unread"):
+        changelog.advanced(df, 10, newest)
+    assert changelog.advanced(df, 10, changelog.next_batch(df, 10, 20)) == 30 and changelog.advanced(df, 100, changelog.next_batch(df, 100, 20)) == 100
+    assert changelog.advanced(df, 80, newest) == 100
+    assert summaries.id_window(df, 5, 5) is None and summaries.id_window(df, 5, 9).count() == 4
+
+
+def test_failed_runs_are_recorded(spark, tmp_path):
+    with pytest.raises(KeyError):
+        offsets.run_recorded(spark, str(tmp_path / "runs"), "e1", "job", lambda: {}["x"])
+    offsets.run_recorded(spark, str(tmp_path / "runs"), "e2", "job", lambda: (3, 2, 9))
+    got = {r.execution_id: (r.status, r.records_in, r.records_out, r.last_offset, r.error_message) for r in spark.read.parquet(str(tmp_path / "runs")).collect()}
+    assert got == {"e1": ("FAILED", 0, 0, 0, "KeyError: 'x'"), "e2": ("SUCCESS", 3, 2, 9, None)}
+
+
+def test_month_layout_is_read_only_where_the_period_lies(spark, tmp_path):
+    df = spark.createDataFrame([(i, datetime.datetime(2024, 1 + i % 12, 3)) for i in range(48)], "id long, tx_time timestamp_ntz")
+    changelog.write_by_month(df, str(tmp_path / "m"), "tx_time")
+    rows = spark.read.schema("id long, tx_time timestamp_ntz, month string").parquet(str(tmp_path / "m"))
+    week = summaries.in_period(rows, "week", "2024-W05")
+    assert week.count() == 4 and len(week.inputFiles()) >= 1 and "PartitionFilters: [isnotnull(month" in week._jdf.queryExecution().toString()
+
+
+def test_a_new_checkpoint_adds_to_an_old_sink(spark, tmp_path):
+    put = lambda a, b, name: spark.createDataFrame([(i, name) for i in range(a, b)], "id long, v string").write.parquet(str(tmp_path / name))
+    put(0, 10, "one")
+    put(5, 20, "two")
+    schema = spark.read.parquet(str(tmp_path / "one")).schema
+    for name in ("one", "two", "one"):
+        incremental.run_available(spark, str(tmp_path / name), schema, str(tmp_path / "sink"), str(tmp_path / f"cursor-{name}"), lambda x: x)
+    log = changelog.read(spark, str(tmp_path / "sink"))
+    latest = {r.id: r.v for r in changelog.latest_by_key(log, ["id"], F.col("v")).collect()}
+    assert log.count() == 25 and latest == {i: "one" if i < 5 else "two" for i in range(20)}
+
+
+@pytest.mark.parametrize("n", [0, 1, 700, 20_000])
+def test_blocks_as_cut_one_by_one(spark, n):
+    line = "".join("ab\n"[i * i % 7 % 3] if i % 900 else "\n\n" for i in range(n)) + "x" * (n // 2)
+    rest, want = line.strip("".join(map(chr, range(33)))), []
+    while rest:
+        cut = len(rest)
+        if cut > text.BLOCK:
+            end = rest[: text.BLOCK + 1].rfind("\n")
+            cut = end if end > text.LEAST else text.BLOCK
+        part, rest = rest[:cut].strip("".join(map(chr, range(33)))), rest[cut:]
+        want += [part] if part else []
+    assert spark.createDataFrame([(line,)], "t string").select(text.blocks(F.col("t"))).first()[0] == want
 
 
 def test_stream_gives_the_batch_rows(spark, tmp_path):

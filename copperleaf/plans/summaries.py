@@ -110,19 +110,27 @@ def in_period(tx: DataFrame, kind: str, value: str) -> DataFrame:
         year, number = value.split("-W")
         low = F.date_add(F.trunc(F.make_date(F.lit(int(year)), F.lit(1), F.lit(4)), "week"), 7 * (int(number) - 1))
         high = F.date_add(low, 7)
-    return tx.filter((F.col(T) >= low.cast("timestamp_ntz")) & (F.col(T) < high.cast("timestamp_ntz")))
+    rows = tx.filter((F.col(T) >= low.cast("timestamp_ntz")) & (F.col(T) < high.cast("timestamp_ntz")))
+    # a table laid out by month is read only where the period lies
+    return rows.filter(F.col("month").between(F.date_format(low, "yyyy-MM"), F.date_format(F.date_sub(high, 1), "yyyy-MM"))) if "month" in tx.columns else rows
 
 
-def fallback_summary(tx: DataFrame) -> DataFrame:
-    """Summary from detail rows alone: null type counts as expense, null category as OTHER, every row counts."""
-    kind_ = F.coalesce("tx_type", F.lit("EXPENSE"))
-    sums = lambda c: F.coalesce(F.sum(F.when(c, F.col("amount"))), F.lit(0)).cast(MONEY)
-    expense = ~kind_.isin("REFUND", "INCOME", "TRANSFER")
-    rows = tx.groupBy(day().alias("stat_date")).agg(
-        F.count("*").alias("tx_count"), sums(expense).alias("total_expense"), sums(kind_ == "REFUND").alias("total_refund"), sums(kind_ == "INCOME").alias("total_income"),
-        sums(kind_ == "TRANSFER").alias("total_transfer"), sums((kind_ == "EXPENSE") & (F.coalesce("category", F.lit("OTHER")) == "OTHER")).alias("other_expense"),
-    )
-    return with_net(rows)
+def in_week_range(tx: DataFrame, label: str) -> DataFrame:
+    """Rows between the first and the last day that the weekly summary has for a week: two days are looked up, then the scan is filtered by them."""
+    row = weekly_summary(in_period(tx, "week", label)).select("week_start_date", "week_end_date").first()
+    if row is None:
+        return tx.limit(0)
+    return tx.filter((F.col(T) >= F.lit(row.week_start_date).cast("timestamp_ntz")) & (F.col(T) < F.date_add(F.lit(row.week_end_date), 1).cast("timestamp_ntz")))
+
+
+def recent_days(rows: DataFrame, time: str, today: Column, days: int = 7) -> DataFrame:
+    """Rows of the last days up to ``today`` and after, the newest first."""
+    return rows.filter(F.col(time) >= F.date_sub(today, days).cast("timestamp_ntz")).orderBy(F.desc(time))
+
+
+def id_window(rows: DataFrame, last: int, current: int) -> DataFrame | None:
+    """Rows with last < id <= current; None, so that there is nothing to do, where the window is empty."""
+    return rows.filter((F.col("id") > last) & (F.col("id") <= current)) if current > last else None
 
 
 def top_per(tx: DataFrame, period, by: list[Column], n: int) -> DataFrame:
@@ -139,40 +147,6 @@ def net_trend(daily: DataFrame, days: int = 30) -> DataFrame:
     return calendar.join(daily, "stat_date", "left").select("stat_date", F.coalesce("net_expense", F.lit(0)).cast(MONEY).alias("net_expense"), (F.weekday("stat_date") >= 5).alias("is_weekend"))
 
 
-def period_over_period(totals: DataFrame) -> DataFrame:
-    """Change of each category's month against the month before, for months without rows too (0)."""
-    span = totals.agg(F.min("stat_month").alias("a"), F.max("stat_month").alias("b"))
-    months = span.select(F.explode(F.sequence(F.to_date(F.concat("a", F.lit("-01"))), F.to_date(F.concat("b", F.lit("-01"))), F.expr("interval 1 month"))).alias("m"))
-    names = totals.select("category").distinct().groupBy().agg(F.collect_set("category").alias("names"))  # the fixed list of labels
-    grid = months.join(F.broadcast(names)).select(F.date_format("m", "yyyy-MM").alias("stat_month"), F.explode("names").alias("category"))
-    full = grid.join(totals, ["stat_month", "category"], "left").withColumn("amount", F.coalesce("amount", F.lit(0)).cast(MONEY))
-    before = F.lag("amount").over(Window.partitionBy("category").orderBy("stat_month"))
-    return full.withColumn("change", (F.col("amount") - before).cast(MONEY))
-
-
 def share(part: Column, net: Column) -> Column:
     """part of net in percent with one decimal, as text."""
     return F.when(net > 0, F.concat(F.round(part * 100 / net, 1).cast("decimal(18,1)").cast("string"), F.lit("%"))).otherwise("0.0%")
-
-
-def metrics_json(summary: DataFrame) -> Column:
-    """All measures of a summary row as one JSON text, nulls as 0."""
-    names = [c for c in summary.columns if c.startswith(("total_", "net_")) or c.endswith("_expense") or c == "tx_count"]
-    return F.to_json(F.struct(*[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in sorted(set(names))]))
-
-
-def chart_urls(text: Column) -> Column:
-    urls = F.array_distinct(F.regexp_extract_all(text, F.lit(r"(https?://[^\s<>()\"']+)"), F.lit(1)))
-    return F.when(F.size(urls) > 0, F.to_json(urls))
-
-
-def reports(tx: DataFrame) -> DataFrame:
-    """A report row for every day: bounds, macro figures joined to the count of details, metrics."""
-    macro = daily_summary(tx)
-    micro = tx.groupBy(day().alias("stat_date")).agg(F.count("*").alias("details"))
-    rows = micro.join(macro, "stat_date", "left")
-    return rows.select(
-        F.concat_ws("_", F.lit("report"), F.lit("daily"), F.col("stat_date").cast("string")).alias("report_id"), F.lit("DAILY").alias("period_type"),
-        F.col("stat_date").cast("string").alias("period_value"), F.col("stat_date").alias("report_date"), "total_expense", "total_refund", "net_expense", "total_income", "total_transfer",
-        F.coalesce("tx_count", "details").alias("tx_count"), metrics_json(macro).alias("metrics_json"), F.lit("SKIPPED").alias("slack_status"),
-    )

@@ -110,51 +110,24 @@ for name, columns in {"foreign_currency_total": ["foreign_total"], "card_reconci
     query(name, lambda tx, c=columns: S.monthly_summary(tx).select("stat_month", *c), f"SELECT stat_month, {', '.join(columns)} FROM monthly", with_=WITH)
 query("valid_on_date", lambda tx: detail(S.in_period(tx, "day", "1996-03-05").filter("is_valid_tx")), f"SELECT {DETAIL} FROM tx WHERE cast(tx_time AS date) = date '1996-03-05' AND is_valid_tx")
 query("valid_in_week", lambda tx: detail(S.in_period(tx, "week", "1997-W01").filter("is_valid_tx")), f"SELECT {DETAIL} FROM tx WHERE {WEEK} = '1997-W01' AND is_valid_tx")
-query("week_range_lookup", lambda tx: detail(tx.join(F.broadcast(S.weekly_summary(tx).filter("week_period = '1998-W10'").select("week_start_date", "week_end_date")), S.day().between(F.col("week_start_date"), F.col("week_end_date")))), f"SELECT {DETAIL} FROM tx WHERE {WEEK} = '1998-W10'")
 query("valid_in_month", lambda tx: detail(S.in_period(tx, "month", "1997-02").filter("is_valid_tx")), f"SELECT {DETAIL} FROM tx WHERE {MONTH} = '1997-02' AND is_valid_tx")
 query("expense_gate", lambda tx: detail(tx.filter(S.in_cny(S.is_expense()))), f"SELECT {DETAIL} FROM tx WHERE {EXPENSE} AND currency = 'CNY'")
 query("active_periods", lambda tx: S.daily_summary(tx).filter("tx_count > 0").select("stat_date", "tx_count"), "SELECT stat_date, tx_count FROM daily WHERE tx_count > 0", with_=WITH)
-query("row_id_window", lambda tx: detail(tx.filter("id > 1000 and id <= 3000")), f"SELECT {DETAIL} FROM tx WHERE id > 1000 AND id <= 3000")
-query("recent_days", lambda e: e.filter(F.col("received_at") >= F.lit("2024-01-20").cast("timestamp_ntz")).select("id", "received_at"), "SELECT id, received_at FROM msg WHERE received_at >= timestamp '2024-01-20'", source=messages)
 query("macro_micro_join", lambda tx: tx.withColumn("stat_date", S.day()).join(S.daily_summary(tx).select("stat_date", "net_expense"), "stat_date").select("id", "stat_date", "net_expense"), "SELECT id, stat_date, net_expense FROM tx JOIN daily ON stat_date = cast(tx_time AS date)", with_=WITH)
-query("fallback_summary", S.fallback_summary, """SELECT cast(tx_time AS date) AS stat_date, count(*) AS tx_count, """ + ", ".join(
-    [money(f"coalesce(sum(CASE WHEN {c} THEN amount END), 0)", n) for n, c in {
-        "total_expense": "coalesce(tx_type, 'EXPENSE') NOT IN ('REFUND', 'INCOME', 'TRANSFER')", "total_refund": "tx_type = 'REFUND'", "total_income": "tx_type = 'INCOME'", "total_transfer": "tx_type = 'TRANSFER'",
-        "other_expense": "coalesce(tx_type, 'EXPENSE') = 'EXPENSE' AND coalesce(category, 'OTHER') = 'OTHER'"}.items()]
-    + [money("coalesce(sum(CASE WHEN coalesce(tx_type, 'EXPENSE') NOT IN ('REFUND', 'INCOME', 'TRANSFER') THEN amount END), 0) - coalesce(sum(CASE WHEN tx_type = 'REFUND' THEN amount END), 0)", "net_expense")]) + " FROM tx GROUP BY 1")
 query("recent_day_totals", lambda tx: tx.groupBy(S.day().alias("stat_date")).agg(F.count("*").alias("n"), F.sum("amount").cast(S.MONEY).alias("total")).orderBy(F.desc("stat_date")).limit(5), f"SELECT cast(tx_time AS date) AS stat_date, count(*) AS n, {money('sum(amount)', 'total')} FROM tx GROUP BY 1 ORDER BY 1 DESC LIMIT 5")
 query("max_merchant", lambda tx: tx.filter(S.is_expense() & F.col("amount").isNotNull()).groupBy(S.day().alias("stat_date")).agg(F.max_by(S.merchant(), F.struct("amount", -F.col("id"))).alias("max_merchant")), f"SELECT stat_date, max_merchant FROM (SELECT cast(tx_time AS date) AS stat_date, {MERCHANT} AS max_merchant, row_number() OVER (PARTITION BY cast(tx_time AS date) ORDER BY amount DESC, id) AS r FROM tx WHERE {EXPENSE} AND amount IS NOT NULL) WHERE r = 1")
 query("top1_category", lambda tx: tx.filter(S.is_expense() & F.col("category").isNotNull() & F.col("amount").isNotNull()).groupBy(S.week().alias("week_period"), "category").agg(F.sum("amount").cast(S.MONEY).alias("a")).groupBy("week_period").agg(F.max(F.struct("a", "category")).alias("m")).select("week_period", F.col("m.category").alias("category"), F.col("m.a").alias("amount")), f"SELECT week_period, category, {money('a', 'amount')} FROM (SELECT *, row_number() OVER (PARTITION BY week_period ORDER BY a DESC, category DESC) AS r FROM (SELECT {WEEK} AS week_period, category, sum(amount) AS a FROM tx WHERE {EXPENSE} AND category IS NOT NULL AND amount IS NOT NULL GROUP BY 1, 2)) WHERE r = 1")
 
 
-def top_merchants(tx: DataFrame, n: int = 3) -> DataFrame:
-    order = S.Window.partitionBy("stat_month").orderBy(F.desc_nulls_last("total_amount"), "merchant_name")
-    return S.merchant_ranking(tx).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-
-
-query("top_n_merchants", lambda tx: top_merchants(tx).select("stat_month", "rank", "merchant_name", "total_amount"), "SELECT * FROM (SELECT stat_month, row_number() OVER (PARTITION BY stat_month ORDER BY total_amount DESC NULLS LAST, merchant_name) AS rank, merchant_name, total_amount FROM ranking) WHERE rank <= 3", with_=WITH)
-query("top_merchants_json", lambda tx: top_merchants(tx).groupBy("stat_month").agg(F.to_json(F.array_sort(F.collect_list(F.struct("rank", "merchant_name")))).alias("top")), "SELECT stat_month, concat('[', string_agg(concat('{\"rank\":', rank, ',\"merchant_name\":\"', merchant_name, '\"}'), ',' ORDER BY rank), ']') AS top FROM (SELECT stat_month, merchant_name, row_number() OVER (PARTITION BY stat_month ORDER BY total_amount DESC NULLS LAST, merchant_name) AS rank FROM ranking) WHERE rank <= 3 GROUP BY 1", with_=WITH)
 query("institution_reconciliation", lambda tx: tx.groupBy(S.month().alias("stat_month")).agg(S.total(S.is_expense() & (F.col("institution") == "CGB")).alias("institution_total")), f"SELECT {MONTH} AS stat_month, {money(summed(EXPENSE + " AND institution = 'CGB'"), 'institution_total')} FROM tx GROUP BY 1")
-query("account_channel_summary", lambda tx: tx.filter(S.is_expense()).withColumn("stat_month", S.month()).groupingSets([["stat_month", "payment_channel"], ["stat_month", "institution"]], "stat_month", "payment_channel", "institution").agg(F.sum("amount").cast(S.MONEY).alias("total"), F.count("*").alias("n")), f"SELECT stat_month, payment_channel, institution, {money('sum(amount)', 'total')}, count(*) AS n FROM (SELECT *, {MONTH} AS stat_month FROM tx) WHERE {EXPENSE} GROUP BY GROUPING SETS ((stat_month, payment_channel), (stat_month, institution))")
-query("merchant_penetration", lambda tx: S.merchant_ranking(tx).withColumn("share", F.round(F.col("total_amount").cast("double") / F.sum(F.col("total_amount").cast("double")).over(S.Window.partitionBy("stat_month")), 6)).select("stat_month", "merchant_name", "share"), "SELECT stat_month, merchant_name, round(total_amount::double / sum(total_amount::double) OVER (PARTITION BY stat_month), 6) AS share FROM ranking", with_=WITH)
 query("top_per_category", lambda tx: S.top_per(tx, S.month, [F.col("category")], 1).select("period", "category", "id", "amount"), f"SELECT period, category, id, amount FROM (SELECT {MONTH} AS period, *, row_number() OVER (PARTITION BY {MONTH}, category ORDER BY amount DESC NULLS LAST, id) AS r FROM tx WHERE {EXPENSE}) WHERE r = 1")
 query("net_trend_30d", lambda tx: S.net_trend(S.daily_summary(tx)), "SELECT d AS stat_date, cast(coalesce(net_expense, 0) AS decimal(18,2)) AS net_expense, isodow(d) >= 6 AS is_weekend FROM (SELECT cast(unnest(generate_series(max(stat_date) - 29, max(stat_date), interval 1 day)) AS date) AS d FROM daily) LEFT JOIN daily ON stat_date = d", with_=WITH)
-query("period_over_period", lambda tx: S.period_over_period(tx.filter(S.is_expense() & F.col("category").isNotNull()).groupBy(S.month().alias("stat_month"), "category").agg(F.sum("amount").cast(S.MONEY).alias("amount"))), f", t AS (SELECT {MONTH} AS stat_month, category, sum(amount) AS a FROM tx WHERE {EXPENSE} AND category IS NOT NULL GROUP BY 1, 2), m AS (SELECT strftime(unnest(generate_series(cast(min(stat_month) || '-01' AS date), cast(max(stat_month) || '-01' AS date), interval 1 month)), '%Y-%m') AS stat_month FROM t), g AS (SELECT m.stat_month, c.category, coalesce(a, 0) AS a FROM m CROSS JOIN (SELECT DISTINCT category FROM t) c LEFT JOIN t ON t.stat_month = m.stat_month AND t.category = c.category) SELECT stat_month, category, {money('a', 'amount')}, {money('a - lag(a) OVER (PARTITION BY category ORDER BY stat_month)', 'change')} FROM g")
 for name, view, column in (("latest_active_day", "daily", "stat_date"), ("latest_active_week", "weekly", "week_period"), ("latest_active_month", "monthly", "stat_month")):
     query(name, lambda tx, v=view, c=column: getattr(S, f"{v}_summary")(tx).filter("tx_count > 0").orderBy(F.desc(c)).limit(1).select(c, "tx_count", "net_expense"), f"SELECT {column}, tx_count, net_expense FROM {view} WHERE tx_count > 0 ORDER BY 1 DESC LIMIT 1", with_=WITH)
 query("summary_for_period", lambda tx: S.monthly_summary(S.in_period(tx, "month", "1996-07")), "SELECT * FROM monthly WHERE stat_month = '1996-07'", with_=WITH)
 query("recent_summaries", lambda tx: S.weekly_summary(tx).orderBy(F.desc("week_period")).limit(5).select("week_period", "net_expense"), "SELECT week_period, net_expense FROM weekly ORDER BY 1 DESC LIMIT 5", with_=WITH)
 query("top_transactions", lambda tx: S.in_period(tx, "day", "1996-03-05").orderBy(F.desc_nulls_last("amount"), "id").limit(3).select("id", "amount"), "SELECT id, amount FROM tx WHERE cast(tx_time AS date) = date '1996-03-05' ORDER BY amount DESC NULLS LAST, id LIMIT 3")
-query("period_bounds", lambda tx: tx.select(S.week().alias("period"), F.to_date(F.date_trunc("week", "tx_time")).alias("first_day"), F.date_add(F.to_date(F.date_trunc("week", "tx_time")), 6).alias("last_day"), F.last_day("tx_time").alias("month_end")).distinct(), f"SELECT DISTINCT {WEEK} AS period, cast(date_trunc('week', tx_time) AS date) AS first_day, cast(date_trunc('week', tx_time) + interval 6 day AS date) AS last_day, last_day(tx_time) AS month_end FROM tx")
-query("report_id", lambda tx: tx.select(F.concat_ws("_", F.lit("report"), F.lower(F.lit("MONTHLY")), S.month()).alias("report_id")).distinct(), f"SELECT DISTINCT concat('report_monthly_', {MONTH}) AS report_id FROM tx")
 query("category_share", lambda tx: S.monthly_summary(tx).select("stat_month", S.share(F.col("food_expense"), F.col("net_expense")).alias("food_share")), "SELECT stat_month, CASE WHEN net_expense > 0 THEN concat(cast(((2000 * cast(food_expense * 100 AS bigint) + cast(net_expense * 100 AS bigint)) // (2 * cast(net_expense * 100 AS bigint))) / 10.0 AS decimal(18,1)), '%') ELSE '0.0%' END AS food_share FROM monthly", with_=WITH)
-query("metrics_json", lambda tx: (lambda d: d.select("stat_date", F.get_json_object(S.metrics_json(d), "$.net_expense").cast(S.MONEY).alias("net"), F.get_json_object(S.metrics_json(d), "$.car_expense").cast(S.MONEY).alias("car")))(S.daily_summary(tx)), "SELECT stat_date, coalesce(net_expense, 0) AS net, coalesce(car_expense, 0) AS car FROM daily", with_=WITH)
-query("report_context", lambda tx: tx.groupBy(S.day().alias("stat_date")).agg(F.array_sort(F.collect_list("id")).alias("ids")).select("stat_date", F.array_join("ids", ",").alias("ids")), "SELECT cast(tx_time AS date) AS stat_date, string_agg(cast(id AS varchar), ',' ORDER BY id) AS ids FROM tx GROUP BY 1")
-query("chart_series", lambda tx: S.top_per(tx, S.month, [], 1).select("period", "id", "amount").filter("amount > 0"), f"SELECT period, id, amount FROM (SELECT {MONTH} AS period, *, row_number() OVER (PARTITION BY {MONTH} ORDER BY amount DESC NULLS LAST, id) AS r FROM tx WHERE {EXPENSE}) WHERE r = 1 AND amount > 0")
-query("assemble_report", lambda tx: S.reports(tx).drop("metrics_json"), "SELECT concat('report_daily_', cast(stat_date AS varchar)) AS report_id, 'DAILY' AS period_type, cast(stat_date AS varchar) AS period_value, stat_date AS report_date, total_expense, total_refund, net_expense, total_income, total_transfer, tx_count, 'SKIPPED' AS slack_status FROM daily", with_=WITH)
-query("ads_row_count", lambda tx: S.reports(tx).agg(F.count("*").alias("n")), "SELECT count(*) AS n FROM daily", with_=WITH)
-query("report_probe", lambda tx: S.reports(tx).select("report_id", "net_expense", F.length("period_value").alias("n_chars")), "SELECT concat('report_daily_', cast(stat_date AS varchar)) AS report_id, net_expense, length(cast(stat_date AS varchar)) AS n_chars FROM daily", with_=WITH)
-query("resolve_period", lambda tx: S.in_period(tx, "month", "1998-05").agg(F.count("*").alias("n")), f"SELECT count(*) AS n FROM tx WHERE {MONTH} = '1998-05'")
 
 # extraction from messages
 raw = lambda df: X.assemble_raw(df).select("id", "msg_uid", "channel", "sender", "receiver_phone", "received_at", "raw_body")
@@ -165,7 +138,6 @@ query("raw_body", lambda m: raw(m).select("id", "raw_body"), f"SELECT id, {BODY}
 query("sender", lambda m: raw(m).select("id", "sender"), "SELECT id, CASE " + " ".join(f"WHEN regexp_matches({FULL}, '{'|'.join(w)}') THEN '{n}'" for n, w in X.SENDERS) + " ELSE 'OTHER' END AS sender FROM msg", source=messages)
 query("sim_slot", lambda m: raw(m).select("id", "receiver_phone"), f"SELECT id, CASE WHEN regexp_matches({FULL}, '{'|'.join(X.SECOND_SIM)}') THEN 'SIM_SLOT_2' ELSE 'SIM_SLOT_1' END AS receiver_phone FROM msg", source=messages)
 query("msg_uid", lambda m: raw(m).select("id", "msg_uid"), f"SELECT id, sha256(concat(message_id, '_', {BODY})) AS msg_uid FROM msg", source=messages)
-query("assemble_raw", lambda m: raw(m), None, source=messages)
 words = lambda w: f"regexp_matches(b, '{'|'.join(x.replace('$', chr(92) + '$') for x in w)}')"
 B = f"(SELECT id, received_at, {BODY} AS b FROM msg)"
 query("is_valid_tx", lambda m: facts(m).select("id", "is_valid_tx"), f"SELECT id, NOT {words(X.INVALID_WORDS)} AND {words(X.VALID_WORDS)} AS is_valid_tx FROM {B}", source=messages)
@@ -181,13 +153,7 @@ query("account_type", lambda m: facts(m).select("id", "account_type"), f"SELECT
 query("payment_channel", lambda m: facts(m).select("id", "payment_channel"), "SELECT id, CASE " + " ".join(f"WHEN {words(w)} THEN '{n}'" for n, w in X.CHANNELS) + f" ELSE 'DIRECT' END AS payment_channel FROM {B}", source=messages)
 query("category", lambda m: facts(m).select("id", "category"), "SELECT id, CASE " + " ".join(f"WHEN {words(w)} THEN '{n}'" for n, w in X.CATEGORIES) + f" ELSE 'OTHER' END AS category FROM {B}", source=messages)
 query("counterparty", lambda m: facts(m).select("id", "counterparty"), f"SELECT id, coalesce(nullif(regexp_extract(b, '交易商户[：:]([^。，,;]+)', 1), ''), nullif(regexp_extract(b, '{X.PAYEE}', 1), '')) AS counterparty FROM {B}", source=messages)
-query("tx_time", lambda m: facts(m).select("id", "tx_time"), None, source=messages)
-query("cleaned_merchant", lambda m: facts(m).select("id", "cleaned_merchant"), None, source=messages)
-query("to_transactions", lambda m: facts(m).drop("etl_created_at"), None, source=messages)
-query("audit_distribution", lambda m: facts(m).groupingSets([["category"], ["tx_type"], ["payment_channel"], ["account_type"]], "category", "tx_type", "payment_channel", "account_type").agg(F.count("*").alias("n")), None, source=messages)
 query("audit_validity", lambda m: facts(m).agg(F.count_if("is_valid_tx").alias("valid"), F.count_if(~F.col("is_valid_tx")).alias("invalid")), f"SELECT count(*) FILTER (v) AS valid, count(*) FILTER (NOT v) AS invalid FROM (SELECT NOT {words(X.INVALID_WORDS)} AND {words(X.VALID_WORDS)} AS v FROM {B})", source=messages)
-query("audit_merchants", lambda m: facts(m).filter("cleaned_merchant is not null").groupBy("cleaned_merchant").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cleaned_merchant").limit(10), None, source=messages)
-query("strip_html", lambda p: p.select("page_id", X.strip_html(F.col("html")).alias("body")), "SELECT page_id, regexp_replace(regexp_replace(html, '<[^>]*>', '', 'g'), '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') AS body FROM pages", source=lambda s, d: table(s, d, "pages"))
 
 # tables with versions: lineitem repeats its key, so its rows are commits dealt by supplier
 LOG = "(SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_suppkey % 5 AS _commit_seq FROM lineitem)"
@@ -199,6 +165,4 @@ query("latest_by_key", lambda x: pick(C.latest_by_key(x, KEYS, F.col("l_partkey"
 query("as_of", lambda x: pick(C.as_of(x.withColumn("_commit_ts", F.col("_commit_seq")), KEYS, F.lit(2), F.col("l_partkey"))), newest("_commit_seq <= 2"), source=log)
 query("commit_history", C.history, f"SELECT _commit_seq, n_rows, cast(sum(n_rows) OVER (ORDER BY _commit_seq) AS bigint) AS total_rows FROM (SELECT _commit_seq, count(*) AS n_rows FROM {LOG} GROUP BY 1)", source=log)
 query("scan_incremental_commit", lambda x: C.between_commits(x, 1, 3), f"SELECT * FROM {LOG} WHERE _commit_seq > 1 AND _commit_seq <= 3", source=log)
-query("scan_raw", raw, None, source=messages)
 query("scan_incremental_id", lambda m: C.id_range(m, 100, 500).select("id"), "SELECT id FROM msg WHERE id > 100 AND id <= 600", source=messages)
-query("select_batch", lambda m: C.next_batch(m, 100, 50).select("id"), "SELECT id FROM msg WHERE id > 100 ORDER BY id LIMIT 50", source=messages)

@@ -11,6 +11,7 @@ from copperleaf import registry as R
 from copperleaf.functions import extract as X
 from copperleaf.functions import text as T
 from copperleaf.plans import audits, joins
+from copperleaf.plans import reports as P
 from copperleaf.plans import summaries as S
 from copperleaf.sources import changelog as C
 from copperleaf.sources import offsets as O  # noqa: E741
@@ -44,8 +45,10 @@ alias = lambda x: f"CASE {x} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in X
 CUT = f"regexp_replace(regexp_replace(r, '收款$', ''), '^(.+?)(?:{'|'.join(X.CORPORATE)})$', '\\1')"
 oracle("cleaned_merchant", f"SELECT id, coalesce({alias('r')}, {alias(CUT)}, nullif({CUT}, ''), counterparty) AS cleaned_merchant FROM (SELECT *, regexp_replace(counterparty, '^(?:支付宝|财付通|微信支付|银联)-', '') AS r FROM ({SQL['counterparty']}))")
 PERSON = X.PERSON.replace("\\u4e00-\\u9fa5", "一-龥")
+QUERIES["cleaned_merchant"] = lambda spark, d: facts(R.messages(spark, d)).select("id", "cleaned_merchant")
 R.query("personal_transfer", lambda m: X.assemble_raw(m).select("id", X.personal_transfer(F.col("raw_body")).alias("is_personal")), f"SELECT id, p <> '' AND NOT regexp_matches(p, '{'|'.join(X.NOT_A_PERSON)}') AS is_personal FROM (SELECT id, regexp_extract(b, '{PERSON}', 1) AS p FROM {R.B})", source=R.messages)
 RAW = f"SELECT id, msg_uid, 'SMS' AS channel, sender, receiver_phone, received_at, raw_body FROM msg JOIN {columns_of('raw_body', 'sender', 'sim_slot', 'msg_uid')} USING (id)"
+QUERIES["assemble_raw"] = QUERIES["scan_raw"] = lambda spark, d: R.raw(R.messages(spark, d))
 oracle("assemble_raw", RAW)
 oracle("scan_raw", RAW)
 PARTS = ["tx_time", "amount", "currency", "direction_type", "card_tail", "account_type", "payment_channel", "counterparty", "cleaned_merchant", "category", "is_valid_tx", "sender"]
@@ -54,6 +57,9 @@ SQL["to_transactions"] = f"""SELECT id, id AS raw_record_id, tx_time, amount, cu
   tx_type, sender AS institution, account_type, card_tail, payment_channel, counterparty, cleaned_merchant, category, is_valid_tx FROM {columns_of(*PARTS)}"""
 
 # audits
+SETS = ["category", "tx_type", "payment_channel", "account_type"]
+QUERIES["audit_distribution"] = lambda spark, d: facts(R.messages(spark, d)).groupingSets([[c] for c in SETS], *SETS).agg(F.count("*").alias("n"))
+QUERIES["audit_merchants"] = lambda spark, d: facts(R.messages(spark, d)).filter("cleaned_merchant is not null").groupBy("cleaned_merchant").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cleaned_merchant").limit(10)
 SQL["audit_distribution"] = f"SELECT category, tx_type, payment_channel, account_type, count(*) AS n FROM {columns_of('category', 'direction_type', 'payment_channel', 'account_type')} GROUP BY GROUPING SETS ((category), (tx_type), (payment_channel), (account_type))"
 SQL["audit_merchants"] = f"SELECT cleaned_merchant, count(*) AS n FROM ({SQL['cleaned_merchant']}) WHERE cleaned_merchant IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10"
 R.query(
@@ -70,26 +76,26 @@ R.query(
 
 
 # versioned tables: two commits, the second one written twice
-def upserted(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+def upserted(first: DataFrame, second: DataFrame, keys: list[str], tie: str) -> DataFrame:
     spark, path = first.sparkSession, f"{new_folder(first.sparkSession)}/log"
     for seq, rows in ((1, first), (2, second), (2, second)):
         C.append(rows, path, seq)
-    return C.latest_by_key(C.read(spark, path), keys).drop("_commit_seq", "_commit_ts")
+    return C.latest_by_key(C.read(spark, path), keys, F.col(tie)).drop("_commit_seq", "_commit_ts", "_writer")
 
 
 def upsert_raw(messages: DataFrame) -> DataFrame:
     rows = R.raw(messages).select("id", "msg_uid", "received_at", "channel")
-    return upserted(rows, rows.filter("id % 3 = 0").withColumn("channel", F.lit("RESENT")), ["msg_uid", "received_at"])
+    return upserted(rows, rows.filter("id % 3 = 0").withColumn("channel", F.lit("RESENT")), ["msg_uid", "received_at"], "id")
 
 
 def upsert_transactions(tx: DataFrame) -> DataFrame:
     rows = tx.select("id", "tx_time", "amount", "category")
-    return upserted(rows, rows.filter("id % 5 = 0").withColumn("category", F.lit("OTHER")), ["id", "tx_time"])
+    return upserted(rows, rows.filter("id % 5 = 0").withColumn("category", F.lit("OTHER")), ["id", "tx_time"], "category")
 
 
 def upsert_reports(tx: DataFrame) -> DataFrame:
-    rows = S.reports(tx).select("report_id", "report_date", "total_refund", "slack_status")
-    return upserted(rows, rows.filter("total_refund > 0").withColumn("slack_status", F.lit("SENT")), ["report_id", "report_date"])
+    rows = P.macro(tx).select(F.concat_ws("_", F.lit("report"), F.lower("period_type"), "period_value").alias("report_id"), P.period_bounds(F.col("period_type"), F.col("period_value"), F.lit(None).cast("date"))["anchor"].alias("report_date"), "total_refund", F.lit("SKIPPED").alias("slack_status"))
+    return upserted(rows, rows.filter("total_refund > 0").withColumn("slack_status", F.lit("SENT")), ["report_id", "report_date"], "slack_status")
 
 
 def month_layout(tx: DataFrame) -> DataFrame:
@@ -100,7 +106,14 @@ def month_layout(tx: DataFrame) -> DataFrame:
 
 R.query("upsert_raw", upsert_raw, f"SELECT id, msg_uid, received_at, CASE WHEN id % 3 = 0 THEN 'RESENT' ELSE 'SMS' END AS channel FROM msg JOIN {columns_of('msg_uid')} USING (id)", source=R.messages)
 R.query("upsert_transactions", upsert_transactions, "SELECT id, tx_time, amount, CASE WHEN id % 5 = 0 THEN 'OTHER' ELSE category END AS category FROM tx")
-R.query("upsert_reports", upsert_reports, "SELECT concat('report_daily_', cast(stat_date AS varchar)) AS report_id, stat_date AS report_date, total_refund, CASE WHEN total_refund > 0 THEN 'SENT' ELSE 'SKIPPED' END AS slack_status FROM daily", with_=R.WITH)
+UPSERTED = "SELECT concat('report_{0}_', {1}) AS report_id, {2} AS report_date, total_refund, CASE WHEN total_refund > 0 THEN 'SENT' ELSE 'SKIPPED' END AS slack_status FROM {3}"
+R.query(
+    "upsert_reports", upsert_reports,
+    " UNION ALL ".join([
+        UPSERTED.format("daily", "cast(stat_date AS varchar)", "stat_date", "daily"), UPSERTED.format("weekly", "week_period", "cast(date_trunc('week', week_start_date) AS date)", "weekly"),
+        UPSERTED.format("monthly", "stat_month", "cast(concat(stat_month, '-01') AS date)", "monthly"),
+    ]), with_=R.WITH,
+)
 R.query("write_month_layout", month_layout, f"SELECT {R.MONTH} AS month, count(*) AS n, {R.money('sum(amount)', 'total')} FROM tx GROUP BY 1")
 
 
@@ -111,28 +124,47 @@ def incremental_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(source).schema
     for _ in range(2):
         incremental.run_available(spark, source, schema, f"{folder}/log", f"{folder}/cursor", lambda rows: rows.select("event_id", "user_id", "value"))
-    return C.latest_by_key(C.read(spark, f"{folder}/log"), ["event_id"]).select("event_id", "user_id", "value")
+    return C.latest_by_key(C.read(spark, f"{folder}/log"), ["event_id"], F.col("event_id")).select("event_id", "user_id", "value")
 
 
 QUERIES["incremental_stream"] = incremental_stream
 SQL["incremental_stream"] = "SELECT event_id, user_id, value FROM events"
 
 
-# logs of a run that parses all messages
+# logs of a run that parses all messages, and of one that fails
 def parsed(spark: SparkSession, sf_dir: str) -> str:
-    folder, began = new_folder(spark), datetime.datetime.now()
-    n, last = O.observed_write(facts(R.messages(spark, sf_dir)), f"{folder}/facts")
-    O.append_offset(spark, f"{folder}/offsets", "parse", "SMS", None, last)
-    O.append_execution(spark, f"{folder}/runs", folder.rsplit("-")[-1], "parse", began, n, n, last)
+    """Folder of the logs of a run whose facts are only counted while they are made."""
+    folder = new_folder(spark)
+
+    def work() -> tuple[int, int, int]:
+        n, last = O.observed_write(facts(R.messages(spark, sf_dir)).select("id", "amount", "tx_type"), f"{folder}/facts")
+        O.append_offset(spark, f"{folder}/offsets", "parse", "SMS", None, last)
+        return n, n, last
+
+    O.run_recorded(spark, f"{folder}/runs", folder.rsplit("-")[-1], "parse", work)
     return folder
 
 
+def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = parsed(spark, sf_dir)
+
+    def fails() -> tuple[int, int, int]:
+        raise ValueError("no source")
+
+    try:
+        O.run_recorded(spark, f"{folder}/runs", "second", "parse", fails)
+    except ValueError:
+        pass  # it is in the log
+    return spark.read.parquet(f"{folder}/runs").select("job_name", "status", "records_in", "records_out", "last_offset", "error_message")
+
+
 QUERIES["max_id_metric"] = lambda spark, d: spark.read.parquet(f"{parsed(spark, d)}/runs").select("records_in", F.col("last_offset").alias("max_id"))
 SQL["max_id_metric"] = "SELECT count(*) AS records_in, max(event_id) AS max_id FROM events"
 QUERIES["append_offset"] = lambda spark, d: spark.read.parquet(f"{parsed(spark, d)}/offsets").select("job_name", "channel", "source_target", "last_offset")
 SQL["append_offset"] = "SELECT 'parse' AS job_name, 'SMS' AS channel, cast(NULL AS varchar) AS source_target, max(event_id) AS last_offset FROM events"
-QUERIES["append_audit"] = lambda spark, d: spark.read.parquet(f"{parsed(spark, d)}/runs").select("job_name", "status", "records_in", "records_out", "last_offset")
-SQL["append_audit"] = "SELECT 'parse' AS job_name, 'SUCCESS' AS status, count(*) AS records_in, count(*) AS records_out, max(event_id) AS last_offset FROM events"
+QUERIES["append_audit"] = audited
+SQL["append_audit"] = """SELECT 'parse' AS job_name, 'SUCCESS' AS status, count(*) AS records_in, count(*) AS records_out, max(event_id) AS last_offset, cast(NULL AS varchar) AS error_message FROM events
+  UNION ALL SELECT 'parse', 'FAILED', 0, 0, 0, 'ValueError: no source'"""
 #: An offset log with as many rows as events.
 OFFSETS = "SELECT concat('job', cast(event_id % 3 AS varchar(5))) AS job_name, event_type AS channel, CASE WHEN event_id % 4 > 0 THEN concat('t', cast(user_id % 3 AS varchar(5))) END AS source_target, event_id AS last_offset, ts AS updated_at FROM {events}"
 offsets = lambda spark, d: spark.sql(OFFSETS, events=R.table(spark, d, "events"))
@@ -167,12 +199,21 @@ def chart_series(tx: DataFrame) -> DataFrame:
 
 
 R.query("chart_series", chart_series, f", s AS ({SHARES}), t AS (SELECT *, max(v) OVER (PARTITION BY stat_month) AS top FROM s) SELECT stat_month, string_agg(category, ',' ORDER BY category) AS labels, string_agg(cast(v AS varchar), ',' ORDER BY category) AS series FROM t WHERE v > 0 OR top <= 0 GROUP BY 1")
-pages = lambda spark, d: R.table(spark, d, "pages")
-URLS = "SELECT page_id, list_filter(urls, lambda u, i: list_position(urls, u) = i) AS urls FROM (SELECT page_id, regexp_extract_all(html, '" + T.LINK.replace("\\\"'", "\"''") + "', 1) AS urls FROM pages)"
-QUERIES["distinct_urls"] = lambda spark, d: pages(spark, d).select("page_id", F.posexplode(T.distinct_urls(F.col("html"))).alias("at", "url"))
-SQL["distinct_urls"] = f"SELECT page_id, cast(i - 1 AS int) AS at, urls[i] AS url FROM (SELECT *, unnest(range(1, len(urls) + 1)) AS i FROM ({URLS}))"
-QUERIES["extract_chart_urls"] = lambda spark, d: pages(spark, d).select("page_id", S.chart_urls(F.col("html")).alias("urls"))
-SQL["extract_chart_urls"] = f"SELECT page_id, CASE WHEN len(urls) > 0 THEN cast(to_json(urls) AS varchar) END AS urls FROM ({URLS})"
+#: Report texts of events: with none, one or two links, one of them twice, and links of other kinds.
+LINKED = """SELECT event_id, concat('Report ', event_type, CASE WHEN event_id % 4 > 0 THEN concat(' ![a](https://quickchart.io/chart/render/zf-', cast(user_id AS varchar(20)), ') and ![b](https://example.org/x?y=', cast(event_id % 7 AS varchar(5)), ')') ELSE '' END,
+  CASE WHEN event_id % 4 > 1 THEN concat(' again https://quickchart.io/chart/render/zf-', cast(user_id AS varchar(20)), ' then http://quickchart.io/chart/render/sf-', cast(event_id % 11 AS varchar(5)), '"') ELSE '' END) AS body FROM {events}"""
+linked = lambda spark, d: spark.sql(LINKED, events=R.table(spark, d, "events"))
+
+
+def urls_sql(pattern: str) -> str:
+    quoted = pattern.replace("\\\"'", "\"''")
+    return f"SELECT event_id, list_filter(urls, lambda u, i: list_position(urls, u) = i) AS urls FROM (SELECT event_id, regexp_extract_all(body, '{quoted}', 1) AS urls FROM ({LINKED.format(events='events')}))"
+
+
+QUERIES["distinct_urls"] = lambda spark, d: linked(spark, d).select("event_id", F.posexplode(T.distinct_urls(F.col("body"))).alias("at", "url"))
+SQL["distinct_urls"] = f"SELECT event_id, cast(i - 1 AS int) AS at, urls[i] AS url FROM (SELECT *, unnest(range(1, len(urls) + 1)) AS i FROM ({urls_sql(T.LINK)}))"
+QUERIES["extract_chart_urls"] = lambda spark, d: linked(spark, d).select("event_id", P.chart_urls(F.col("body")).alias("urls"))
+SQL["extract_chart_urls"] = f"SELECT event_id, CASE WHEN len(urls) > 0 THEN cast(to_json(urls) AS varchar) END AS urls FROM ({urls_sql(P.RENDER_LINK)})"
 TRIM = "regexp_replace({}, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g')"
 QUERIES["split_text"] = lambda spark, d: T.split_text(R.table(spark, d, "documents"))
 SQL["split_text"] = f"""WITH RECURSIVE seg AS (SELECT doc_id, i, {TRIM.format("string_split_regex(t, '" + T.IMAGE.replace('(', '(?:', 1).replace('](?:', '](') + "')[i]")} AS rest FROM

@@ -32,6 +32,17 @@ def list_offsets(offsets: DataFrame) -> DataFrame:
     return offsets.orderBy(F.desc("updated_at"), F.desc("last_offset"))
 
 
+def run_recorded(spark: SparkSession, path: str, execution: str, job: str, work) -> None:
+    """Run work() -> (rows in, rows out, cursor) and append a row about it; one that raises is recorded as failed, and raises on."""
+    started = datetime.datetime.now(datetime.UTC)
+    try:
+        done = work()
+    except Exception as e:
+        append_execution(spark, path, execution, job, started, 0, 0, 0, f"{type(e).__name__}: {e}")
+        raise
+    append_execution(spark, path, execution, job, started, *done)
+
+
 def append_execution(
     spark: SparkSession, path: str, execution: str, job: str, started: datetime.datetime, records_in: int, records_out: int, last: int, error: str | None = None
 ) -> None:

@@ -11,10 +11,16 @@ from copperleaf.sources import changelog
 
 
 def run_available(spark: SparkSession, source: str, schema: StructType, sink: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame]) -> None:
-    """Process all files that the checkpoint has not seen; each micro-batch is the commit of its number, so a replay is harmless."""
+    """Process all files that the checkpoint has not seen.
+
+    The writer is the query's id, which the checkpoint keeps, and each micro-batch is a commit of
+    it: a replay of a batch is harmless, and another stream or a new checkpoint adds commits
+    after those that the sink has.
+    """
     stream = spark.readStream.schema(schema).parquet(source)
-    query = (
-        stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-        .foreachBatch(lambda batch, number: changelog.append(transform(batch), sink, number)).start()
-    )
-    query.awaitTermination()
+
+    def commit(batch: DataFrame, number: int) -> None:
+        writer = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        changelog.append(transform(batch), sink, changelog.first_seq(spark, sink, writer) + number, writer)
+
+    stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(commit).start().awaitTermination()

@@ -5,7 +5,7 @@ import decimal
 import duckdb
 import pytest
 
-from copperleaf import registry_tables as registry
+from copperleaf import registry, registry_reports, registry_tables  # noqa: F401
 
 D = "/root/testdata/sf0.001"
 

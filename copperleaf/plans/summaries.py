@@ -70,21 +70,20 @@ def daily_summary(tx: DataFrame) -> DataFrame:
 
 def weekly_summary(tx: DataFrame) -> DataFrame:
     weekend = F.weekday(T) >= 5
-    out = with_net(
-        tx.groupBy(F.extract(F.lit("YEAROFWEEK"), T).cast("int").alias("stat_year"), F.weekofyear(T).alias("week"), week().alias("week_period")).agg(
-            F.min(day()).alias("week_start_date"), F.max(day()).alias("week_end_date"), *measures(),
-            total(is_expense() & weekend).alias("weekend_expense"), total(is_expense() & ~weekend).alias("weekday_expense"),
-        )
+    # grouped by the week's Monday; its names are made once a week, not once a row
+    rows = tx.groupBy(F.trunc(F.to_date(T), "week").alias("_first")).agg(
+        F.min(day()).alias("week_start_date"), F.max(day()).alias("week_end_date"), *measures(),
+        total(is_expense() & weekend).alias("weekend_expense"), total(is_expense() & ~weekend).alias("weekday_expense"),
     )
-    return out.withColumn("avg_daily_expense", F.round(F.col("net_expense") / F.lit(7), 2).cast(MONEY)).drop("total_transfer", "max_single_amount")
+    rows = with_net(rows).withColumns({"stat_year": F.extract(F.lit("YEAROFWEEK"), "_first").cast("int"), "week": F.weekofyear("_first"), "week_period": week("_first")})
+    return rows.withColumn("avg_daily_expense", F.round(F.col("net_expense") / F.lit(7), 2).cast(MONEY)).drop("_first", "total_transfer", "max_single_amount")
 
 
 def monthly_summary(tx: DataFrame, foreign: str = "USD", tail: str = "0025") -> DataFrame:
-    return with_net(
-        tx.groupBy(month().alias("stat_month")).agg(
-            *measures(), total(F.col("is_valid_tx") & (F.col("currency") == foreign)).alias("foreign_total"), total(is_expense() & (F.col("card_tail") == tail)).alias("card_expense")
-        )
+    rows = tx.groupBy(F.trunc(F.to_date(T), "month").alias("_first")).agg(
+        *measures(), total(F.col("is_valid_tx") & (F.col("currency") == foreign)).alias("foreign_total"), total(is_expense() & (F.col("card_tail") == tail)).alias("card_expense")
     )
+    return with_net(rows).withColumn("stat_month", month("_first")).drop("_first")
 
 
 def merchant() -> Column:

@@ -26,6 +26,7 @@ an empty result. Extra columns, whatever their names, stay in ``keep_one``.
 from __future__ import annotations
 
 import math
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -292,3 +293,30 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), k=3, percent=85)
+
+
+def oracle(k: int, percent: int) -> str:
+    """DuckDB SQL for the rows of ``near_duplicates``, for ids that do not repeat: sets joined by their shingles, components by recursion."""
+    run = ", ".join(f"words[{i}:]" for i in range(1, k + 1))
+    of_run = ", ".join(f"x[{i}]" for i in range(1, k + 1))
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) >= {k} THEN list_sort(list_distinct(list_transform(list_zip({run}, true), lambda x: concat_ws(' ', {of_run}))))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE []::varchar[] END AS shingles FROM w),
+c AS MATERIALIZED (SELECT min(doc_id) AS id, shingles, len(shingles) AS n FROM s WHERE len(shingles) > 0 GROUP BY shingles),
+e AS MATERIALIZED (SELECT id, n, unnest(shingles) AS shingle FROM c),
+l AS MATERIALIZED (
+  SELECT a.id AS a, b.id AS b FROM e AS a JOIN e AS b ON a.shingle = b.shingle AND a.id < b.id AND 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
+  GROUP BY a.id, b.id, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+links AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT id, id AS seen FROM c UNION SELECT r.id, links.b FROM r JOIN links ON links.a = r.seen),
+m AS (SELECT id, min(seen) AS component FROM r GROUP BY id)
+SELECT s.doc_id, len(s.shingles)::bigint AS n_shingles, coalesce(m.component, s.doc_id) AS component_id, coalesce(m.component, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN c ON s.shingles = c.shingles LEFT JOIN m ON c.id = m.id
+"""
+
+
+SQL = oracle(3, 85)

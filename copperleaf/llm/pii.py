@@ -172,3 +172,65 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(join(F.filter("pii_spans", lambda x: x["kind"] < 4)), 256).alias("base_sha256"), join(F.col("pii_spans")).alias("spans"),
         F.array_join(F.transform("pii_spans", lambda x: F.format_number(x["score"], 2)), ",").alias("scores"),
     )
+
+
+def _sql_matches(kind: str, pattern: str, proposed: str, length: str = "length(match)") -> str:
+    """SQL for one kind's proposed matches with their places and the text before each."""
+    return rf"""
+  SELECT doc_id, '{kind}' AS kind, {KINDS.index(kind)} AS number, match, start, start + {length} AS "end", text,
+         substr(text, coalesce(lag(start + {length}) OVER p, 0) + 1, start - coalesce(lag(start + {length}) OVER p, 0)) AS gap
+  FROM (SELECT *, (sum(length(gap) + length(match)) OVER (PARTITION BY doc_id ORDER BY i) - length(match))::bigint AS start
+        FROM (SELECT doc_id, text, unnest(found) AS match, unnest(gaps[:len(found)]) AS gap, generate_subscripts(found, 1) AS i
+              FROM (SELECT *, regexp_extract_all(text, '{pattern}') AS found, string_split_regex(text, '{pattern}') AS gaps FROM d
+                    WHERE regexp_matches(text, '{RARE.get(kind, pattern)}'))))
+  WHERE {proposed} WINDOW p AS (PARTITION BY doc_id ORDER BY start)"""
+
+
+#: In SQL, what texts with any match hold, where the pattern itself is common.
+RARE = {"iban": r"[A-Z]{2}[0-9]{2}(\x20?[A-Z0-9]){11}", "id": "[0-9]{3}-[0-9]{2}-[0-9]{4}", "card": r"[0-9]([\x20-]?[0-9]){13}"}
+_DIGITS = "regexp_replace(match, '[^0-9]', '', 'g')"
+_MATCHES = " UNION ALL ".join((
+    _sql_matches("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
+    _sql_matches("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "true"),
+    _sql_matches("card", r"[0-9]([\x20-]?[0-9])+", f"length({_DIGITS}) >= 14"),
+    _sql_matches("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "true"),
+    _sql_matches("iban", "[A-Za-z0-9]+", rf"regexp_matches(substr(text, start + 1, {MAX_IBAN}), '^[A-Z]{{2}}[0-9]{{2}}(\x20?[A-Z0-9]){{11}}')", "4"),
+    _sql_matches("id", "[0-9-]+", "regexp_full_match(match, '[0-9]{3}-[0-9]{2}-[0-9]{4}')"),
+))
+_BY_KIND = lambda of: "CASE kind " + " ".join(f"WHEN '{k}' THEN {of(k)}" for k in KINDS) + " END"
+_COUNTRIES = ", ".join(f"({n}, '{c}')" for n, cs in IBAN_LENGTHS.items() for c in cs)
+#: DuckDB SQL for ids that do not repeat; the patterns are the contract's own.
+SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+m AS ({_MATCHES}),
+s AS (SELECT *, {_BY_KIND(lambda k: SCORES[k] + CHECKSUM * (k in ("card", "iban")))}
+               + CASE WHEN {_BY_KIND(lambda k: f"regexp_matches(lower(right(gap, {NEAR})), '{WORDS[k]}')")} THEN {CONTEXT} ELSE 0 END AS score FROM m),
+base AS (
+  SELECT doc_id, kind, number, start, "end", score FROM s
+  WHERE CASE kind WHEN 'ip' THEN list_bool_and(list_transform(string_split(match, '.'), lambda x: length(ltrim(x, '0')) <= 3 AND right('0' || x, 3)::int <= 255))
+                  WHEN 'card' THEN length({_DIGITS}) <= 19 AND list_sum(list_transform(string_split(reverse({_DIGITS}), ''), lambda x, i:
+                    CASE WHEN i % 2 = 1 THEN x::int WHEN x::int > 4 THEN 2 * x::int - 9 ELSE 2 * x::int END)) % 10 = 0
+                  WHEN 'phone' THEN length({_DIGITS}) BETWEEN 10 AND 15 ELSE kind = 'email' END),
+lengths(n, country) AS (VALUES {_COUNTRIES}),
+tried AS (
+  SELECT s.*, t.n, regexp_extract(substr(text, start + 1, {MAX_IBAN}), '^([A-Z0-9](?:\x20?[A-Z0-9]){{' || (t.n - 1) || '}})(?:[^A-Za-z0-9]|$)', 1) AS whole
+  FROM s JOIN range(15, 35) AS t(n) ON (match[:2], t.n) IN (SELECT (country, n) FROM lengths) OR match[:2] NOT IN (SELECT country FROM lengths)
+  WHERE kind = 'iban'),
+valid AS (
+  SELECT *, list_transform(string_split(replace(whole, ' ', '')[5:] || whole[:4], ''), lambda x: CASE WHEN x <= '9' THEN ascii(x) - 48 ELSE ascii(x) - 55 END) AS v
+  FROM tried WHERE whole <> ''),
+iban AS (
+  SELECT doc_id, kind, number, start, start + length(arg_max(whole, n)) AS "end", score FROM valid
+  WHERE list_reduce([0] || v, lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1 GROUP BY doc_id, kind, number, start, score),
+more AS (
+  SELECT doc_id, kind, number, start, "end", score FROM s WHERE kind = 'id'
+  UNION ALL SELECT * FROM iban AS i WHERE NOT EXISTS (FROM iban AS o WHERE o.doc_id = i.doc_id AND o.start < i.start AND o."end" > i.start)),
+spans AS (
+  FROM base UNION ALL
+  SELECT * FROM more AS m WHERE score >= {MIN_SCORE} AND NOT EXISTS (FROM base AS b WHERE b.doc_id = m.doc_id AND m.start < b."end" AND b.start < m."end"))
+SELECT d.doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in KINDS[:4])},
+       sha256(coalesce(string_agg(concat_ws(':', kind, start, "end"), ',' ORDER BY start, number) FILTER (number < 4), '')) AS base_sha256,
+       coalesce(string_agg(concat_ws(':', kind, start, "end"), ',' ORDER BY start, number), '') AS spans,
+       coalesce(string_agg(printf('%.2f', least(1, score)::double), ',' ORDER BY start, number) FILTER (score IS NOT NULL), '') AS scores
+FROM d LEFT JOIN spans ON d.doc_id = spans.doc_id GROUP BY d.doc_id
+"""

@@ -12,4 +12,4 @@ QUERIES = {
         decontamination.op10_decontamination,
     )
 }
-SQL = {"op2_quality_rules": quality_rules.SQL}
+SQL = {"op2_quality_rules": quality_rules.SQL, "op4_pii": pii.SQL, "op8_near_duplicates": near_duplicates.SQL}

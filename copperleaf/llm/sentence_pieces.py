@@ -44,6 +44,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 CELLS = 200_000
 MAYBE_BITS = 21
 SLICE_BYTES = 2 << 20
+#: Words, and places for pairs of pieces (a power of 2), that a task remembers.
+MEMO_WORDS, PAIR_BITS = 400_000, 20
 #: Words beyond LONG characters are cut into segments of SEGMENT characters that start WARM characters early.
 LONG, SEGMENT, WARM = 640, 256, 64
 #: Last pieces that are none: a character without a piece, and the beginning of a word.
@@ -130,6 +132,7 @@ class Pieces:
                 self.odd[i] = self.odd[a] or self.odd[b] or max(self.time[a], self.time[b]) > self.time[i]
         self.sizes = np.array(sorted({*self.length.tolist(), 1}, reverse=True))
         self.power = np.cumprod(np.append(np.ones(1, np.uint64), np.full(2 * max(self.sizes), BASE)))
+        self.known = None
         self.maybe = np.zeros(1 << MAYBE_BITS, bool)
         self.maybe[self.keys >> np.uint64(64 - MAYBE_BITS)] = True
 
@@ -168,6 +171,21 @@ class Pieces:
             x, y = np.where(left, self.second[x], x), np.where(left, y, self.first[y])
         return out
 
+    def _fits(self, pairs: np.ndarray) -> np.ndarray:
+        """``fits`` for pairs of places as one number each. Answers are remembered; of pairs that share a place in the memory the latest stays."""
+        if self.known is None:
+            self.known = np.full(1 << PAIR_BITS, -1, np.int64)  # 2 * pair + answer
+        spot = (pairs.astype(np.uint64) * BASE >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+        found = self.known[spot]
+        out = (found & 1).astype(bool)
+        new = np.flatnonzero(found >> 1 != pairs)
+        if len(new):
+            own, first, back = np.unique(pairs[new], return_index=True, return_inverse=True)
+            answers = self.fits(own // len(self.keys), own % len(self.keys))
+            self.known[spot[new[first]]] = 2 * own + answers
+            out[new] = answers[back]
+        return out
+
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all words in order, and how many each has."""
         lengths = np.fromiter(map(len, words), np.int64, len(words))
@@ -220,8 +238,7 @@ class Pieces:
             piece, before = own[r, c].astype(np.int64), last[end - sizes[first + c], r].astype(np.int64)
             good = before < 0  # nothing merges with the beginning, or with a character that has no piece
             todo = np.flatnonzero(~good)
-            pairs, back = np.unique(before[todo] * len(self.keys) + piece[todo], return_inverse=True)
-            good[todo] = self.fits(pairs // len(self.keys), pairs % len(self.keys))[back]
+            good[todo] = self._fits(before[todo] * len(self.keys) + piece[todo])
             score = np.zeros(own.shape, np.int8)
             score[r[good], c[good]] = 1
             last[end] = own[row, score.argmax(1)]
@@ -295,7 +312,7 @@ def encode(docs: DataFrame, model: str, verify: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
-        table = ListTable(pieces.encode_words, 120_000)
+        table = ListTable(pieces.encode_words, MEMO_WORDS)
         for batch, raw in chunks(batches, SLICE_BYTES):
             flat, at = table.lists([WORD.findall(" " + t.decode()) if t else [] for t in raw])
             each = np.split(flat.astype("<u4"), at[1:-1])

@@ -521,6 +521,16 @@ def test_pieces_equal_the_library_and_plain_merging():
             assert [texts[i] for i in toy.encode_words([t])[0]] == [x for x, _ in sentence_pieces.merge(t, toy.rank)]
 
 
+def test_pairs_that_share_a_place_keep_their_answers(monkeypatch):
+    monkeypatch.setattr(sentence_pieces, "PAIR_BITS", 3)
+    pieces = sentence_pieces.Pieces(sentence_pieces.model_path())
+    pairs = np.random.default_rng(1).integers(0, len(pieces.keys) ** 2, 5000)
+    pairs = pairs[pieces.alive[pairs // len(pieces.keys)] & pieces.alive[pairs % len(pieces.keys)]]
+    want = pieces.fits(pairs // len(pieces.keys), pairs % len(pieces.keys))
+    for cut in (slice(None), slice(0, 9), slice(5, 900), slice(None)):
+        assert (pieces._fits(pairs[cut]) == want[cut]).all()
+
+
 def test_a_long_text_without_spaces():
     import sentencepiece
 

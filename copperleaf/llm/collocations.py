@@ -38,14 +38,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from copperleaf.llm.common import documents, narrow, written
-from copperleaf.llm.hashed import MEMO, HashIndex, hashes, remembered, slices, text_bytes
+from copperleaf.llm.hashed import HashIndex, hashes, remembered, slices, text_bytes
 
 MIN_COUNT, KEEP_PERCENT, TOP = 10, 50, 2000
 #: Words with numbers and bits of a number; pairs of a trie; bits of the map of words without.
 WORD_BITS, LOW_BITS, MAP_BITS = 20, 10, 27
 MAX_WORDS, MAX_PAIRS = 1 << WORD_BITS, 1 << 21
-#: Windows that a task gathers before it counts them, and rows of a batch that it hands on.
-WINDOWS, BATCH = 1 << 22, 1 << 16
+#: Words that a task counts before it starts anew, windows that it gathers before it counts them, and rows of a batch that it hands on.
+MEMO, WINDOWS, BATCH = 1 << 19, 1 << 21, 1 << 16
 #: Bytes that end a piece, bytes between words.
 BREAKS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 UNKNOWN = "und"

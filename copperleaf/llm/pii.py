@@ -12,7 +12,9 @@ aside, that end where a word ends, those of its country's length (of any length,
 first, for a country not listed) are tried by mod-97, so what follows an IBAN is no part of it.
 
 The patterns take runs possessively and start only where a run starts or where the last
-match ended, so they run in linear time and constant stack on any text.
+match ended, so they run in linear time and constant stack on any text. Results are gathered
+by runs of matches, and places in a text found by its pages, so that a very long text dense
+in matches takes time in proportion to its length too.
 
 Null text counts as empty: no spans; ``redact`` leaves it null. Repeated rows each get their
 own result, spans that start together are ordered by kind. An empty table gives an empty
@@ -21,6 +23,8 @@ result. ``find`` adds (or replaces) the column ``pii_spans``; ``redact`` keeps e
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +64,8 @@ IBAN_LENGTHS = {
 }
 #: Characters before a match in which a telling word counts.
 NEAR = 40
+#: Matches whose results are gathered together; characters of a page.
+RUN, PAGE = 64, 256
 
 
 def _digits(x: Column) -> Column:
@@ -102,38 +108,95 @@ def _holds(kind: str, x: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(kind: str, number: int, text: Column) -> Column:
+def bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), with x evaluated once however often, and in whatever lambda, f uses it."""
+    return F.get(F.transform(F.array(x), lambda v: f(v)), F.lit(0))
+
+
+def scan(items: Column, zero: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """array<kind>: what step(state, item) gives as (next state, out) for each item in order, without nulls.
+
+    Results are gathered by runs of ``RUN`` items, so that what is copied grows with the
+    items and not with their square.
+    """
+    none = F.array().cast(f"array<{kind}>")
+
+    def one(acc: Column, item: Column) -> Column:
+        state, out = step(acc["state"], item)
+        return F.struct(state.alias("state"), F.concat(acc["out"], F.array(out.cast(kind))).alias("out"))
+
+    def run(acc: Column, part: Column) -> Column:
+        inner = F.aggregate(part, F.struct(acc["state"].alias("state"), none.alias("out")), one)
+        return bound(inner, lambda i: F.struct(i["state"].alias("state"), F.concat(acc["out"], F.array(i["out"])).alias("out")))
+
+    def whole(it: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(it) - 1) / RUN).cast("int") + F.when(F.size(it) == 0, 1).otherwise(0)), lambda c: F.slice(it, c * RUN + 1, F.lit(RUN)))
+        return F.filter(F.flatten(F.aggregate(runs, F.struct(zero.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out")), run, lambda acc: acc["out"])), lambda x: x.isNotNull())
+
+    return bound(items, whole)
+
+
+def pages(text: Column) -> Column:
+    """array<string>: the text in pages of ``PAGE`` characters, as finding a place in a long text takes time that grows with the place."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PAGE}}}"), F.lit(0))
+
+
+def part_of(paged: Column, start: Column, length: Column) -> Column:
+    """length characters from start (from 0) of a text in pages, or as many as there are."""
+    first = F.floor(start / PAGE).cast("int")
+    last = F.floor((start + length) / PAGE).cast("int")
+    return F.substr(F.array_join(F.slice(paged, first + 1, last - first + 1), ""), start - first * PAGE + 1, length)
+
+
+SPAN = "struct<start:int,kind:int,end:int,score:double>"
+
+
+def _spans(kind: str, number: int, text: Column, paged: Column) -> Column:
     """array<struct<start, kind, end, score>> of one kind's confirmed matches."""
-    pattern, empty = F.lit(PATTERNS[kind]), "array<struct<start:int,kind:int,end:int,score:double>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(empty).alias("out"))
+    pattern = F.lit(PATTERNS[kind])
 
-    def step(state: Column, pair: Column) -> Column:
+    def step(at: Column, pair: Column) -> tuple[Column, Column]:
         gap, match = pair["gap"], pair["match"]
-        start = state["at"] + F.length(gap)
-        end = start + F.length(match)
+        start = at + F.length(gap)
         near = F.lower(F.right(gap, F.lit(NEAR))).rlike(WORDS[kind])
         score = SCORES[kind] + F.when(F.lit(kind in ("card", "iban")), CHECKSUM).otherwise(0.0) + F.when(near, CONTEXT).otherwise(0.0)
-        span = F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"), F.least(F.lit(1.0), score).alias("score"))
-        good = F.coalesce(_holds(kind, match), F.lit(False)) & (F.lit(number < 4) | (score >= MIN_SCORE))
+        end = start + F.length(match)
+        span = lambda last: F.struct(start.alias("start"), F.lit(number).alias("kind"), last.alias("end"), F.least(F.lit(1.0), score).alias("score"))
         if kind == "iban":
-            whole = iban_at(F.substr(text, start + 1, F.lit(MAX_IBAN)))
-            span = F.struct(span["start"].alias("start"), span["kind"].alias("kind"), (start + F.length(whole)).alias("end"), span["score"].alias("score"))
-            free = F.coalesce(F.get(state["out"], F.size(state["out"]) - 1)["end"], F.lit(0)) <= start
-            good = free & whole.isNotNull() & (score >= MIN_SCORE)
-        return F.struct(end.alias("at"), F.when(good, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+            return end, F.when(score >= MIN_SCORE, bound(iban_at(part_of(paged, start, F.lit(MAX_IBAN))), lambda whole: F.when(whole.isNotNull(), span(start + F.length(whole)))))
+        good = F.coalesce(_holds(kind, match), F.lit(False)) & (F.lit(number < 4) | (score >= MIN_SCORE))
+        return end, F.when(good, span(end))
+
+    def apart(free: Column, span: Column) -> tuple[Column, Column]:
+        """Of IBANs that overlap, the first one."""
+        return F.when(span["start"] >= free, span["end"]).otherwise(free), F.when(span["start"] >= free, span)
 
     matches = F.regexp_extract_all(text, pattern, F.lit(0))
     pairs = F.arrays_zip(F.slice(F.split(text, PATTERNS[kind], -1), F.lit(1), F.size(matches)).alias("gap"), matches.alias("match"))
-    found = F.aggregate(pairs, zero, step, lambda s: s["out"])
-    return F.when(text.rlike(PATTERNS[kind]), found).otherwise(F.array().cast(empty))
+    found = scan(pairs, F.lit(0), step, SPAN)
+    found = scan(found, F.lit(0), apart, SPAN) if kind == "iban" else found
+    return F.when(text.rlike(PATTERNS[kind]), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def pii_spans(text: Column) -> Column:
     """All spans of a text, sorted by start and then kind; those that the method adds overlap no base span."""
-    base = F.concat(*[_spans(k, i, text) for i, k in enumerate(KINDS[:4])])
-    more = F.concat(*[_spans(k, i + 4, text) for i, k in enumerate(KINDS[4:])])
-    free = F.when(F.size(more) == 0, more).otherwise(F.filter(more, lambda m: ~F.exists(base, lambda b: (m["start"] < b["end"]) & (b["start"] < m["end"]))))
-    return F.array_sort(F.concat(base, free))
+
+    def forward(end: Column, x: Column) -> tuple[Column, Column]:
+        """Without the added spans that a base span before them reaches into."""
+        base = x["kind"] < 4
+        return F.when(base, F.greatest(end, x["end"])).otherwise(end), F.when(base | (x["start"] >= end), x)
+
+    def backward(start: Column, x: Column) -> tuple[Column, Column]:
+        """Without the added spans that reach into the base span after them."""
+        base = x["kind"] < 4
+        return F.when(base, x["start"]).otherwise(start), F.when(base | (x["end"] <= start), x)
+
+    def spans(paged: Column) -> Column:
+        each = [_spans(k, i, text, paged) for i, k in enumerate(KINDS)]
+        clear = lambda found: F.reverse(scan(F.reverse(scan(found, F.lit(0), forward, SPAN)), F.lit(2**31 - 1), backward, SPAN))
+        return bound(F.array_sort(F.concat(*each)), lambda found: F.when(F.exists(found, lambda x: x["kind"] >= 4), clear(found)).otherwise(found))
+
+    return bound(F.when(text.rlike(PATTERNS["iban"]), pages(text)).otherwise(F.array().cast("array<string>")), spans)
 
 
 def find(docs: DataFrame, text_col: str = "text", name: str = "pii_spans") -> DataFrame:
@@ -143,16 +206,17 @@ def find(docs: DataFrame, text_col: str = "text", name: str = "pii_spans") -> Da
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in angle brackets; of overlapping spans the first is named."""
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     names = F.array(*[F.lit(f"<{k}>") for k in KINDS])
 
-    def step(state: Column, s: Column) -> Column:
-        fresh = s["start"] >= state["at"]
-        piece = F.array(F.substr(text, state["at"] + 1, s["start"] - state["at"]), F.element_at(names, s["kind"] + 1))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(fresh, F.concat(state["out"], piece)).otherwise(state["out"]).alias("out"))
+    def whole(paged: Column) -> Column:
+        def step(at: Column, s: Column) -> tuple[Column, Column]:
+            piece = F.concat(part_of(paged, at, s["start"] - at), F.element_at(names, s["kind"] + 1))
+            return F.greatest(at, s["end"]), F.when(s["start"] >= at, piece)
+
+        last = F.array_max(F.transform(spans, lambda s: s["end"]))
+        return F.concat(F.array_join(scan(spans, F.lit(0), step, "string"), ""), part_of(paged, last, F.length(text)))
 
-    joined = F.aggregate(spans, zero, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substr(text, s["at"] + 1)))
-    return F.when(F.size(spans) == 0, text).otherwise(joined)
+    return F.when(F.size(spans) == 0, text).otherwise(bound(pages(text), whole))
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:

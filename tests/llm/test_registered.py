@@ -356,7 +356,7 @@ TRICKY = [
 ]
 
 
-@pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if re.match(r"op\d+_", n)))
+@pytest.mark.parametrize("name", sorted(n for n in entry.oracle_sql() if re.match(r"op[1-9]_", n)))  # op11's is in its own test
 def test_sql_says_the_same(spark, tmp_path, name):
     rows = [(i, t, f"h{i % 3}") for i, t in enumerate([*ODD, *TRICKY, *[r[1] for r in ROWS if r[0] and r[0] >= 100]])]
     spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
@@ -538,3 +538,24 @@ def test_a_long_text_without_spaces():
     sp = sentencepiece.SentencePieceProcessor(model_file=sentence_pieces.model_path())
     t = "".join(np.random.default_rng(1).choice(list("abcdefghijklmnopqrstuvwxyz"), 300_000))
     assert p.encode_words([" " + t])[0].tolist() == sp.encode(t)
+
+
+def test_a_long_text_dense_in_personal_data(spark):
+    """Hundreds of thousands of characters full of matches of every kind: found and redacted in time that grows with them."""
+    from pyspark.sql import functions as F
+
+    from copperleaf.llm import pii
+
+    parts = ["u{0}@b.co", "10.0.{0}.1", "card 4111 1111 1111 1111", "+1 555 123 4{0:04d}", "iban DE89370400440532013000", "ssn 123-45-6789", "é日 x"]
+    text = "; ".join(parts[i % len(parts)].format(i % 256) for i in range(30_000))
+    row = pii.find(spark.createDataFrame([(1, text)], "doc_id long, text string")).select("text", "pii_spans", pii.redacted(F.col("text"), F.col("pii_spans")).alias("bare")).first()
+    kinds = Counter(s.kind for s in row.pii_spans)
+    each = 30_000 // 7
+    assert all(each <= kinds[k] <= each + 1 for k in range(6))
+    want, at = "", 0
+    for s in row.pii_spans:
+        if s.start >= at:
+            want += text[at : s.start] + f"<{pii.KINDS[s.kind]}>"
+        at = max(at, s.end)
+    assert row.bare == want + text[at:]
+    assert row.bare.replace("é日 x", "").replace("; ", "").replace("card ", "").replace("iban ", "").replace("ssn ", "").replace("<", ">").replace(">>", ">").split(">")[1:7] == list(pii.KINDS)

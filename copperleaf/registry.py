@@ -162,7 +162,4 @@ log = lambda s, d: table(s, d, "lineitem").select("l_orderkey", "l_linenumber",
 newest = lambda where: f"SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY _commit_seq DESC, l_partkey DESC) AS r FROM {LOG} WHERE {where}) WHERE r = 1"
 pick = lambda df: df.select(*KEYS, "l_partkey")
 query("latest_by_key", lambda x: pick(C.latest_by_key(x, KEYS, F.col("l_partkey"))), newest("true"), source=log)
-query("as_of", lambda x: pick(C.as_of(x.withColumn("_commit_ts", F.col("_commit_seq")), KEYS, F.lit(2), F.col("l_partkey"))), newest("_commit_seq <= 2"), source=log)
-query("commit_history", C.history, f"SELECT _commit_seq, n_rows, cast(sum(n_rows) OVER (ORDER BY _commit_seq) AS bigint) AS total_rows FROM (SELECT _commit_seq, count(*) AS n_rows FROM {LOG} GROUP BY 1)", source=log)
-query("scan_incremental_commit", lambda x: C.between_commits(x, 1, 3), f"SELECT * FROM {LOG} WHERE _commit_seq > 1 AND _commit_seq <= 3", source=log)
 query("scan_incremental_id", lambda m: C.id_range(m, 100, 500).select("id"), "SELECT id FROM msg WHERE id > 100 AND id <= 600", source=messages)

@@ -80,7 +80,7 @@ def upserted(first: DataFrame, second: DataFrame, keys: list[str], tie: str) ->
     spark, path = first.sparkSession, f"{new_folder(first.sparkSession)}/log"
     for seq, rows in ((1, first), (2, second), (2, second)):
         C.append(rows, path, seq)
-    return C.latest_by_key(C.read(spark, path), keys, F.col(tie)).drop("_commit_seq", "_commit_ts", "_writer")
+    return C.latest_by_key(C.read(spark, path), keys, F.col(tie)).drop("_commit_seq", "_commit_ts", "_writer", "_op")
 
 
 def upsert_raw(messages: DataFrame) -> DataFrame:

@@ -11,17 +11,37 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+#: What a commit may do: add rows beside all others, put rows in the place of those with equal keys, take rows away.
+APPEND, UPSERT, DELETE = "APPEND", "UPSERT", "DELETE"
+
+
+def newest_first(log: DataFrame, tie: Column) -> list[Column]:
+    """The order of versions: by commit, then writer, then ``tie``, the newest first."""
+    return [F.desc("_commit_seq"), *([F.desc("_writer")] if "_writer" in log.columns else []), tie.desc()]
+
+
 def latest_by_key(log: DataFrame, keys: list[str], tie: Column) -> DataFrame:
-    """The newest version of each key; within a commit the largest ``tie`` wins (two versions with equal ties must be equal)."""
-    order = F.struct(F.col("_commit_seq"), *([F.col("_writer")] if "_writer" in log.columns else []), tie.alias("tie"))
-    names = [c for c in log.columns if c not in keys]
-    newest = log.groupBy(*keys).agg(F.max_by(F.struct(*names), order).alias("_newest"))  # combined before the shuffle
-    return newest.select(*keys, "_newest.*").select(*log.columns)
+    """The newest version of each key; within a commit the largest ``tie`` wins (two versions with equal ties must be equal). Keys whose newest version takes them away are left out."""
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first(log, tie)))
+    newest = log.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")  # each task hands on one version of a key
+    return newest.filter(F.col("_op") != DELETE) if "_op" in log.columns else newest
+
+
+def live_rows(log: DataFrame, keys: list[str], tie: Column) -> DataFrame:
+    """All rows that hold in a log of mixed commits: appended rows stay beside each other until a later upsert or delete of their key."""
+    order = Window.partitionBy(*keys).orderBy(*newest_first(log, tie)).rowsBetween(Window.unboundedPreceding, -1)
+    later = F.coalesce(F.sum((F.col("_op") != APPEND).cast("int")).over(order), F.lit(0))
+    return log.withColumn("_later", later).filter((F.col("_later") == 0) & (F.col("_op") != DELETE)).drop("_later")
+
 
+def append(df: DataFrame, path: str, seq: int, writer: str = "main", at: Column | None = None, op: str = UPSERT) -> None:
+    """Write one commit of a writer; writing the same commit again replaces it, so a replay changes nothing.
 
-def append(df: DataFrame, path: str, seq: int, writer: str = "main", at: Column | None = None) -> None:
-    """Write one commit of a writer; writing the same commit again replaces it, so a replay changes nothing."""
-    rows = df.withColumn("_commit_ts", at if at is not None else F.current_timestamp())
+    The rows of a DELETE carry the keys; their other columns are not looked at but must be there.
+    """
+    if op not in (APPEND, UPSERT, DELETE):
+        raise ValueError(f"no such operation: {op}")
+    rows = df.withColumn("_commit_ts", at if at is not None else F.current_timestamp()).withColumn("_op", F.lit(op))
     rows.write.mode("overwrite").parquet(f"{path}/_writer={writer}/_commit_seq={seq}")
 
 

@@ -44,8 +44,8 @@ MIN_COUNT, KEEP_PERCENT, TOP = 10, 50, 2000
 #: Words with numbers and bits of a number; pairs of a trie; bits of the map of words without.
 WORD_BITS, LOW_BITS, MAP_BITS = 20, 10, 27
 MAX_WORDS, MAX_PAIRS = 1 << WORD_BITS, 1 << 21
-#: Words that a task counts before it starts anew, windows that it gathers before it counts them, and rows of a batch that it hands on.
-MEMO, WINDOWS, BATCH = 1 << 19, 1 << 21, 1 << 16
+#: Words that a task counts before it starts anew, windows that it gathers before it counts them, rows of a batch that it hands on, and bytes of text that it takes at a time.
+MEMO, WINDOWS, BATCH, SLICE = 1 << 18, 1 << 20, 1 << 16, 1 << 19
 #: Bytes that end a piece, bytes between words.
 BREAKS, BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 UNKNOWN = "und"
@@ -96,7 +96,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             yield from _batches([langs, spelt, counts[: index.used], hashed], [pa.string(), pa.string(), pa.int64(), pa.int64()], ["lang", "word", "n", "hash"])
 
         index, counts, langs, spelt = fresh()
-        for b in slices(batches):
+        for b in slices(batches, SLICE):
             data, begin, end, row, _ = words_of(b)
             names, marks = _langs(b)
             h = hashes(data, begin, end, marks[row])
@@ -117,7 +117,8 @@ def count_words(docs: DataFrame) -> DataFrame:
                 index, counts, langs, spelt = fresh()
         yield from rows()
 
-    return docs.mapInArrow(run, "lang string, word string, n long, hash long").groupBy("lang", "word").agg(F.sum("n").alias("n"), F.max("hash").alias("hash"))
+    # counted in the tasks, so there is nothing that Spark could combine before the shuffle
+    return docs.mapInArrow(run, "lang string, word string, n long, hash long").repartition("lang", "word").groupBy("lang", "word").agg(F.sum("n").alias("n"), F.max("hash").alias("hash"))
 
 
 class Vocabulary:
@@ -167,7 +168,7 @@ def numbered_texts(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, SLICE):
             data, begin, end, row, follows = words_of(b)
             names, marks = _langs(b)
             number = shared.value.numbers(hashes(data, begin, end, marks[row]))
@@ -216,7 +217,7 @@ def counted(ids: DataFrame, windows) -> DataFrame:
         if waiting:
             yield from rows()
 
-    return ids.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
+    return ids.mapInArrow(run, "key long, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_COUNT)
 
 
 def pair_windows(ids: np.ndarray) -> np.ndarray:

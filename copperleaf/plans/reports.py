@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from copperleaf.plans import rollup as U
 from copperleaf.plans import summaries as S
 
-# Period types, the categories that a fallback sums apart, the keys of the metrics text, the form of render links.
-TYPES = {"DAILY": S.day, "WEEKLY": S.week, "MONTHLY": S.month}
-APART = ["FOOD", "TRANSPORT", "ONLINE_SHOPPING", "OFFLINE_SHOPPING", "MEDICAL", "COMMUNICATION", "INSURANCE", "PROPERTY_MANAGEMENT", "TRAVEL", "CAR_EXPENSE", "PERSONAL_TRANSFER"]
+# The keys of the metrics text, the form of render links.
 METRICS = {
     "txCount": "tx_count", "totalExpense": "total_expense", "totalRefund": "total_refund", "netExpense": "net_expense", "totalIncome": "total_income", "totalTransfer": "total_transfer",
     "foodExpense": "food_expense", "transportExpense": "transport_expense", "onlineShoppingExpense": "online_shopping_expense", "offlineShoppingExpense": "offline_shopping_expense",
@@ -18,36 +17,27 @@ METRICS = {
 }
 RENDER_LINK = r"(https?://quickchart\.io/chart/render/[^\s)\"]+)"
 
-KEY = ["period_type", "period_value"]
+KEY, APART, TYPES = U.KEY, U.APART, U.TYPES
 FIGURES = list(METRICS.values())
 
 
 def by_period(tx: DataFrame) -> DataFrame:
     """tx with a row for its day, its week and its month: period_type and period_value."""
-    parts = [F.struct(F.lit(k).alias("period_type"), f().cast("string").alias("period_value")) for k, f in TYPES.items()]
-    return tx.withColumn("p", F.explode(F.array(*parts))).select("*", "p.*").drop("p")
+    return U.by_type(tx, S.T)
 
 
 def macro(tx: DataFrame) -> DataFrame:
-    """The figures of every day, week and month, in one pass over tx. Weeks have no transfers."""
-    out = S.with_net(by_period(tx).groupBy(*KEY).agg(*S.measures()))
-    return out.withColumn("total_transfer", F.when(F.col("period_type") == "WEEKLY", F.lit(0)).otherwise(F.col("total_transfer")).cast(S.MONEY)).select(*KEY, *FIGURES)
+    """The figures of every day, week and month, rolled up from the days'. Weeks have no transfers."""
+    return U.macro_figures(U.roll_up(U.day_states(tx)), FIGURES)
 
 
 def fallback(tx: DataFrame) -> DataFrame:
-    """The figures of every day, week and month from detail rows alone.
+    """The figures of every day, week and month from detail rows alone, rolled up from the days'.
 
     A null type counts as expense, an unknown one adds to the total expense only; a null or
     unknown category is OTHER; every row counts, whatever its validity, currency or direction.
     """
-    kind, name = F.upper(F.coalesce("tx_type", F.lit("EXPENSE"))), F.upper(F.coalesce("category", F.lit("OTHER")))
-    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("amount"))), F.lit(0)).cast(S.MONEY)
-    sums = by_period(tx).groupBy(*KEY).agg(
-        F.count("*").alias("tx_count"), total(~kind.isin("REFUND", "INCOME", "TRANSFER")).alias("total_expense"), total(kind == "REFUND").alias("total_refund"),
-        total(kind == "INCOME").alias("total_income"), total(kind == "TRANSFER").alias("total_transfer"),
-        *[total((kind == "EXPENSE") & (name == c)).alias(f"{S.CATEGORY_COLUMNS[c]}_expense") for c in APART], total((kind == "EXPENSE") & ~name.isin(APART)).alias("other_expense"),
-    )
-    return S.with_net(sums).select(*KEY, *FIGURES)
+    return U.spare_figures(U.roll_up(U.day_states(tx)), FIGURES)
 
 
 def monday(label: Column) -> Column:
@@ -68,15 +58,16 @@ def period_bounds(kind: Column, value: Column, today: Column) -> Column:
     return F.struct(F.coalesce(first, today).alias("anchor"), first.alias("first"), last.alias("last"))
 
 
-def latest_active(tx: DataFrame, kind: str) -> str | None:
-    """The newest period with a transaction that counts; None where there is none."""
-    row = tx.filter(S.is_expense()).agg(F.max(TYPES[kind]().cast("string")).alias("v")).first()
-    return row.v
+def latest_active(figures: DataFrame) -> DataFrame:
+    """period_type and period_value of the newest period of each type with a transaction that counts."""
+    return figures.filter("tx_count > 0").groupBy("period_type").agg(F.max("period_value").alias("period_value"))
 
 
-def resolve_period(tx: DataFrame, kind: str, explicit: str | None, default: str) -> str:
-    """The period to report: the one asked for, else the latest active one, else the default."""
-    return explicit or latest_active(tx, kind) or default
+def resolve_periods(figures: DataFrame, requests: DataFrame) -> DataFrame:
+    """requests (period_type, explicit, default, and more) with period_value: the period asked for, else the latest active one of its type, else the default."""
+    newest = latest_active(figures).withColumnRenamed("period_value", "_newest")  # a row a type
+    rows = requests.join(F.broadcast(newest), "period_type", "left")
+    return rows.withColumn("period_value", F.coalesce(F.nullif("explicit", F.lit("")), "_newest", "default")).drop("_newest", "explicit", "default")
 
 
 def metrics_json(first: Column, last: Column) -> Column:
@@ -92,14 +83,14 @@ def chart_urls(text: Column) -> Column:
     return F.when(F.size(urls) > 0, F.to_json(urls))
 
 
-def reports(details: DataFrame, figures: DataFrame, wanted: DataFrame, texts: DataFrame, today: Column, delivered: DataFrame | None = None) -> DataFrame:
+def reports(spare: DataFrame, figures: DataFrame, wanted: DataFrame, texts: DataFrame, today: Column, delivered: DataFrame | None = None) -> DataFrame:
     """15 columns for each wanted period (period_type, period_value).
 
-    ``figures`` are macro figures; a period without a row there takes those of its details,
-    and one without details either has zeros. ``texts`` has summary_text by period;
+    ``figures`` are macro figures; a period without a row there takes ``spare`` ones, those of
+    its details, and one without details either has zeros. ``texts`` has summary_text by period;
     ``delivered`` has slack_status by period, without it nothing was delivered.
     """
-    spare, own = fallback(details), figures.select(*KEY, *[F.col(c).alias(f"{c}_own") for c in FIGURES], F.lit(True).alias("known"))
+    own = figures.select(*KEY, *[F.col(c).alias(f"{c}_own") for c in FIGURES], F.lit(True).alias("known"))
     rows = wanted.select(*KEY).distinct().join(own, KEY, "left").join(spare, KEY, "left").join(texts.select(*KEY, "summary_text"), KEY, "left")
     pick = lambda c: F.when(F.col("known"), F.col(f"{c}_own")).otherwise(F.coalesce(F.col(c), F.lit(0)))
     count = F.coalesce(F.when(F.col("known"), F.col("tx_count_own")), F.col("tx_count"), F.lit(0)).cast("long")
@@ -113,21 +104,34 @@ def reports(details: DataFrame, figures: DataFrame, wanted: DataFrame, texts: Da
     )
 
 
+def largest(tx: DataFrame, top: int) -> DataFrame:
+    """The ``top`` largest expenses of each day, week and month and category, ties by id: the days' ones first, then among those the others'."""
+    order = [F.desc_nulls_last("amount"), F.asc("id")]
+    best = lambda rows, *by: rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by, "category").orderBy(*order))).filter(F.col("rank") <= top)
+    days = best(tx.filter(S.is_expense()).withColumn("_day", S.day()), "_day").drop("rank", "_day")
+    return best(by_period(days), *KEY)
+
+
 def report_context(details: DataFrame, figures: DataFrame, top: int = 5) -> DataFrame:
-    """A structured row for each period: figures, number of details, and its largest expenses (id, tx_time, amount, category, merchant), ``top`` of each category at most."""
-    rows = by_period(details)
-    count = rows.groupBy(*KEY).agg(F.count("*").alias("n_details"))
-    order = Window.partitionBy(*KEY, "category").orderBy(F.desc_nulls_last("amount"), "id")
-    largest = rows.filter(S.is_expense()).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    """A structured row for each period: figures, number of details, and its largest expenses (id, tx_time, amount, category, merchant), ``top`` of each category at most.
+
+    ``figures`` has n_details besides, as ``period_figures`` gives it.
+    """
     # bounded: ``top`` details for each of the fixed categories
-    each = largest.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct((-F.col("amount")).alias("less"), "id", "tx_time", "amount", "category", S.merchant().alias("merchant")))).alias("d"))
+    each = largest(details, top).groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct((-F.col("amount")).alias("less"), "id", "tx_time", "amount", "category", S.merchant().alias("merchant")))).alias("d"))
     details_ = F.transform("d", lambda x: F.struct(x["id"].alias("id"), x["tx_time"].alias("tx_time"), x["amount"].alias("amount"), x["category"].alias("category"), x["merchant"].alias("merchant")))
-    return figures.join(count, KEY, "left").join(each, KEY, "left").select(*KEY, F.struct(*FIGURES).alias("figures"), F.coalesce("n_details", F.lit(0)).alias("n_details"), details_.alias("details"))
+    return figures.join(each, KEY, "left").select(*KEY, F.struct(*FIGURES).alias("figures"), F.coalesce("n_details", F.lit(0)).alias("n_details"), details_.alias("details"))
+
+
+def period_figures(tx: DataFrame) -> DataFrame:
+    """Macro figures and n_details of every day, week and month."""
+    return U.macro_figures(U.roll_up(U.day_states(tx)), [*FIGURES, "n_details"])
 
 
 def top_merchants(tx: DataFrame, n: int = 3) -> DataFrame:
-    """The n merchants with the largest totals of each day, week and month: rank, merchant_name, total_amount, tx_count."""
-    rows = by_period(tx.filter(S.in_cny(S.is_expense()))).groupBy(*KEY, S.merchant().alias("merchant_name")).agg(F.sum("amount").cast(S.MONEY).alias("total_amount"), F.count("*").alias("tx_count"))
+    """The n merchants with the largest totals of each day, week and month: rank, merchant_name, total_amount, tx_count; summed by day first."""
+    days = tx.filter(S.in_cny(S.is_expense())).groupBy(S.day().alias(S.T), S.merchant().alias("merchant_name")).agg(F.sum("amount").alias("amount"), F.count("*").alias("n"))
+    rows = by_period(days).groupBy(*KEY, "merchant_name").agg(F.sum("amount").cast(S.MONEY).alias("total_amount"), F.sum("n").alias("tx_count"))
     order = Window.partitionBy(*KEY).orderBy(F.desc_nulls_last("total_amount"), "merchant_name")
     return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
 

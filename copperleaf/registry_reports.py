@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from copperleaf import registry as R
 from copperleaf.functions import extract as X
 from copperleaf.plans import reports as P
+from copperleaf.plans import rollup as U
 from copperleaf.plans import summaries as S
 from copperleaf.sources import changelog as C
 from copperleaf.sources.shared import new_folder
@@ -18,7 +19,6 @@ QUERIES, SQL = R.QUERIES, R.SQL
 LABELS = {"DAILY": "cast(cast(tx_time AS date) AS varchar)", "WEEKLY": R.WEEK, "MONTHLY": R.MONTH}
 BY_PERIOD = " UNION ALL ".join(f"SELECT '{k}' AS period_type, {v} AS period_value, * FROM tx" for k, v in LABELS.items())
 MACRO = f"SELECT period_type, period_value, {R.MEASURES}, {R.money(f"CASE WHEN period_type = 'WEEKLY' THEN 0 ELSE {R.summed(R.kind('OUTFLOW', 'TRANSFER'))} END", 'total_transfer')} FROM by_period GROUP BY 1, 2"
-MACRO = MACRO.replace(f"CASE WHEN period_type = 'WEEKLY' THEN 0 ELSE {R.summed(R.kind('OUTFLOW', 'TRANSFER'))} END", f"CASE WHEN period_type = 'WEEKLY' THEN 0 ELSE {R.summed(R.kind('OUTFLOW', 'TRANSFER'))} END")
 KIND, NAME = "upper(coalesce(tx_type, 'EXPENSE'))", "upper(coalesce(category, 'OTHER'))"
 sums = lambda c: f"coalesce(sum(CASE WHEN {c} THEN amount END), 0)"
 SPENT, BACK = sums(f"{KIND} NOT IN ('REFUND', 'INCOME', 'TRANSFER')"), sums(f"{KIND} = 'REFUND'")
@@ -40,21 +40,28 @@ TODAY = "2001-02-03"
 ASKED = """SELECT 'DAILY' AS period_type, '2030-01-05' AS period_value UNION ALL SELECT 'WEEKLY', '2030-W02' UNION ALL SELECT 'MONTHLY', '2030-02' UNION ALL SELECT 'DAILY', '2030-02-30' UNION ALL SELECT 'WEEKLY', '2030-W53'
   UNION ALL SELECT 'WEEKLY', '2026-W53' UNION ALL SELECT 'MONTHLY', 'March' UNION ALL SELECT 'DAILY', '' """
 BOUNDS = f"SELECT period_type, period_value, coalesce(first, date '{TODAY}') AS report_date, first, {LAST} AS last FROM (SELECT *, {FIRST} AS first FROM (SELECT DISTINCT period_type, period_value FROM by_period UNION ALL {ASKED}))"
-#: Texts of the reports of some periods, one SQL text for both engines.
-TEXTS = "SELECT period_type, period_value, concat('Figures of ', period_value, CASE WHEN n % 3 = 0 THEN concat(' ![a](https://quickchart.io/chart/render/zf-', cast(n AS varchar(20)), ') twice https://quickchart.io/chart/render/zf-', cast(n AS varchar(20))) ELSE '' END) AS summary_text FROM (SELECT period_type, period_value, count(*) AS n FROM {rows} GROUP BY period_type, period_value) WHERE n % 5 < 4"
+#: Texts of the reports of some periods by their numbers of details, one SQL text for both engines.
+TEXTS = "SELECT period_type, period_value, concat('Figures of ', period_value, CASE WHEN n % 3 = 0 THEN concat(' ![a](https://quickchart.io/chart/render/zf-', cast(n AS varchar(20)), ') twice https://quickchart.io/chart/render/zf-', cast(n AS varchar(20))) ELSE '' END) AS summary_text FROM {counts} WHERE n % 5 < 4"
 
 today = lambda: F.lit(TODAY).cast("date")
 
 
-def asked(tx: DataFrame) -> DataFrame:
-    return P.by_period(tx).select(*P.KEY).distinct().unionByName(tx.sparkSession.sql(ASKED))
+def rolled(tx: DataFrame) -> DataFrame:
+    """The states of all periods from a stored table of days."""
+    U.day_states(tx).write.parquet(path := f"{new_folder(tx.sparkSession)}/days")
+    return U.roll_up(tx.sparkSession.read.parquet(path))
+
+
+def with_asked(periods: DataFrame) -> DataFrame:
+    return periods.select(*P.KEY).unionByName(periods.sparkSession.sql(ASKED))
 
 
 def made(tx: DataFrame) -> DataFrame:
     """Reports of all periods: macro figures are there for most, the rest takes its details' figures or zeros."""
-    figures = P.macro(tx).filter("tx_count % 7 <> 3")
-    texts = tx.sparkSession.sql(TEXTS, rows=P.by_period(tx))
-    return P.reports(tx, figures, asked(tx), texts, today())
+    periods = rolled(tx)
+    figures = U.macro_figures(periods, P.FIGURES).filter("tx_count % 7 <> 3")
+    texts = tx.sparkSession.sql(TEXTS, counts=periods.select(*P.KEY, F.col("n_details").alias("n")))
+    return P.reports(U.spare_figures(periods, P.FIGURES), figures, with_asked(periods), texts, today())
 
 
 def picked(c: str) -> str:
@@ -67,7 +74,7 @@ LINKS = "regexp_extract_all(summary_text, '" + P.RENDER_LINK + "', 1)"
 REPORTS = f"""SELECT concat('report_', lower(period_type), '_', period_value) AS report_id, period_type, period_value, report_date, total_expense, total_refund, net_expense, total_income, total_transfer, tx_count,
   {JSON} AS metrics_json, summary_text, CASE WHEN len({LINKS}) > 0 THEN cast(to_json(list_filter({LINKS}, lambda u, i: list_position({LINKS}, u) = i)) AS varchar) END AS chart_url, 'SKIPPED' AS slack_status
   FROM (SELECT b.*, summary_text, {", ".join(map(picked, P.FIGURES))} FROM ({BOUNDS}) AS b LEFT JOIN (SELECT * FROM macro WHERE tx_count % 7 <> 3) AS m ON b.period_type = m.period_type AND b.period_value = m.period_value
-    LEFT JOIN fallback AS f ON b.period_type = f.period_type AND b.period_value = f.period_value LEFT JOIN ({TEXTS.format(rows="by_period")}) AS t ON b.period_type = t.period_type AND b.period_value = t.period_value)"""
+    LEFT JOIN fallback AS f ON b.period_type = f.period_type AND b.period_value = f.period_value LEFT JOIN ({TEXTS.format(counts="(SELECT period_type, period_value, count(*) AS n FROM by_period GROUP BY period_type, period_value)")}) AS t ON b.period_type = t.period_type AND b.period_value = t.period_value)"""
 VIEWS_AND_REPORTS = f"{VIEWS}, reports AS ({REPORTS})"
 
 R.query("assemble_report", lambda tx: made(tx).drop("created_at"), "SELECT * FROM reports", with_=VIEWS_AND_REPORTS)
@@ -79,7 +86,7 @@ R.query(
     "SELECT report_id, metrics_json, cast(coalesce(length(summary_text), 0) AS int) AS n_chars, substr(summary_text, 1, 20) AS preview FROM reports", with_=VIEWS_AND_REPORTS,
 )
 R.query(
-    "period_bounds", lambda tx: asked(tx).withColumn("b", P.period_bounds(F.col("period_type"), F.col("period_value"), today())).select(*P.KEY, F.col("b.anchor").alias("report_date"), "b.first", "b.last"),
+    "period_bounds", lambda tx: with_asked(rolled(tx)).withColumn("b", P.period_bounds(F.col("period_type"), F.col("period_value"), today())).select(*P.KEY, F.col("b.anchor").alias("report_date"), "b.first", "b.last"),
     BOUNDS, with_=VIEWS,
 )
 
@@ -93,13 +100,16 @@ def ads_row_count(tx: DataFrame) -> DataFrame:
 R.query("ads_row_count", ads_row_count, "SELECT count(*) AS n FROM reports", with_=VIEWS_AND_REPORTS)
 
 
+#: Requests: a period asked for, none, and none where nothing is active.
+REQUESTS = "SELECT * FROM VALUES ('DAILY', '1996-03-05'), ('WEEKLY', '1996-W10'), ('MONTHLY', '1996-03') AS t(period_type, explicit)"
+
+
 def resolved(tx: DataFrame) -> DataFrame:
     """Each period type: asked for, the latest active one, and the default where nothing is active."""
-    rows = []
-    for kind, own in (("DAILY", "1996-03-05"), ("WEEKLY", "1996-W10"), ("MONTHLY", "1996-03")):
-        cases = (("explicit", tx, own), ("latest", tx, None), ("default", tx.filter("id < 0"), None))
-        rows += [(kind, name, P.resolve_period(df, kind, explicit, "none yet")) for name, df, explicit in cases]
-    return tx.sparkSession.createDataFrame(rows, "period_type string, asked string, period_value string")
+    requests, figures = tx.sparkSession.sql(REQUESTS).withColumn("default", F.lit("none yet")), P.macro(tx)
+    none = requests.withColumn("explicit", F.lit(None).cast("string"))
+    cases = requests.withColumn("asked", F.lit("explicit")).unionByName(none.withColumn("asked", F.lit("latest")))
+    return P.resolve_periods(figures, cases).unionByName(P.resolve_periods(figures.filter("tx_count < 0"), none.withColumn("asked", F.lit("default"))))
 
 
 R.query("resolve_period", resolved, "SELECT period_type, 'latest' AS asked, max(period_value) AS period_value FROM macro WHERE tx_count > 0 GROUP BY 1 " + " ".join(
@@ -107,7 +117,7 @@ R.query("resolve_period", resolved, "SELECT period_type, 'latest' AS asked, max(
 LARGEST = f"SELECT *, row_number() OVER (PARTITION BY period_type, period_value, category ORDER BY amount DESC NULLS LAST, id) AS r FROM by_period WHERE {R.EXPENSE}"
 R.query(
     "report_context",
-    lambda tx: P.report_context(tx, P.macro(tx)).select(*P.KEY, "figures.*", "n_details", F.array_join(F.transform("details", lambda x: F.concat_ws(":", x["id"], x["amount"], x["category"], x["merchant"])), ",").alias("details")),
+    lambda tx: P.report_context(tx, P.period_figures(tx)).select(*P.KEY, "figures.*", "n_details", F.array_join(F.transform("details", lambda x: F.concat_ws(":", x["id"], x["amount"], x["category"], x["merchant"])), ",").alias("details")),
     f"SELECT m.period_type, m.period_value, {', '.join('m.' + c for c in P.FIGURES)}, n_details, details FROM macro AS m JOIN (SELECT period_type, period_value, count(*) AS n_details FROM by_period GROUP BY 1, 2) AS n USING (period_type, period_value) "
     f"LEFT JOIN (SELECT period_type, period_value, string_agg(concat_ws(':', cast(id AS varchar), cast(amount AS varchar), category, {R.MERCHANT}), ',' ORDER BY amount DESC NULLS FIRST, id) AS details FROM ({LARGEST}) WHERE r <= 5 GROUP BY 1, 2) AS d USING (period_type, period_value)",
     with_=VIEWS,

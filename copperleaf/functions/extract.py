@@ -244,7 +244,7 @@ FIRST = {
 }
 FACTS = {
     "raw_record_id": lambda: F.col("id"),
-    "tx_time": lambda: tx_time(F.col("raw_body"), F.col("received_at")),
+    "tx_time": lambda: F.coalesce(tx_time(F.col("raw_body"), F.col("received_at")), F.current_timestamp()),
     "amount": lambda: F.col("amount"),
     "currency": lambda: currency(F.col("raw_body"), F.col("amount")),
     "direction": lambda: F.col("label.direction"),
@@ -289,6 +289,11 @@ def msg_uid(message_id: Column, body: Column) -> Column:
     return F.sha2(F.concat_ws("_", F.coalesce(message_id, F.lit("")), body), 256)
 
 
+def simple_facts(messages: DataFrame, tail: str = r"尾号(\d{4})", value: str = r"([0-9]+\.[0-9]{2})元") -> DataFrame:
+    """id, card_tail and amount by two patterns only."""
+    return messages.select("id", _group(F.col("body"), tail).alias("card_tail"), F.regexp_extract("body", value, 1).try_cast("decimal(10,2)").alias("amount"))
+
+
 def strip_html(html: Column) -> Column:
     return jtrim(F.regexp_replace(html, "<[^>]*>", ""))
 

@@ -22,4 +22,7 @@ def alias_join(tx: DataFrame, aliases: DataFrame) -> DataFrame:
     The alias table may be of any size: Spark broadcasts it below its threshold and shuffles beyond it.
     """
     names = aliases.select(F.col("name").alias("counterparty"), F.col("alias").alias("_alias"))
-    return tx.join(names, "counterparty", "left").withColumn("merchant_name", F.coalesce("_alias", "cleaned_merchant", "counterparty")).drop("_alias")
+    named = tx.filter(F.col("counterparty").isNotNull()).join(names, "counterparty", "left")
+    # rows without a name stay out of the join, as they would all meet in one task
+    rest = tx.filter(F.col("counterparty").isNull()).withColumn("_alias", F.lit(None).cast("string"))
+    return named.unionByName(rest).withColumn("merchant_name", F.coalesce("_alias", "cleaned_merchant", "counterparty")).drop("_alias")

@@ -1,12 +1,15 @@
 """Mergeable states of days: counts, sums and extremes from which days, weeks, months and reports all follow, and which later changes keep up to date.
 
-A state is a row a day. Of each sum it has the sum and the number of terms that are not null,
-so states can be added and subtracted; extremes can only be added. Details are read and
-shuffled once, whatever is made of the states.
+A state is a row a day: counts and sums, which can be added and taken away, extremes, which
+can only be added, and a mask of the sums that are null as all their terms are (which can only
+be added too, and is 0 wherever a day has an amount). Details are read and shuffled once,
+whatever is made of the states.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,51 +20,64 @@ DAY = "stat_date"
 APART = ["FOOD", "TRANSPORT", "ONLINE_SHOPPING", "OFFLINE_SHOPPING", "MEDICAL", "COMMUNICATION", "INSURANCE", "PROPERTY_MANAGEMENT", "TRAVEL", "CAR_EXPENSE", "PERSONAL_TRANSFER"]
 TYPES = {"DAILY": S.day, "WEEKLY": S.week, "MONTHLY": S.month}
 KEY = ["period_type", "period_value"]
-SUM, TERMS = "decimal(28,2)", "_terms"
+SUM = "decimal(28,2)"
 
 
-def terms(foreign: str, tail: str | None) -> dict[str, Column]:
-    """What is summed, by name: a term for each row, null where its amount is missing. Names with ``spare_`` are figures from details alone."""
-    of = lambda c: F.when(c, F.col("amount")).otherwise(0)
+def conditions(foreign: str, tail: str | None) -> dict[str, Column]:
+    """For which rows the amount is summed, by the sum's name. Names with ``spare_`` are figures from details alone."""
     out = {
-        "total_expense": of(S.in_cny(S.is_expense())), "total_refund": of(S.in_cny(S.kind("INFLOW", "REFUND"))), "total_income": of(S.in_cny(S.kind("INFLOW", "INCOME"))),
-        "total_transfer": of(S.in_cny(S.kind("OUTFLOW", "TRANSFER"))), **{f"{n}_expense": of(S.is_expense() & (F.col("category") == c)) for c, n in S.CATEGORY_COLUMNS.items()},
-        "all_expense": of(S.is_expense()), "foreign_total": of(F.col("is_valid_tx") & (F.col("currency") == foreign)),
+        "total_expense": S.in_cny(S.is_expense()), "total_refund": S.in_cny(S.kind("INFLOW", "REFUND")), "total_income": S.in_cny(S.kind("INFLOW", "INCOME")),
+        "total_transfer": S.in_cny(S.kind("OUTFLOW", "TRANSFER")), **{f"{n}_expense": S.is_expense() & (F.col("category") == c) for c, n in S.CATEGORY_COLUMNS.items()},
+        "all_expense": S.is_expense(), "foreign_total": F.col("is_valid_tx") & (F.col("currency") == foreign),
     }
     if tail is not None:
-        out["card_expense"] = of(S.is_expense() & (F.col("card_tail") == tail))
+        out["card_expense"] = S.is_expense() & (F.col("card_tail") == tail)
     # a null type counts as expense, an unknown one adds to the total only; a null or unknown category is OTHER
     kind, name = F.upper(F.coalesce("tx_type", F.lit("EXPENSE"))), F.upper(F.coalesce("category", F.lit("OTHER")))
     spare = {
         "total_expense": ~kind.isin("REFUND", "INCOME", "TRANSFER"), "total_refund": kind == "REFUND", "total_income": kind == "INCOME", "total_transfer": kind == "TRANSFER",
         **{f"{S.CATEGORY_COLUMNS[c]}_expense": (kind == "EXPENSE") & (name == c) for c in APART}, "other_expense": (kind == "EXPENSE") & ~name.isin(APART),
     }
-    return out | {f"spare_{n}": F.when(c, F.col("amount")) for n, c in spare.items()}
+    return {n: F.coalesce(c, F.lit(False)) for n, c in (out | {f"spare_{n}": c for n, c in spare.items()}).items()}
+
+
+#: Sums in the order of their bits in the mask; the last two are the weeks' own.
+BITS = ["total_expense", "total_refund", "total_income", "total_transfer", *[f"{n}_expense" for n in S.CATEGORY_COLUMNS.values()], "all_expense", "foreign_total", "card_expense", "weekend_expense", "weekday_expense"]
+MASK = "null_sums"
+
+
+def bit(name: str) -> int:
+    return 1 << BITS.index(name)
+
+
+def mask(sums: dict[str, Column]) -> Column:
+    """Bits of the sums to which a row adds nothing but a missing amount."""
+    parts = [F.when(c, F.lit(bit(n)).cast("long")).otherwise(0) for n, c in sums.items() if not n.startswith("spare_")]
+    return F.when(F.col("amount").isNull(), reduce(Column.bitwiseOR, parts)).otherwise(0).cast("long")
 
 
-EXTREMES = {"min_id": (F.min, F.least, lambda: F.col("id")), "max_id": (F.max, F.greatest, lambda: F.col("id")), "max_single_amount": (F.max, F.greatest, lambda: F.when(S.is_expense(), F.col("amount")))}
-COUNTS = {"tx_count": lambda: F.coalesce(S.is_expense(), F.lit(False)), "n_details": lambda: F.lit(True)}
+EXTREMES = {"min_id": (F.min, lambda: F.col("id")), "max_id": (F.max, lambda: F.col("id")), "max_single_amount": (F.max, lambda: F.when(S.is_expense(), F.col("amount")))}
+COUNTS = {"tx_count": lambda: F.coalesce(S.is_expense(), F.lit(False)), "n_details": lambda: F.lit(True), "n_amounts": lambda: F.col("amount").isNotNull()}
 
 
 def day_states(tx: DataFrame, foreign: str = "USD", tail: str | None = None, sign: str | None = None) -> DataFrame:
-    """A state for each day of tx; with ``sign``, a column of 1 and -1, rows are added or taken away (then without extremes)."""
+    """A state for each day of tx; with ``sign``, a column of 1 and -1, rows are added or taken away (then without extremes and mask)."""
     of = (lambda x: x * F.col(sign)) if sign else (lambda x: x)
-    sums = [F.sum(of(F.coalesce(t, F.lit(0)))).cast(SUM).alias(n) for n, t in terms(foreign, tail).items()]
-    numbers = [F.sum(of(t.isNotNull().cast("long"))).alias(n + TERMS) for n, t in terms(foreign, tail).items()]
+    on = conditions(foreign, tail)
+    sums = [F.sum(of(F.when(c, F.coalesce("amount", F.lit(0))).otherwise(0))).cast(SUM).alias(n) for n, c in on.items()]
     counts = [F.sum(of(c().cast("long"))).alias(n) for n, c in COUNTS.items()]
-    extremes = [] if sign else [f(x()).alias(n) for n, (f, _, x) in EXTREMES.items()]
-    return tx.groupBy(S.day().alias(DAY)).agg(*counts, *sums, *numbers, *extremes)
+    extremes = [] if sign else [*[f(x()).alias(n) for n, (f, x) in EXTREMES.items()], F.bit_and(mask(on)).alias(MASK)]
+    return tx.groupBy(S.day().alias(DAY)).agg(*counts, *sums, *extremes)
 
 
 def _sums(states: DataFrame) -> list[str]:
-    return [c for c in states.columns if c + TERMS in states.columns]
+    return [c for c in states.columns if c in BITS or c.startswith("spare_")]
 
 
 def merged(states: DataFrame, *by: str) -> DataFrame:
     """States added up by some columns."""
-    sums = _sums(states)
-    added = [F.sum(c).cast(SUM if c in sums else "long").alias(c) for c in (*COUNTS, *sums, *[c + TERMS for c in sums])]
-    return states.groupBy(*by).agg(*added, *[f(n).alias(n) for n, (f, _, _) in EXTREMES.items()])
+    added = [F.sum(c).cast("long").alias(c) for c in COUNTS] + [F.sum(c).cast(SUM).alias(c) for c in _sums(states)]
+    return states.groupBy(*by).agg(*added, *[f(n).alias(n) for n, (f, _) in EXTREMES.items()], F.bit_and(MASK).alias(MASK))
 
 
 def by_type(rows: DataFrame, time: str) -> DataFrame:
@@ -77,12 +93,12 @@ def roll_up(states: DataFrame) -> DataFrame:
 
 def value(name: str) -> Column:
     """A sum as a figure: null where every term is null."""
-    return F.when(F.col(name + TERMS) > 0, F.col(name)).cast(S.MONEY).alias(name)
+    return F.when(F.col(MASK).bitwiseAND(F.lit(bit(name)).cast("long")) == 0, F.col(name)).cast(S.MONEY).alias(name)
 
 
 def macro_figures(rolled: DataFrame, names: list[str]) -> DataFrame:
     """The summaries' figures of each period. Weeks have no transfers."""
-    rows = S.with_net(rolled.select(*KEY, *COUNTS, *[value(c) for c in _sums(rolled) if not c.startswith("spare_")]))
+    rows = S.with_net(rolled.select(*KEY, "tx_count", "n_details", *[value(c) for c in _sums(rolled) if not c.startswith("spare_")]))
     return rows.withColumn("total_transfer", F.when(F.col("period_type") == "WEEKLY", F.lit(0)).otherwise(F.col("total_transfer")).cast(S.MONEY)).select(*KEY, *names)
 
 
@@ -107,8 +123,9 @@ def weekly(states: DataFrame) -> DataFrame:
     """The weekly summary's rows: weekends from their days' states."""
     weekend = F.weekday(DAY) >= 5
     parts = {"weekend_expense": weekend, "weekday_expense": ~weekend}
-    for name, on in parts.items():
-        states = states.withColumn(name, F.when(on, F.col("all_expense")).otherwise(0).cast(SUM)).withColumn(name + TERMS, F.when(on, F.col("all_expense" + TERMS)).otherwise(F.col("n_details")))
+    null = F.col(MASK).bitwiseAND(F.lit(bit("all_expense")).cast("long")) != 0
+    bits = F.when(null, F.when(weekend, F.lit(bit("weekend_expense"))).otherwise(F.lit(bit("weekday_expense")))).otherwise(0).cast("long")
+    states = states.withColumns({n: F.when(on, F.col("all_expense")).otherwise(0).cast(SUM) for n, on in parts.items()} | {MASK: F.col(MASK).bitwiseOR(bits)})
     states = states.withColumn("_first", F.trunc(DAY, "week"))
     sums = merged(states, "_first").join(states.groupBy("_first").agg(F.min(DAY).alias("week_start_date"), F.max(DAY).alias("week_end_date")).withColumnRenamed("_first", "_same"), F.col("_first").eqNullSafe(F.col("_same")))
     rows = S.with_net(sums.select("_first", "week_start_date", "week_end_date", *_totals(sums), *[value(n) for n in parts]))

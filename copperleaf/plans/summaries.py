@@ -79,7 +79,8 @@ def weekly_summary(tx: DataFrame) -> DataFrame:
     return rows.withColumn("avg_daily_expense", F.round(F.col("net_expense") / F.lit(7), 2).cast(MONEY)).drop("_first", "total_transfer", "max_single_amount")
 
 
-def monthly_summary(tx: DataFrame, foreign: str = "USD", tail: str = "0025") -> DataFrame:
+def monthly_summary(tx: DataFrame, *, tail: str, foreign: str = "USD") -> DataFrame:
+    """``tail``: the card whose expense is reconciled."""
     rows = tx.groupBy(F.trunc(F.to_date(T), "month").alias("_first")).agg(
         *measures(), total(F.col("is_valid_tx") & (F.col("currency") == foreign)).alias("foreign_total"), total(is_expense() & (F.col("card_tail") == tail)).alias("card_expense")
     )

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from copperleaf.functions import extract as X
+from copperleaf.plans import audits
+from copperleaf.plans import lookups as L
 from copperleaf.plans import summaries as S
 from copperleaf.sources import changelog as C
 
@@ -97,7 +99,8 @@ detail = lambda df: df.select("id", "tx_time", "amount", "currency", "category")
 
 query("daily_summary", S.daily_summary, DAILY)
 query("weekly_summary", S.weekly_summary, WEEKLY)
-query("monthly_summary", S.monthly_summary, MONTHLY)
+monthly = lambda tx: S.monthly_summary(tx, tail="0025")
+query("monthly_summary", monthly, MONTHLY)
 query("merchant_ranking", S.merchant_ranking, RANKING)
 for name, columns in {
     "id_bounds": ["min_id", "max_id"], "conditional_count": ["tx_count"], "conditional_sum": ["total_expense", "total_income", "total_transfer"], "net_expense": ["total_expense", "total_refund", "net_expense"],
@@ -107,27 +110,32 @@ for name, columns in {
 for name, columns in {"avg_daily_expense": ["avg_daily_expense"], "weekend_weekday_split": ["weekend_expense", "weekday_expense"]}.items():
     query(name, lambda tx, c=columns: S.weekly_summary(tx).select("week_period", *c), f"SELECT week_period, {', '.join(columns)} FROM weekly", with_=WITH)
 for name, columns in {"foreign_currency_total": ["foreign_total"], "card_reconciliation": ["card_expense"]}.items():
-    query(name, lambda tx, c=columns: S.monthly_summary(tx).select("stat_month", *c), f"SELECT stat_month, {', '.join(columns)} FROM monthly", with_=WITH)
-query("valid_on_date", lambda tx: detail(S.in_period(tx, "day", "1996-03-05").filter("is_valid_tx")), f"SELECT {DETAIL} FROM tx WHERE cast(tx_time AS date) = date '1996-03-05' AND is_valid_tx")
-query("valid_in_week", lambda tx: detail(S.in_period(tx, "week", "1997-W01").filter("is_valid_tx")), f"SELECT {DETAIL} FROM tx WHERE {WEEK} = '1997-W01' AND is_valid_tx")
-query("valid_in_month", lambda tx: detail(S.in_period(tx, "month", "1997-02").filter("is_valid_tx")), f"SELECT {DETAIL} FROM tx WHERE {MONTH} = '1997-02' AND is_valid_tx")
+    query(name, lambda tx, c=columns: monthly(tx).select("stat_month", *c), f"SELECT stat_month, {', '.join(columns)} FROM monthly", with_=WITH)
+query("valid_on_date", lambda tx: detail(L.valid_in(tx, "day", "1996-03-05")), f"SELECT {DETAIL} FROM tx WHERE cast(tx_time AS date) = date '1996-03-05' AND is_valid_tx")
+query("valid_in_week", lambda tx: detail(L.valid_in(tx, "week", "1997-W01")), f"SELECT {DETAIL} FROM tx WHERE {WEEK} = '1997-W01' AND is_valid_tx")
+query("valid_in_month", lambda tx: detail(L.valid_in(tx, "month", "1997-02")), f"SELECT {DETAIL} FROM tx WHERE {MONTH} = '1997-02' AND is_valid_tx")
 query("expense_gate", lambda tx: detail(tx.filter(S.in_cny(S.is_expense()))), f"SELECT {DETAIL} FROM tx WHERE {EXPENSE} AND currency = 'CNY'")
-query("active_periods", lambda tx: S.daily_summary(tx).filter("tx_count > 0").select("stat_date", "tx_count"), "SELECT stat_date, tx_count FROM daily WHERE tx_count > 0", with_=WITH)
-query("macro_micro_join", lambda tx: tx.withColumn("stat_date", S.day()).join(S.daily_summary(tx).select("stat_date", "net_expense"), "stat_date").select("id", "stat_date", "net_expense"), "SELECT id, stat_date, net_expense FROM tx JOIN daily ON stat_date = cast(tx_time AS date)", with_=WITH)
-query("recent_day_totals", lambda tx: tx.groupBy(S.day().alias("stat_date")).agg(F.count("*").alias("n"), F.sum("amount").cast(S.MONEY).alias("total")).orderBy(F.desc("stat_date")).limit(5), f"SELECT cast(tx_time AS date) AS stat_date, count(*) AS n, {money('sum(amount)', 'total')} FROM tx GROUP BY 1 ORDER BY 1 DESC LIMIT 5")
-query("max_merchant", lambda tx: tx.filter(S.is_expense() & F.col("amount").isNotNull()).groupBy(S.day().alias("stat_date")).agg(F.max_by(S.merchant(), F.struct("amount", -F.col("id"))).alias("max_merchant")), f"SELECT stat_date, max_merchant FROM (SELECT cast(tx_time AS date) AS stat_date, {MERCHANT} AS max_merchant, row_number() OVER (PARTITION BY cast(tx_time AS date) ORDER BY amount DESC, id) AS r FROM tx WHERE {EXPENSE} AND amount IS NOT NULL) WHERE r = 1")
-query("top1_category", lambda tx: tx.filter(S.is_expense() & F.col("category").isNotNull() & F.col("amount").isNotNull()).groupBy(S.week().alias("week_period"), "category").agg(F.sum("amount").cast(S.MONEY).alias("a")).groupBy("week_period").agg(F.max(F.struct("a", "category")).alias("m")).select("week_period", F.col("m.category").alias("category"), F.col("m.a").alias("amount")), f"SELECT week_period, category, {money('a', 'amount')} FROM (SELECT *, row_number() OVER (PARTITION BY week_period ORDER BY a DESC, category DESC) AS r FROM (SELECT {WEEK} AS week_period, category, sum(amount) AS a FROM tx WHERE {EXPENSE} AND category IS NOT NULL AND amount IS NOT NULL GROUP BY 1, 2)) WHERE r = 1")
+query("active_periods", lambda tx: L.active(S.daily_summary(tx)).select("stat_date", "tx_count"), "SELECT stat_date, tx_count FROM daily WHERE tx_count > 0", with_=WITH)
+query("recent_day_totals", lambda tx: L.newest(L.day_totals(tx), "stat_date", 5), f"SELECT cast(tx_time AS date) AS stat_date, count(*) AS n, {money('sum(amount)', 'total')} FROM tx GROUP BY 1 ORDER BY 1 DESC LIMIT 5")
+query("max_merchant", L.max_merchant, f"SELECT stat_date, max_merchant FROM (SELECT cast(tx_time AS date) AS stat_date, {MERCHANT} AS max_merchant, row_number() OVER (PARTITION BY cast(tx_time AS date) ORDER BY amount DESC, id) AS r FROM tx WHERE {EXPENSE} AND amount IS NOT NULL) WHERE r = 1")
+query("top1_category", L.top_category, f"SELECT week_period, category, {money('a', 'amount')} FROM (SELECT *, row_number() OVER (PARTITION BY week_period ORDER BY a DESC, category DESC) AS r FROM (SELECT {WEEK} AS week_period, category, sum(amount) AS a FROM tx WHERE {EXPENSE} AND category IS NOT NULL AND amount IS NOT NULL GROUP BY 1, 2)) WHERE r = 1")
 
 
-query("institution_reconciliation", lambda tx: tx.groupBy(S.month().alias("stat_month")).agg(S.total(S.is_expense() & (F.col("institution") == "CGB")).alias("institution_total")), f"SELECT {MONTH} AS stat_month, {money(summed(EXPENSE + " AND institution = 'CGB'"), 'institution_total')} FROM tx GROUP BY 1")
+query("institution_reconciliation", lambda tx: L.institution_totals(tx, "CGB"), f"SELECT {MONTH} AS stat_month, {money(summed(EXPENSE + " AND institution = 'CGB'"), 'institution_total')} FROM tx GROUP BY 1")
 query("top_per_category", lambda tx: S.top_per(tx, S.month, [F.col("category")], 1).select("period", "category", "id", "amount"), f"SELECT period, category, id, amount FROM (SELECT {MONTH} AS period, *, row_number() OVER (PARTITION BY {MONTH}, category ORDER BY amount DESC NULLS LAST, id) AS r FROM tx WHERE {EXPENSE}) WHERE r = 1")
 query("net_trend_30d", lambda tx: S.net_trend(S.daily_summary(tx)), "SELECT d AS stat_date, cast(coalesce(net_expense, 0) AS decimal(18,2)) AS net_expense, isodow(d) >= 6 AS is_weekend FROM (SELECT cast(unnest(generate_series(max(stat_date) - 29, max(stat_date), interval 1 day)) AS date) AS d FROM daily) LEFT JOIN daily ON stat_date = d", with_=WITH)
-for name, view, column in (("latest_active_day", "daily", "stat_date"), ("latest_active_week", "weekly", "week_period"), ("latest_active_month", "monthly", "stat_month")):
-    query(name, lambda tx, v=view, c=column: getattr(S, f"{v}_summary")(tx).filter("tx_count > 0").orderBy(F.desc(c)).limit(1).select(c, "tx_count", "net_expense"), f"SELECT {column}, tx_count, net_expense FROM {view} WHERE tx_count > 0 ORDER BY 1 DESC LIMIT 1", with_=WITH)
-query("summary_for_period", lambda tx: S.monthly_summary(S.in_period(tx, "month", "1996-07")), "SELECT * FROM monthly WHERE stat_month = '1996-07'", with_=WITH)
-query("recent_summaries", lambda tx: S.weekly_summary(tx).orderBy(F.desc("week_period")).limit(5).select("week_period", "net_expense"), "SELECT week_period, net_expense FROM weekly ORDER BY 1 DESC LIMIT 5", with_=WITH)
-query("top_transactions", lambda tx: S.in_period(tx, "day", "1996-03-05").orderBy(F.desc_nulls_last("amount"), "id").limit(3).select("id", "amount"), "SELECT id, amount FROM tx WHERE cast(tx_time AS date) = date '1996-03-05' ORDER BY amount DESC NULLS LAST, id LIMIT 3")
-query("category_share", lambda tx: S.monthly_summary(tx).select("stat_month", S.share(F.col("food_expense"), F.col("net_expense")).alias("food_share")), "SELECT stat_month, CASE WHEN net_expense > 0 THEN concat(cast(((2000 * cast(food_expense * 100 AS bigint) + cast(net_expense * 100 AS bigint)) // (2 * cast(net_expense * 100 AS bigint))) / 10.0 AS decimal(18,1)), '%') ELSE '0.0%' END AS food_share FROM monthly", with_=WITH)
+NO_TRANSFER = "cast(0 AS decimal(18,2)) AS total_transfer, cast(NULL AS decimal(18,2)) AS max_single_amount"
+SUMMARIES = {"day": ("daily", "stat_date", S.daily_summary, "1996-03-05"), "week": ("weekly", "week_period", S.weekly_summary, "1997-W01"), "month": ("monthly", "stat_month", monthly, "1996-07")}
+for name, (view, column, summary, value) in SUMMARIES.items():
+    more = f", {NO_TRANSFER}" if name == "week" else ""
+    query(f"latest_active_{name}", lambda tx, f=summary, c=column: L.latest_active(f(tx), c), f"SELECT *{more} FROM {view} WHERE tx_count > 0 ORDER BY {column} DESC LIMIT 1", with_=WITH)
+    query(f"summary_for_{name}", lambda tx, k=name, v=value: L.summary_for(tx, k, v, tail="0025"), f"SELECT * FROM {view} WHERE cast({column} AS varchar) = '{value}'", with_=WITH)
+    query(f"recent_{name}s", lambda tx, f=summary, c=column: L.newest(f(tx), c, 5), f"SELECT * FROM {view} ORDER BY {column} DESC LIMIT 5", with_=WITH)
+QUERIES |= {"summary_for_period": QUERIES["summary_for_month"], "recent_summaries": QUERIES.pop("recent_weeks")}
+SQL |= {"summary_for_period": SQL["summary_for_month"], "recent_summaries": SQL.pop("recent_weeks")}
+QUERIES["recent_summaries_by_day"], SQL["recent_summaries_by_day"] = QUERIES.pop("recent_days"), SQL.pop("recent_days")
+query("top_transactions", lambda tx: L.top_transactions(tx, "day", "1996-03-05", 3).select("id", "amount"), "SELECT id, amount FROM tx WHERE cast(tx_time AS date) = date '1996-03-05' ORDER BY amount DESC NULLS LAST, id LIMIT 3")
+query("category_share", lambda tx: monthly(tx).select("stat_month", S.share(F.col("food_expense"), F.col("net_expense")).alias("food_share")), "SELECT stat_month, CASE WHEN net_expense > 0 THEN concat(cast(((2000 * cast(food_expense * 100 AS bigint) + cast(net_expense * 100 AS bigint)) // (2 * cast(net_expense * 100 AS bigint))) / 10.0 AS decimal(18,1)), '%') ELSE '0.0%' END AS food_share FROM monthly", with_=WITH)
 
 # extraction from messages
 raw = lambda df: X.assemble_raw(df).select("id", "msg_uid", "channel", "sender", "receiver_phone", "received_at", "raw_body")
@@ -153,7 +161,7 @@ query("account_type", lambda m: facts(m).select("id", "account_type"), f"SELECT
 query("payment_channel", lambda m: facts(m).select("id", "payment_channel"), "SELECT id, CASE " + " ".join(f"WHEN {words(w)} THEN '{n}'" for n, w in X.CHANNELS) + f" ELSE 'DIRECT' END AS payment_channel FROM {B}", source=messages)
 query("category", lambda m: facts(m).select("id", "category"), "SELECT id, CASE " + " ".join(f"WHEN {words(w)} THEN '{n}'" for n, w in X.CATEGORIES) + f" ELSE 'OTHER' END AS category FROM {B}", source=messages)
 query("counterparty", lambda m: facts(m).select("id", "counterparty"), f"SELECT id, coalesce(nullif(regexp_extract(b, '交易商户[：:]([^。，,;]+)', 1), ''), nullif(regexp_extract(b, '{X.PAYEE}', 1), '')) AS counterparty FROM {B}", source=messages)
-query("audit_validity", lambda m: facts(m).agg(F.count_if("is_valid_tx").alias("valid"), F.count_if(~F.col("is_valid_tx")).alias("invalid")), f"SELECT count(*) FILTER (v) AS valid, count(*) FILTER (NOT v) AS invalid FROM (SELECT NOT {words(X.INVALID_WORDS)} AND {words(X.VALID_WORDS)} AS v FROM {B})", source=messages)
+query("audit_validity", lambda m: audits.validity(X.assemble_raw(m)), f"SELECT *, round(valid / n_messages, 4) AS valid_rate, round(invalid / n_messages, 4) AS invalid_rate FROM (SELECT count(*) AS n_messages, count(*) FILTER (v) AS valid, count(*) FILTER (NOT v) AS invalid FROM (SELECT NOT {words(X.INVALID_WORDS)} AND {words(X.VALID_WORDS)} AS v FROM {B}))", source=messages)
 
 # tables with versions: lineitem repeats its key, so its rows are commits dealt by supplier
 LOG = "(SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_suppkey % 5 AS _commit_seq FROM lineitem)"

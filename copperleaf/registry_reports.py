@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from copperleaf import registry as R
+from copperleaf.registry_tables import upserted
 from copperleaf.functions import extract as X
+from copperleaf.plans import lookups as L
 from copperleaf.plans import reports as P
 from copperleaf.plans import rollup as U
 from copperleaf.plans import summaries as S
@@ -100,6 +102,20 @@ def ads_row_count(tx: DataFrame) -> DataFrame:
 R.query("ads_row_count", ads_row_count, "SELECT count(*) AS n FROM reports", with_=VIEWS_AND_REPORTS)
 
 
+def upsert_reports(tx: DataFrame) -> DataFrame:
+    """Whole report rows, and again those that were delivered meanwhile."""
+    rows = made(tx).drop("created_at")
+    rows.write.parquet(path := f"{new_folder(tx.sparkSession)}/first")
+    rows = tx.sparkSession.read.schema(rows.schema).parquet(path)
+    return upserted(rows, rows.filter("total_refund > 0").withColumn("slack_status", F.lit("SENT")), ["report_id", "report_date"], "slack_status")
+
+
+# labels that are no period share a date, but their ids differ
+R.query("upsert_reports", upsert_reports, "SELECT * REPLACE (CASE WHEN total_refund > 0 THEN 'SENT' ELSE slack_status END AS slack_status) FROM reports", with_=VIEWS_AND_REPORTS)
+R.query(
+    "macro_micro_join", lambda tx: L.with_figures(tx, P.macro(tx)).select("id", *P.KEY, "tx_count", "total_expense", "net_expense"),
+    "SELECT id, period_type, period_value, m.tx_count, m.total_expense, m.net_expense FROM by_period AS b JOIN macro AS m USING (period_type, period_value)", with_=VIEWS,
+)
 #: Requests: a period asked for, none, and none where nothing is active.
 REQUESTS = "SELECT * FROM VALUES ('DAILY', '1996-03-05'), ('WEEKLY', '1996-W10'), ('MONTHLY', '1996-03') AS t(period_type, explicit)"
 
@@ -129,7 +145,7 @@ RANKED = f", totals AS ({TOTALS}), ranked AS (SELECT *, row_number() OVER (PARTI
 R.query("top_n_merchants", P.top_merchants, "SELECT period_type, period_value, merchant_name, total_amount, tx_count, rank FROM ranked WHERE rank <= 3", with_=VIEWS + RANKED)
 R.query(
     "top_merchants_json",
-    lambda tx: P.top_merchants(tx).filter("period_type = 'WEEKLY'").groupBy("period_value").agg(F.to_json(F.array_sort(F.collect_list(F.struct("rank", "merchant_name", F.coalesce("total_amount", F.lit(0)).cast(S.MONEY).alias("total_amount"))))).alias("top")),
+    L.top_merchants_json,
     "SELECT period_value, concat('[', string_agg(concat('{\"rank\":', rank, ',\"merchant_name\":\"', merchant_name, '\",\"total_amount\":', cast(coalesce(total_amount, 0) AS varchar), '}'), ',' ORDER BY rank), ']') AS top FROM ranked WHERE rank <= 3 AND period_type = 'WEEKLY' GROUP BY 1",
     with_=VIEWS + RANKED,
 )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from copperleaf import registry as R
 from copperleaf.functions import extract as X
 from copperleaf.functions import text as T
 from copperleaf.plans import audits, joins
+from copperleaf.plans import lookups as L
 from copperleaf.plans import reports as P
 from copperleaf.plans import summaries as S
 from copperleaf.sources import changelog as C
@@ -48,7 +47,17 @@ PERSON = X.PERSON.replace("\\u4e00-\\u9fa5", "一-龥")
 QUERIES["cleaned_merchant"] = lambda spark, d: facts(R.messages(spark, d)).select("id", "cleaned_merchant")
 R.query("personal_transfer", lambda m: X.assemble_raw(m).select("id", X.personal_transfer(F.col("raw_body")).alias("is_personal")), f"SELECT id, p <> '' AND NOT regexp_matches(p, '{'|'.join(X.NOT_A_PERSON)}') AS is_personal FROM (SELECT id, regexp_extract(b, '{PERSON}', 1) AS p FROM {R.B})", source=R.messages)
 RAW = f"SELECT id, msg_uid, 'SMS' AS channel, sender, receiver_phone, received_at, raw_body FROM msg JOIN {columns_of('raw_body', 'sender', 'sim_slot', 'msg_uid')} USING (id)"
-QUERIES["assemble_raw"] = QUERIES["scan_raw"] = lambda spark, d: R.raw(R.messages(spark, d))
+QUERIES["assemble_raw"] = lambda spark, d: R.raw(R.messages(spark, d))
+
+
+def scan_raw(messages: DataFrame) -> DataFrame:
+    """All rows of a raw table that was written by month of receipt, read with its schema."""
+    rows = X.assemble_raw(messages)
+    C.write_by_month(rows, path := f"{new_folder(messages.sparkSession)}/raw", "received_at")
+    return messages.sparkSession.read.schema(rows.schema).parquet(path).drop("created_at", "month")
+
+
+QUERIES["scan_raw"] = lambda spark, d: scan_raw(R.messages(spark, d))
 oracle("assemble_raw", RAW)
 oracle("scan_raw", RAW)
 PARTS = ["tx_time", "amount", "currency", "direction_type", "card_tail", "account_type", "payment_channel", "counterparty", "cleaned_merchant", "category", "is_valid_tx", "sender"]
@@ -58,10 +67,10 @@ SQL["to_transactions"] = f"""SELECT id, id AS raw_record_id, tx_time, amount, cu
 
 # audits
 SETS = ["category", "tx_type", "payment_channel", "account_type"]
-QUERIES["audit_distribution"] = lambda spark, d: facts(R.messages(spark, d)).groupingSets([[c] for c in SETS], *SETS).agg(F.count("*").alias("n"))
-QUERIES["audit_merchants"] = lambda spark, d: facts(R.messages(spark, d)).filter("cleaned_merchant is not null").groupBy("cleaned_merchant").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "cleaned_merchant").limit(10)
+QUERIES["audit_distribution"] = lambda spark, d: audits.distribution(facts(R.messages(spark, d)), *SETS)
+QUERIES["audit_merchants"] = lambda spark, d: audits.merchants(facts(R.messages(spark, d)))
 SQL["audit_distribution"] = f"SELECT category, tx_type, payment_channel, account_type, count(*) AS n FROM {columns_of('category', 'direction_type', 'payment_channel', 'account_type')} GROUP BY GROUPING SETS ((category), (tx_type), (payment_channel), (account_type))"
-SQL["audit_merchants"] = f"SELECT cleaned_merchant, count(*) AS n FROM ({SQL['cleaned_merchant']}) WHERE cleaned_merchant IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 10"
+SQL["audit_merchants"] = f"WITH m AS (SELECT cleaned_merchant, count(*) AS n FROM ({SQL['cleaned_merchant']}) WHERE cleaned_merchant IS NOT NULL GROUP BY 1) SELECT *, (SELECT cast(sum(n) AS bigint) FROM m) AS n_extracted, (SELECT count(*) FROM m) AS n_distinct FROM m ORDER BY n DESC, 1 LIMIT 10"
 R.query(
     "audit_amount", lambda m: audits.amounts(X.assemble_raw(m)),
     f"SELECT count(*) AS n_messages, count(amount) AS n_amounts, count(*) FILTER (amount IS NULL AND {R.words(X.VALID_WORDS)}) AS n_suspected, "
@@ -70,22 +79,22 @@ R.query(
 )
 R.query("audit_time_source", lambda m: audits.time_sources(X.assemble_raw(m)), f"SELECT CASE WHEN {DAY} THEN 'body' ELSE 'received' END AS time_source, count(*) AS n FROM {R.B} GROUP BY 1", source=R.messages)
 R.query(
-    "regex_view", lambda m: m.select("id", F.nullif(F.regexp_extract("body", r"尾号(\d{4})", 1), F.lit("")).alias("card_tail"), F.regexp_extract("body", r"([0-9]+\.[0-9]{2})元", 1).try_cast("decimal(10,2)").alias("amount")),
+    "regex_view", X.simple_facts,
     "SELECT id, nullif(regexp_extract(body, '尾号([0-9]{4})', 1), '') AS card_tail, try_cast(nullif(regexp_extract(body, '([0-9]+\\.[0-9]{2})元', 1), '') AS decimal(10,2)) AS amount FROM msg", source=R.messages,
 )
 
 
 # versioned tables: two commits, the second one written twice
-def upserted(first: DataFrame, second: DataFrame, keys: list[str], tie: str) -> DataFrame:
+def upserted(first: DataFrame, second: DataFrame, keys: list[str], tie: str, op: str = C.UPSERT) -> DataFrame:
     spark, path = first.sparkSession, f"{new_folder(first.sparkSession)}/log"
     for seq, rows in ((1, first), (2, second), (2, second)):
-        C.append(rows, path, seq)
-    return C.latest_by_key(C.read(spark, path), keys, F.col(tie)).drop("_commit_seq", "_commit_ts", "_writer", "_op")
+        C.append(rows, path, seq, op=op)
+    return C.live_rows(C.read(spark, path), keys, F.col(tie)).drop("_commit_seq", "_commit_ts", "_writer", "_op")
 
 
-def upsert_raw(messages: DataFrame) -> DataFrame:
+def upsert_raw(messages: DataFrame, op: str = C.UPSERT) -> DataFrame:
     rows = R.raw(messages).select("id", "msg_uid", "received_at", "channel")
-    return upserted(rows, rows.filter("id % 3 = 0").withColumn("channel", F.lit("RESENT")), ["msg_uid", "received_at"], "id")
+    return upserted(rows, rows.filter("id % 3 = 0").withColumn("channel", F.lit("RESENT")), ["msg_uid", "received_at"], "id", op)
 
 
 def upsert_transactions(tx: DataFrame) -> DataFrame:
@@ -93,11 +102,6 @@ def upsert_transactions(tx: DataFrame) -> DataFrame:
     return upserted(rows, rows.filter("id % 5 = 0").withColumn("category", F.lit("OTHER")), ["id", "tx_time"], "category")
 
 
-def upsert_reports(tx: DataFrame) -> DataFrame:
-    rows = P.macro(tx).select(F.concat_ws("_", F.lit("report"), F.lower("period_type"), "period_value").alias("report_id"), P.period_bounds(F.col("period_type"), F.col("period_value"), F.lit(None).cast("date"))["anchor"].alias("report_date"), "total_refund", F.lit("SKIPPED").alias("slack_status"))
-    return upserted(rows, rows.filter("total_refund > 0").withColumn("slack_status", F.lit("SENT")), ["report_id", "report_date"], "slack_status")
-
-
 def month_layout(tx: DataFrame) -> DataFrame:
     path = f"{new_folder(tx.sparkSession)}/months"
     C.write_by_month(tx.select("id", "tx_time", "amount"), path, "tx_time")
@@ -105,15 +109,8 @@ def month_layout(tx: DataFrame) -> DataFrame:
 
 
 R.query("upsert_raw", upsert_raw, f"SELECT id, msg_uid, received_at, CASE WHEN id % 3 = 0 THEN 'RESENT' ELSE 'SMS' END AS channel FROM msg JOIN {columns_of('msg_uid')} USING (id)", source=R.messages)
+R.query("append_raw", lambda m: upsert_raw(m, C.APPEND), f"SELECT id, msg_uid, received_at, unnest(CASE WHEN id % 3 = 0 THEN ['SMS', 'RESENT'] ELSE ['SMS'] END) AS channel FROM msg JOIN {columns_of('msg_uid')} USING (id)", source=R.messages)
 R.query("upsert_transactions", upsert_transactions, "SELECT id, tx_time, amount, CASE WHEN id % 5 = 0 THEN 'OTHER' ELSE category END AS category FROM tx")
-UPSERTED = "SELECT concat('report_{0}_', {1}) AS report_id, {2} AS report_date, total_refund, CASE WHEN total_refund > 0 THEN 'SENT' ELSE 'SKIPPED' END AS slack_status FROM {3}"
-R.query(
-    "upsert_reports", upsert_reports,
-    " UNION ALL ".join([
-        UPSERTED.format("daily", "cast(stat_date AS varchar)", "stat_date", "daily"), UPSERTED.format("weekly", "week_period", "cast(date_trunc('week', week_start_date) AS date)", "weekly"),
-        UPSERTED.format("monthly", "stat_month", "cast(concat(stat_month, '-01') AS date)", "monthly"),
-    ]), with_=R.WITH,
-)
 R.query("write_month_layout", month_layout, f"SELECT {R.MONTH} AS month, count(*) AS n, {R.money('sum(amount)', 'total')} FROM tx GROUP BY 1")
 
 
@@ -184,21 +181,18 @@ ALIASES = "SELECT c_name AS name, concat('A', cast(c_custkey % 89 AS varchar(10)
 QUERIES["alias_join"] = lambda spark, d: joins.alias_join(R.transactions(spark, d), spark.sql(ALIASES, customer=R.table(spark, d, "customer"))).select("id", "merchant_name")
 oracle("alias_join", f"SELECT id, coalesce(alias, cleaned_merchant, counterparty) AS merchant_name FROM tx LEFT JOIN ({ALIASES.format(customer='customer')}) ON name = counterparty")
 
-# reports: labels and values of a share chart, links, blocks
-SHARES = f"SELECT {R.MONTH} AS stat_month, category, {R.money('coalesce(sum(amount), 0)', 'v')} FROM tx WHERE {R.EXPENSE} AND category IS NOT NULL GROUP BY 1, 2"
+# reports: labels and values of charts, links, blocks
+POINTS = f"SELECT {R.MONTH} AS stat_month, category, {R.money('coalesce(sum(amount), 0)', 'v')} FROM tx WHERE {R.EXPENSE} AND category IS NOT NULL GROUP BY 1, 2"
+CHART = "SELECT '{}' AS chart, stat_month, string_agg(category, ',' ORDER BY category) AS labels, string_agg(cast(v AS varchar), ',' ORDER BY category) AS series FROM t WHERE {} GROUP BY 2"
 
 
-def chart_series(tx: DataFrame) -> DataFrame:
-    """Labels and values of each month's chart of categories; zeros are left out unless all are zero."""
-    rows = tx.filter(S.is_expense() & F.col("category").isNotNull()).groupBy(S.month().alias("stat_month"), "category")
-    each = rows.agg(F.coalesce(F.sum("amount"), F.lit(0)).cast(S.MONEY).alias("v"))
-    points = each.groupBy("stat_month").agg(F.array_sort(F.collect_list(F.struct("category", "v"))).alias("p"))  # a point a category
-    above = F.filter("p", lambda x: x["v"] > 0)
-    shown = points.withColumn("p", F.when(F.size(above) > 0, above).otherwise(F.col("p")))
-    return shown.select("stat_month", F.array_join("p.category", ",").alias("labels"), F.array_join(F.col("p.v").cast("array<string>"), ",").alias("series"))
+def charts(tx: DataFrame) -> DataFrame:
+    """Each month's chart of shares and of bars."""
+    text = lambda rows, name: rows.select(F.lit(name).alias("chart"), "stat_month", F.array_join("labels", ",").alias("labels"), F.array_join(F.col("series").cast("array<string>"), ",").alias("series"))
+    return text(L.chart_series(tx), "share").unionByName(text(L.chart_series(tx, zeros=True), "bar"))
 
 
-R.query("chart_series", chart_series, f", s AS ({SHARES}), t AS (SELECT *, max(v) OVER (PARTITION BY stat_month) AS top FROM s) SELECT stat_month, string_agg(category, ',' ORDER BY category) AS labels, string_agg(cast(v AS varchar), ',' ORDER BY category) AS series FROM t WHERE v > 0 OR top <= 0 GROUP BY 1")
+R.query("chart_series", charts, f", s AS ({POINTS}), t AS (SELECT *, max(v) OVER (PARTITION BY stat_month) AS top FROM s) {CHART.format('share', 'v > 0 OR top <= 0')} UNION ALL {CHART.format('bar', 'true')}")
 #: Report texts of events: with none, one or two links, one of them twice, and links of other kinds.
 LINKED = """SELECT event_id, concat('Report ', event_type, CASE WHEN event_id % 4 > 0 THEN concat(' ![a](https://quickchart.io/chart/render/zf-', cast(user_id AS varchar(20)), ') and ![b](https://example.org/x?y=', cast(event_id % 7 AS varchar(5)), ')') ELSE '' END,
   CASE WHEN event_id % 4 > 1 THEN concat(' again https://quickchart.io/chart/render/zf-', cast(user_id AS varchar(20)), ' then http://quickchart.io/chart/render/sf-', cast(event_id % 11 AS varchar(5)), '"') ELSE '' END) AS body FROM {events}"""

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from copperleaf import registry as R
+from copperleaf.plans import maintained as M
+from copperleaf.plans import rollup as U
 from copperleaf.sources import changelog as C
 from copperleaf.sources import versions as V
 from copperleaf.sources.shared import new_folder
@@ -101,3 +103,30 @@ def over_base(log: DataFrame, path: str) -> DataFrame:
 
 
 over_log("current_rows", over_base, f"SELECT *, 'now' AS state FROM ({newest_sql()}) UNION ALL SELECT *, 'noon' FROM ({newest_sql(f"done <= timestamp '{NOON}'")})")
+
+
+# summaries over a log of transactions with corrections, brought up to date after each of its commits
+TX_KEYS = ["id", "tx_time"]
+#: Commits: (rows, columns that they change, operation). The last rows that hold are those of ``FINAL``.
+CORRECTIONS = [
+    ("true", {}, C.UPSERT), ("id % 10 = 1", {"amount": "amount * 2"}, C.UPSERT), ("id % 10 = 2", {}, C.DELETE), ("id % 20 = 3", {"category": "'TRAVEL'", "is_valid_tx": "true"}, C.UPSERT),
+    ("id % 10 = 2 AND id % 3 = 0", {"amount": "1"}, C.UPSERT), ("id % 10 = 1", {"amount": "NULL"}, C.UPSERT),
+]
+FINAL = """SELECT id, tx_time, CASE WHEN id % 10 = 1 THEN NULL WHEN id % 10 = 2 THEN cast(1 AS decimal(12,2)) ELSE amount END AS amount, currency, direction, tx_type, card_tail,
+  CASE WHEN id % 20 = 3 THEN 'TRAVEL' ELSE category END AS category, CASE WHEN id % 20 = 3 THEN true ELSE is_valid_tx END AS is_valid_tx FROM {tx} WHERE NOT (id % 10 = 2 AND id % 3 <> 0)"""
+
+
+def corrected(tx: DataFrame) -> DataFrame:
+    """The daily summary from states that were refreshed after each commit, and twice after the last."""
+    spark, folder = tx.sparkSession, new_folder(tx.sparkSession)
+    rows = tx.select("id", "tx_time", "amount", "currency", "direction", "tx_type", "card_tail", "category", "is_valid_tx")
+    for seq, (where, changed, op) in enumerate([*CORRECTIONS, (None, {}, "")]):
+        if where:
+            values = {c: F.expr(x).cast("decimal(12,2)") if c == "amount" else F.expr(x) for c, x in changed.items()}
+            C.append(rows.filter(where).withColumns(values) if values else rows.filter(where), f"{folder}/log", seq, op=op)
+        M.refresh(C.read(spark, f"{folder}/log"), f"{folder}/summary", TX_KEYS, F.col("amount"))
+    return U.daily(M.states(spark, f"{folder}/summary"))
+
+
+QUERIES["maintained_summary"] = lambda spark, d: corrected(R.transactions(spark, d))
+SQL["maintained_summary"] = f"WITH base AS ({R.DUCK_TX}), tx AS ({FINAL.format(tx='base')}) {R.DAILY}"

@@ -35,7 +35,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from copperleaf.llm.common import ListTable, chunks, documents, narrow, shared_dir, written
+from copperleaf.llm.common import documents, narrow, shared_dir, written
+from copperleaf.llm.hashed import HashedLists, hashes, remembered, slices, text_bytes
 
 MODEL = "word_bpe_49k.json"
 END_ID = 1
@@ -47,8 +48,8 @@ MAGIC = b"CPLFSST1"
 FOOTER = "<QQQQQQB8s"
 #: last key, offset, size of a block
 INDEX = "<9sQI"
-#: Punctuation at a word's end.
-ENDING = re.compile(rb"([A-Za-z])([,.;:!?]+)(?=[\x20\x09-\x0D]|\Z)")
+#: White space, punctuation at a word's end, what the names of special tokens begin with.
+SPACES, ENDING, SPECIAL = b"\x20\x09\x0a\x0b\x0c\x0d", b",.;:!?", re.compile(rb"<\|")
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -179,34 +180,59 @@ class Shard:
         return out
 
 
-def word_encoder(path: str):
-    """For ListTable: ids of many words (no white space inside), each encoded by itself; and the ids' width in bytes."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
-    from tokenizers import Tokenizer
+def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased bytes, begin and end of the words that encode apart as they do in the texts: the tokenizer lower-cases and splits letters from punctuation itself.
 
-    tok = Tokenizer.from_file(path)
-    merge, encode = tok.model.tokenize, tok.encode
-
-    def fill(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        flat, count = array("I"), array("q")
-        for w in words:
-            # what normaliser and splitter leave as it is goes to the model at once
-            ids = [t.id for t in merge(w.decode())] if w.isalpha() and w.islower() else encode(w.decode(), add_special_tokens=False).ids
-            flat.extend(ids)
-            count.append(len(ids))
-        return np.frombuffer(flat, np.uint32) if flat else np.zeros(0, np.uint32), np.frombuffer(count, np.int64)
-
-    return fill, 2 if tok.get_vocab_size() <= 1 << 16 else 4
-
-
-def tokenizer_words(text: bytes | None) -> list[bytes]:
-    """Words that encode apart as they do in the text: the tokenizer lower-cases and splits letters from punctuation itself.
-
-    A text that may hold a special token's name is only cut at white space.
+    A text that may hold a special token's name is left as it is, and only cut at white space.
     """
-    if not text:
-        return []
-    return text.split() if b"<|" in text else ENDING.sub(rb"\1 \2", text.lower()).split()
+    kept = np.zeros(len(at) - 1, bool)
+    kept[[np.searchsorted(at, m.start(), "right") - 1 for m in SPECIAL.finditer(data.tobytes())]] = True
+    as_is = np.repeat(kept, np.diff(at))
+    data = data + np.uint8(32) * ((data >= 65) & (data <= 90) & ~as_is)
+    solid = np.zeros(len(data) + 2, np.int8)
+    solid[1:-1] = ~np.isin(data, np.frombuffer(SPACES, np.uint8))
+    inner = np.unique(at[1:-1][(at[1:-1] > 0) & (at[1:-1] < len(data))])
+    joint = inner[(solid[inner] == 1) & (solid[inner + 1] == 1)]  # two texts' words touch
+    begin = np.sort(np.concatenate([np.flatnonzero(np.diff(solid) == 1), joint]))
+    end = np.sort(np.concatenate([np.flatnonzero(np.diff(solid) == -1), joint]))
+    if not len(begin):
+        return data, begin, end
+    # a letter before the punctuation at a word's end
+    last = np.maximum.accumulate(np.where(np.isin(data, np.frombuffer(ENDING, np.uint8)), -1, np.arange(len(data))))[end - 1]
+    letter = (last >= begin) & (last < end - 1) & (data[last] >= 97) & (data[last] <= 122) & ~as_is[begin]
+    cut = last[letter] + 1
+    return data, np.sort(np.concatenate([begin, cut])), np.sort(np.concatenate([end, cut]))
+
+
+class WordEncoder:
+    """Token ids of whole texts, by words that are remembered by their hashes."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
+        from tokenizers import Tokenizer
+
+        tok = Tokenizer.from_file(path)
+        self.merge, self._encode, self.width = tok.model.tokenize, tok.encode, 2 if tok.get_vocab_size() <= 1 << 16 else 4
+        self.table = HashedLists()
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids, and where each text's begin."""
+        data, at = text_bytes(column)
+        data, begin, end = words(data, at)
+        raw = data.tobytes()
+
+        def fill(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            flat, count = array("I"), array("q")
+            for b, e in zip(begin[new], end[new], strict=True):
+                w = raw[b:e]
+                # what normaliser and splitter leave as it is goes to the model at once
+                ids = [t.id for t in self.merge(w.decode())] if w.isalpha() and w.islower() else self._encode(w.decode(), add_special_tokens=False).ids
+                flat.extend(ids)
+                count.append(len(ids))
+            return np.frombuffer(flat, np.uint32) if flat else np.zeros(0, np.uint32), np.frombuffer(count, np.int64)
+
+        flat, to = self.table.lists(hashes(data, begin, end), fill)
+        return flat, to[np.searchsorted(begin, at)]
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -217,8 +243,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fill, width = word_encoder(tokenizer)
-        table = ListTable(fill)
+        encoder = remembered(f"word_encoder {tokenizer}", lambda: WordEncoder(tokenizer))
         part = TaskContext.get().partitionId()
         store, base = file_system(folder)
         store.create_dir(base, recursive=True)
@@ -232,13 +257,13 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END
             store.move(temp, f"{base}/{path}")
             done.append((part, len(done), path, entries, tokens))
 
-        for batch, raw in chunks(batches, 2 << 20):
-            flat, at = table.lists([tokenizer_words(t) for t in raw])
+        for batch in slices(batches):
+            flat, at = encoder.encode(batch.column("text"))
             for doc_id, begin, end in zip(batch.column("id").to_pylist(), at[:-1], at[1:], strict=True):
                 if writer is None:
                     temp = f"{base}/.{uuid.uuid4().hex}"
                     sink = store.open_output_stream(temp)
-                    writer = ShardWriter(sink, width)
+                    writer = ShardWriter(sink, encoder.width)
                 writer.add(key_of(doc_id), np.append(flat[begin:end], np.uint32(end_id)))
                 if writer.offset >= shard_bytes:
                     close()

@@ -88,10 +88,12 @@ def starts(lengths: np.ndarray) -> np.ndarray:
 
 
 def run_sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Sums of values[at[i]:at[i+1]] along the first axis; 0 for empty runs."""
-    total = np.zeros((len(values) + 1, *values.shape[1:]), np.float64)
-    np.cumsum(values, axis=0, out=total[1:])
-    return total[at[1:]] - total[at[:-1]]
+    """Sums of values[at[i]:at[i+1]] along the first axis; 0 for empty runs. Each run is summed by itself, so its sum does not depend on the runs beside it."""
+    out = np.zeros((len(at) - 1, *values.shape[1:]), np.float64)
+    there = np.flatnonzero(at[1:] > at[:-1])
+    if len(there):
+        out[there] = np.add.reduceat(values[: at[-1]].astype(np.float64), at[there], axis=0)
+    return out
 
 
 class _Words(dict):

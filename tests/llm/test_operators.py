@@ -5,11 +5,12 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from copperleaf.llm import decontamination as dc
 from copperleaf.llm import language_id, near_duplicates, pii, quality_model, quality_rules, secret_scan, sentence_pieces, token_tables, toxicity
-from copperleaf.llm.common import ListTable, WordTable, shared_dir
+from copperleaf.llm.common import WordTable, shared_dir
 
 SCHEMA = "doc_id long, text string, lang string, source string, id string, spans string"
 LONG = "abc def " * 5000
@@ -231,9 +232,11 @@ def test_words_encode_apart():
 
     path = sentence_pieces.model_path(token_tables.MODEL)
     tok = Tokenizer.from_file(path)
-    table = ListTable(token_tables.word_encoder(path)[0])
-    for t in ["It's they're, WE'LL. é, É! ΑΣ. İx, ﬁ. 12,3. x'. y's, 日本。!", "<|ENDOFTEXT|> <|endoftext|>, a", "é, ́a Á."]:
-        assert table.lists([token_tables.tokenizer_words(t.encode())])[0].tolist() == tok.encode(t, add_special_tokens=False).ids
+    texts = ["It's they're, WE'LL. é, É! ΑΣ. İx, ﬁ. 12,3. x'. y's, 日本。!", "<|ENDOFTEXT|> <|endoftext|>, A.", "é, ́a Á.", None, "", " \t", "ends.", "Starts", "a..,! b?!\x0b;c . ,", "x" * 70 + ". X\u00a0y, z\x1c.", "AbC,\nd"]
+    encoder = token_tables.WordEncoder(path)
+    for column in (pa.array(texts), pa.array(texts), pa.array(texts).slice(2, 6), pa.array([" ".join(t or "" for t in texts)])):
+        flat, at = encoder.encode(column)
+        assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:], strict=True)] == [tok.encode(t or "", add_special_tokens=False).ids for t in column.to_pylist()]
 
 
 def test_decontamination(spark, docs, empty):
@@ -303,3 +306,26 @@ def test_quality_model_paths_agree(spark, docs, empty):
     assert near == pytest.approx(far, rel=1e-6) and near[1] == 1.0 and near[9] < near[12]
     none = quality_model.quality_model(docs, good.limit(0))
     assert none.filter("not kept").count() == 0 and quality_model.quality_model(empty, good).count() == 0
+
+
+def test_sums_do_not_depend_on_their_neighbours():
+    from copperleaf.llm.common import run_sums
+
+    values = np.random.default_rng(3).random((5000, 2)) * 1e6
+    at = np.array([0, 0, 7, 7, 1900, 4999, 5000, 5000])
+    whole = run_sums(values, at)
+    for i, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)):
+        assert (whole[i] == run_sums(values[a:b], np.array([0, b - a]))[0]).all() and np.allclose(whole[i], values[a:b].sum(0))
+    assert run_sums(values[:0], np.array([0, 0])).tolist() == [[0, 0]] and run_sums(values[:, 0], np.array([0, 3])).shape == (1,)
+
+
+def test_same_results_under_any_partitioning(spark, docs):
+    rows = docs.filter("lang is not null").union(docs)  # rows that repeat
+    trusted = rows.select("doc_id").withColumnRenamed("doc_id", "id").filter("id % 2 = 0")
+    bits = lambda n, table: sorted((r.id is None, r.id or 0, r.n_bytes, r.bits) for r in quality_model.perplexities(rows.repartition(n), trusted, table).collect())
+    assert bits(1, quality_model.MAX_TABLE) == bits(16, quality_model.MAX_TABLE) == bits(5, 0)
+    from pyspark.sql import functions as F
+
+    trees = language_id.fit(rows, F.lit(True))
+    scores = lambda n: sorted((r.doc_id is None, r.doc_id or 0, r.lang_pred, r.score) for r in language_id.identify(rows.repartition(n), trees).collect())
+    assert scores(1) == scores(16)

@@ -98,18 +98,22 @@ def merchant_ranking(tx: DataFrame, period=month, name: str = "stat_month") -> D
     return out.withColumn("avg_amount", F.round(F.col("total_amount") / F.col("_n"), 2).cast(MONEY)).drop("_n")
 
 
-def in_period(tx: DataFrame, kind: str, value: str) -> DataFrame:
-    """Rows of one day, week (2024-W05) or month (2024-05), as a half-open time range that the scan can use."""
+def period_days(kind: str, value: str) -> tuple[Column, Column]:
+    """First day of a day, week (2024-W05) or month (2024-05), and the day after its last."""
     if kind == "day":
         low = F.to_date(F.lit(value))
-        high = F.date_add(low, 1)
-    elif kind == "month":
+        return low, F.date_add(low, 1)
+    if kind == "month":
         low = F.to_date(F.lit(f"{value}-01"))
-        high = F.add_months(low, 1)
-    else:
-        year, number = value.split("-W")
-        low = F.date_add(F.trunc(F.make_date(F.lit(int(year)), F.lit(1), F.lit(4)), "week"), 7 * (int(number) - 1))
-        high = F.date_add(low, 7)
+        return low, F.add_months(low, 1)
+    year, number = value.split("-W")
+    low = F.date_add(F.trunc(F.make_date(F.lit(int(year)), F.lit(1), F.lit(4)), "week"), 7 * (int(number) - 1))
+    return low, F.date_add(low, 7)
+
+
+def in_period(tx: DataFrame, kind: str, value: str) -> DataFrame:
+    """Rows of one day, week or month, as a half-open time range that the scan can use."""
+    low, high = period_days(kind, value)
     rows = tx.filter((F.col(T) >= low.cast("timestamp_ntz")) & (F.col(T) < high.cast("timestamp_ntz")))
     # a table laid out by month is read only where the period lies
     return rows.filter(F.col("month").between(F.date_format(low, "yyyy-MM"), F.date_format(F.date_sub(high, 1), "yyyy-MM"))) if "month" in tx.columns else rows

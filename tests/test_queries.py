@@ -5,7 +5,7 @@ import decimal
 import duckdb
 import pytest
 
-from copperleaf import registry, registry_reports, registry_tables, registry_versions  # noqa: F401
+from copperleaf import registry, registry_more, registry_reports, registry_tables, registry_versions  # noqa: F401
 
 D = "/root/testdata/sf0.001"
 

@@ -65,9 +65,10 @@ def _slot(name: str) -> int:
 
 
 def shape(word: str) -> str:
-    """Character classes with runs shortened: Ab12 -> Aa0."""
-    out = re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d", "0", word[:64]))
-    return re.sub(r"(.)\1+", r"\1", out)[:10]
+    """Character classes of the whole word with runs shortened, Ab12 -> Aa0; of a long shape both ends and how often its classes change."""
+    out = re.sub(r"[^\W\d_]", lambda m: "A" if m[0].isupper() else "a", re.sub(r"\d", "0", word))
+    out = re.sub(r"(.)\1+", r"\1", out)
+    return out if len(out) <= 10 else f"{out[:5]}~{8 * len(out) // len(word)}~{out[-5:]}"
 
 
 _PLAIN: dict[tuple, list[int]] = {}
@@ -81,13 +82,13 @@ def token_slots(word: str, words: frozenset[str]) -> list[int]:
         if key not in _PLAIN:
             _PLAIN[key] = [_slot(f"plain{key[:3]}"), _slot(f"len{key[3]}")]
         return _PLAIN[key]
-    digits = sum(c.isdigit() for c in word[:64])
-    upper = sum(c.isupper() for c in word[:64])
-    n = min(len(word), 64)
+    digits = sum(map(str.isdigit, word))
+    upper = sum(map(str.isupper, word))
+    n = len(word)
     hexes = all(c in "0123456789abcdef" for c in word)
     out = [
         _slot(f"shape{shape(word)}"), _slot(f"len{min(len(word), 40) // 4}"), _slot(f"mix{4 * digits // n},{4 * upper // n},{hexes}"),
-        _slot(f"kinds{digits > 0},{0 < upper},{any(c.islower() for c in word[:64])},{len(word) > 11}"),
+        _slot(f"kinds{digits > 0},{0 < upper},{any(map(str.islower, word))},{len(word) > 11}"),
     ]
     if low in words:
         out.append(_slot(f"word{low}"))

@@ -55,8 +55,9 @@ def sf(spark, tmp_path_factory):
     spark.createDataFrame(data, DOCS).repartition(3).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(100 + i, 1, int(i % 5 == 0)) for i in range(60)] + [(13, 1, 0), (100, None, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     spark.createDataFrame([(1, ITEM), (2, None), (3, "Who wrote Hamlet today?"), (None, " ".join(COPIED.split()[20:60]))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame([(1, 0, "user", "a b")], "conv_id long, turn long, role string, text string").write.parquet(f"{folder}/conversations.parquet")
     none = tmp_path_factory.mktemp("none")
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "conversations"):
         spark.read.parquet(f"{folder}/{t}.parquet").limit(0).write.parquet(f"{none}/{t}.parquet")
     return str(folder), str(none)
 
@@ -85,8 +86,8 @@ def test_empty_tables_give_no_rows(spark, sf, name):
     assert entry.queries()[name](spark, sf[1]).count() == 0
 
 
-def test_all_eleven_are_registered():
-    assert len(NAMES) == 11 and {int(re.findall(r"\d+", n)[0]) for n in NAMES[:-1]} == set(range(1, 11))
+def test_all_are_registered():
+    assert len(NAMES) == 14 and {int(re.findall(r"\d+", n)[0]) for n in NAMES[:-1]} == set(range(1, 14))
 
 
 def digest(spans, kinds):

@@ -175,20 +175,26 @@ def payment_channel(body: Column) -> Column:
     return filled(body, first_label(body, CHANNELS, F.lit("DIRECT")))
 
 
-def _times(body: Column, received: Column, zone: str) -> tuple[Column, Column]:
-    """The stamp at the end, and day and time in the body on the local month of receipt; each null where absent or no real time."""
+def _times(body: Column, received: Column, zone: str, roll_back: bool = False) -> tuple[Column, Column]:
+    """The stamp at the end, and day and time in the body on the local month of receipt; each null where absent or no real time.
+
+    With ``roll_back``, a time in the body over a day after receipt lies in the month before.
+    """
     stamp = F.try_to_timestamp(F.regexp_replace(_group(body, r"SubId[：:]\s*[0-9]+?(\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2})"), r"\s+", " "), F.lit("yyyy-MM-dd HH:mm:ss"))
     day = r"(\d{1,2})日(\d{1,2}):(\d{2})"
     part = lambda k: F.regexp_extract(body, day, k)
     local = F.from_utc_timestamp(received, zone)
-    text = F.concat_ws("", F.date_format(local, "yyyy-MM-"), F.lpad(part(1), 2, "0"), F.lit(" "), F.lpad(part(2), 2, "0"), F.lit(":"), part(3))
-    inside = F.when(part(1) != "", F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm")))
-    return F.to_utc_timestamp(stamp, zone), F.to_utc_timestamp(inside, zone)
+    text = lambda month: F.concat_ws("", F.date_format(month, "yyyy-MM-"), F.lpad(part(1), 2, "0"), F.lit(" "), F.lpad(part(2), 2, "0"), F.lit(":"), part(3))
+    on = lambda month: F.to_utc_timestamp(F.when(part(1) != "", F.try_to_timestamp(text(month), F.lit("yyyy-MM-dd HH:mm"))), zone)
+    inside = on(local)
+    if roll_back:
+        inside = F.when(inside > received + F.expr("interval 1 day"), on(F.add_months(local, -1))).otherwise(inside)
+    return F.to_utc_timestamp(stamp, zone), inside
 
 
-def tx_time(body: Column, received: Column, zone: str = ZONE) -> Column:
+def tx_time(body: Column, received: Column, zone: str = ZONE, roll_back: bool = False) -> Column:
     """The stamp, else the time in the body, else receipt; instants as UTC wall time."""
-    return F.coalesce(*_times(body, received, zone), received)
+    return F.coalesce(*_times(body, received, zone, roll_back), received)
 
 
 def time_source(body: Column, received: Column, zone: str = ZONE) -> Column:

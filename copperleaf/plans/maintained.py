@@ -40,14 +40,22 @@ def among(day: Column, days: list[datetime.date | None]) -> Column:
     return F.coalesce(day.isin([d for d in days if d is not None]), F.lit(None in days))
 
 
+#: Ranges of days by which a scan is filtered; those that lie closest are joined beyond it.
+RANGES = 64
+
+
 def within(days: list[datetime.date | None], time: str = S.T) -> Column:
-    """The same for rows by their time: as ranges, which reach the scan."""
+    """Rows of these days, and of some between them, by their time: as a few ranges, which reach the scan."""
     spans: list[list[datetime.date]] = []
     for d in sorted(d for d in days if d is not None):
         if spans and d - spans[-1][1] <= datetime.timedelta(1):
             spans[-1][1] = d
         else:
             spans.append([d, d])
+    if len(spans) > RANGES:
+        gaps = sorted(range(1, len(spans)), key=lambda i: spans[i][0] - spans[i - 1][1], reverse=True)
+        edges = [0, *sorted(gaps[: RANGES - 1]), len(spans)]
+        spans = [[spans[a][0], spans[b - 1][1]] for a, b in zip(edges, edges[1:])]  # noqa: B905
     moment = lambda d: F.lit(datetime.datetime.combine(d, datetime.time())).cast("timestamp_ntz")
     parts = [(F.col(time) >= moment(a)) & (F.col(time) < moment(b + datetime.timedelta(1))) for a, b in spans]
     return reduce(or_, parts + [F.col(time).isNull()] * (None in days))
@@ -60,6 +68,8 @@ def _days(rows: DataFrame) -> list[datetime.date | None]:
 def refresh(log: DataFrame, folder: str, keys: list[str], tie: Column, foreign: str = "USD", tail: str | None = None) -> int | None:
     """Bring the states in ``folder`` up to the log's commits; the new version's number, or None where there is nothing new.
 
+    Keys have one row (upserts and deletes) and hold the row's time.
+
     A run that was stopped leaves the version before it in place; the next one does its work again.
     """
     spark, done = log.sparkSession, version(log.sparkSession, folder)
@@ -71,7 +81,7 @@ def refresh(log: DataFrame, folder: str, keys: list[str], tie: Column, foreign:
     number = 0 if done is None else done + 1
     make = lambda rows, **of: U.day_states(rows, foreign, tail, **of)
     if done is None:
-        result = make(C.live_rows(log, keys, tie))
+        result = make(C.latest_by_key(log, keys, tie))
     else:
         by_writer: dict[str, list[int]] = {}
         for r in new:
@@ -85,8 +95,7 @@ def refresh(log: DataFrame, folder: str, keys: list[str], tie: Column, foreign:
         image = lambda side: changes.filter(F.col(side).isNotNull()).select(*keys, f"{side}.*")
         added, gone = image("new"), image("old")
         delta = make(added.withColumn("_sign", F.lit(1)).unionByName(gone.withColumn("_sign", F.lit(-1))), sign="_sign")
-        on = U.conditions(foreign, tail)
-        ends = lambda rows: rows.groupBy(S.day().alias(U.DAY)).agg(*[f(x()).alias(n) for n, (f, x) in U.EXTREMES.items()], F.bit_and(U.mask(on)).alias(U.MASK))
+        ends = lambda rows: rows.groupBy(S.day().alias(U.DAY)).agg(*U.ends(foreign, tail))
         parts = old_states.filter(among(F.col(U.DAY), days)).unionByName(delta, True).unionByName(ends(added), True)
         after = U.merged(parts, U.DAY).filter("n_details > 0")
         # where no amount is left, which sums are null is only known from the rows
@@ -94,7 +103,7 @@ def refresh(log: DataFrame, folder: str, keys: list[str], tie: Column, foreign:
         lost = [*{*_lost(old_states, ends(gone), ends(added)), *bare}]
         result = old_states.filter(~among(F.col(U.DAY), days)).unionByName(after.filter(~among(F.col(U.DAY), lost)))
         if lost:
-            result = result.unionByName(make(C.latest_by_key(log.filter(within(lost)), keys, tie)))
+            result = result.unionByName(make(C.latest_by_key(log.filter(within(lost)), keys, tie).filter(among(S.day(), lost))))
     result.write.mode("overwrite").parquet(f"{folder}/states/version={number}")
     commits.withColumn("version", F.lit(number)).write.mode("overwrite").parquet(f"{folder}/cursor/number={number}")  # last, so that what is there is whole
     return number
@@ -106,7 +115,7 @@ def _lost(before: DataFrame, gone: DataFrame, added: DataFrame) -> list[datetime
     rows = side(gone, "_g").join(side(before, "_b"), F.col("day_g").eqNullSafe(F.col("day_b"))).join(side(added, "_a"), F.col("day_g").eqNullSafe(F.col("day_a")), "left")
 
     def left(name: str) -> Column:
-        largest = U.EXTREMES[name][0] is F.max
+        largest = U.EXTREMES[name][0] == "max"
         reach = (lambda x, y: x >= y) if largest else (lambda x, y: x <= y)
         return F.coalesce(reach(F.col(f"{name}_g"), F.col(f"{name}_b")), F.lit(False)) & ~F.coalesce(reach(F.col(f"{name}_a"), F.col(f"{name}_b")), F.lit(False))
 

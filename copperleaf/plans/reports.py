@@ -143,7 +143,8 @@ def merchant_penetration(tx: DataFrame) -> DataFrame:
     # the period's sum from its merchants' rows by partial aggregation, not by a window over them
     total = rows.groupBy(*KEY).agg(F.sum("total_amount").alias("all"))
     share = F.round(F.col("total_amount").cast("double") / F.col("all").cast("double"), 6)
-    return rows.join(total, KEY).select(*KEY, "merchant_name", "tx_count", "total_amount", F.round(F.col("total_amount") / F.col("n"), 2).cast(S.MONEY).alias("avg_amount"), share.alias("share"))
+    # a row a week and a month: bounded by the calendar
+    return rows.join(F.broadcast(total), KEY).select(*KEY, "merchant_name", "tx_count", "total_amount", F.round(F.col("total_amount") / F.col("n"), 2).cast(S.MONEY).alias("avg_amount"), share.alias("share"))
 
 
 def account_channel_summary(tx: DataFrame) -> DataFrame:

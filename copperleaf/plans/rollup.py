@@ -8,8 +8,6 @@ whatever is made of the states.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,22 +21,26 @@ KEY = ["period_type", "period_value"]
 SUM = "decimal(28,2)"
 
 
-def conditions(foreign: str, tail: str | None) -> dict[str, Column]:
-    """For which rows the amount is summed, by the sum's name. Names with ``spare_`` are figures from details alone."""
-    out = {
-        "total_expense": S.in_cny(S.is_expense()), "total_refund": S.in_cny(S.kind("INFLOW", "REFUND")), "total_income": S.in_cny(S.kind("INFLOW", "INCOME")),
-        "total_transfer": S.in_cny(S.kind("OUTFLOW", "TRANSFER")), **{f"{n}_expense": S.is_expense() & (F.col("category") == c) for c, n in S.CATEGORY_COLUMNS.items()},
-        "all_expense": S.is_expense(), "foreign_total": F.col("is_valid_tx") & (F.col("currency") == foreign),
-    }
+EXPENSE = "(is_valid_tx AND direction = 'OUTFLOW' AND tx_type = 'EXPENSE')"
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def conditions(foreign: str, tail: str | None) -> dict[str, str]:
+    """SQL: for which rows the amount is summed, by the sum's name. Names with ``spare_`` are figures from details alone."""
+    flow = lambda d, t: f"is_valid_tx AND direction = '{d}' AND tx_type = '{t}' AND currency = 'CNY'"
+    out = {"total_expense": flow("OUTFLOW", "EXPENSE"), "total_refund": flow("INFLOW", "REFUND"), "total_income": flow("INFLOW", "INCOME"), "total_transfer": flow("OUTFLOW", "TRANSFER")}
+    out |= {f"{n}_expense": f"{EXPENSE} AND category = '{c}'" for c, n in S.CATEGORY_COLUMNS.items()}
+    out |= {"all_expense": EXPENSE, "foreign_total": f"is_valid_tx AND currency = {quoted(foreign)}"}
     if tail is not None:
-        out["card_expense"] = S.is_expense() & (F.col("card_tail") == tail)
+        out["card_expense"] = f"{EXPENSE} AND card_tail = {quoted(tail)}"
     # a null type counts as expense, an unknown one adds to the total only; a null or unknown category is OTHER
-    kind, name = F.upper(F.coalesce("tx_type", F.lit("EXPENSE"))), F.upper(F.coalesce("category", F.lit("OTHER")))
-    spare = {
-        "total_expense": ~kind.isin("REFUND", "INCOME", "TRANSFER"), "total_refund": kind == "REFUND", "total_income": kind == "INCOME", "total_transfer": kind == "TRANSFER",
-        **{f"{S.CATEGORY_COLUMNS[c]}_expense": (kind == "EXPENSE") & (name == c) for c in APART}, "other_expense": (kind == "EXPENSE") & ~name.isin(APART),
-    }
-    return {n: F.coalesce(c, F.lit(False)) for n, c in (out | {f"spare_{n}": c for n, c in spare.items()}).items()}
+    kind, name, apart = "upper(coalesce(tx_type, 'EXPENSE'))", "upper(coalesce(category, 'OTHER'))", ", ".join(map(quoted, APART))
+    spare = {"total_expense": f"{kind} NOT IN ('REFUND', 'INCOME', 'TRANSFER')", "total_refund": f"{kind} = 'REFUND'", "total_income": f"{kind} = 'INCOME'", "total_transfer": f"{kind} = 'TRANSFER'"}
+    spare |= {f"{S.CATEGORY_COLUMNS[c]}_expense": f"{kind} = 'EXPENSE' AND {name} = '{c}'" for c in APART} | {"other_expense": f"{kind} = 'EXPENSE' AND {name} NOT IN ({apart})"}
+    return out | {f"spare_{n}": c for n, c in spare.items()}
 
 
 #: Sums in the order of their bits in the mask; the last two are the weeks' own.
@@ -50,24 +52,29 @@ def bit(name: str) -> int:
     return 1 << BITS.index(name)
 
 
-def mask(sums: dict[str, Column]) -> Column:
-    """Bits of the sums to which a row adds nothing but a missing amount."""
-    parts = [F.when(c, F.lit(bit(n)).cast("long")).otherwise(0) for n, c in sums.items() if not n.startswith("spare_")]
-    return F.when(F.col("amount").isNull(), reduce(Column.bitwiseOR, parts)).otherwise(0).cast("long")
+def mask(foreign: str, tail: str | None) -> str:
+    """SQL: bits of the sums to which a row adds nothing but a missing amount."""
+    parts = [f"CASE WHEN {c} THEN {bit(n)}L ELSE 0L END" for n, c in conditions(foreign, tail).items() if not n.startswith("spare_")]
+    return f"CASE WHEN amount IS NULL THEN {' | '.join(parts)} ELSE 0L END"
+
+
+#: SQL of extremes and counts by name.
+EXTREMES = {"min_id": ("min", "id"), "max_id": ("max", "id"), "max_single_amount": ("max", f"CASE WHEN {EXPENSE} THEN amount END")}
+COUNTS = {"tx_count": EXPENSE, "n_details": "true", "n_amounts": "amount IS NOT NULL"}
 
 
-EXTREMES = {"min_id": (F.min, lambda: F.col("id")), "max_id": (F.max, lambda: F.col("id")), "max_single_amount": (F.max, lambda: F.when(S.is_expense(), F.col("amount")))}
-COUNTS = {"tx_count": lambda: F.coalesce(S.is_expense(), F.lit(False)), "n_details": lambda: F.lit(True), "n_amounts": lambda: F.col("amount").isNotNull()}
+def ends(foreign: str, tail: str | None) -> list[Column]:
+    """What can only be added: extremes and the mask."""
+    return [F.expr(f"{f}({x}) AS {n}") for n, (f, x) in EXTREMES.items()] + [F.expr(f"bit_and({mask(foreign, tail)}) AS {MASK}")]
 
 
 def day_states(tx: DataFrame, foreign: str = "USD", tail: str | None = None, sign: str | None = None) -> DataFrame:
     """A state for each day of tx; with ``sign``, a column of 1 and -1, rows are added or taken away (then without extremes and mask)."""
-    of = (lambda x: x * F.col(sign)) if sign else (lambda x: x)
-    on = conditions(foreign, tail)
-    sums = [F.sum(of(F.when(c, F.coalesce("amount", F.lit(0))).otherwise(0))).cast(SUM).alias(n) for n, c in on.items()]
-    counts = [F.sum(of(c().cast("long"))).alias(n) for n, c in COUNTS.items()]
-    extremes = [] if sign else [*[f(x()).alias(n) for n, (f, x) in EXTREMES.items()], F.bit_and(mask(on)).alias(MASK)]
-    return tx.groupBy(S.day().alias(DAY)).agg(*counts, *sums, *extremes)
+    times = f" * {sign}" if sign else ""
+    counts = [F.expr(f"sum(CASE WHEN {c} THEN 1L{times} ELSE 0L END) AS {n}") for n, c in COUNTS.items()]
+    sums = [F.expr(f"cast(sum(CASE WHEN {c} THEN amount{times} END) AS {SUM}) AS {n}") for n, c in conditions(foreign, tail).items()]
+    rows = tx.groupBy(S.day().alias(DAY)).agg(*counts, *sums, *([] if sign else ends(foreign, tail)))
+    return rows.fillna(0, list(conditions(foreign, tail)))
 
 
 def _sums(states: DataFrame) -> list[str]:
@@ -76,8 +83,8 @@ def _sums(states: DataFrame) -> list[str]:
 
 def merged(states: DataFrame, *by: str) -> DataFrame:
     """States added up by some columns."""
-    added = [F.sum(c).cast("long").alias(c) for c in COUNTS] + [F.sum(c).cast(SUM).alias(c) for c in _sums(states)]
-    return states.groupBy(*by).agg(*added, *[f(n).alias(n) for n, (f, _) in EXTREMES.items()], F.bit_and(MASK).alias(MASK))
+    added = [f"cast(sum({c}) AS bigint) AS {c}" for c in COUNTS] + [f"cast(sum({c}) AS {SUM}) AS {c}" for c in _sums(states)]
+    return states.groupBy(*by).agg(*map(F.expr, [*added, *[f"{f}({n}) AS {n}" for n, (f, _) in EXTREMES.items()], f"bit_and({MASK}) AS {MASK}"]))
 
 
 def by_type(rows: DataFrame, time: str) -> DataFrame:
@@ -93,7 +100,7 @@ def roll_up(states: DataFrame) -> DataFrame:
 
 def value(name: str) -> Column:
     """A sum as a figure: null where every term is null."""
-    return F.when(F.col(MASK).bitwiseAND(F.lit(bit(name)).cast("long")) == 0, F.col(name)).cast(S.MONEY).alias(name)
+    return F.expr(f"cast(CASE WHEN {MASK} & {bit(name)}L = 0 THEN {name} END AS {S.MONEY}) AS {name}")
 
 
 def macro_figures(rolled: DataFrame, names: list[str]) -> DataFrame:
@@ -104,7 +111,7 @@ def macro_figures(rolled: DataFrame, names: list[str]) -> DataFrame:
 
 def spare_figures(rolled: DataFrame, names: list[str]) -> DataFrame:
     """The figures of each period from detail rows alone: every row counts, whatever its validity, currency or direction."""
-    rows = rolled.select(*KEY, F.col("n_details").alias("tx_count"), *[F.col(c).cast(S.MONEY).alias(c.removeprefix("spare_")) for c in _sums(rolled) if c.startswith("spare_")])
+    rows = rolled.select(*KEY, F.col("n_details").alias("tx_count"), *[F.expr(f"cast({c} AS {S.MONEY}) AS {c.removeprefix('spare_')}") for c in _sums(rolled) if c.startswith("spare_")])
     return S.with_net(rows).select(*KEY, *names)
 
 

@@ -49,9 +49,10 @@ today = lambda: F.lit(TODAY).cast("date")
 
 
 def rolled(tx: DataFrame) -> DataFrame:
-    """The states of all periods from a stored table of days."""
-    U.day_states(tx).write.parquet(path := f"{new_folder(tx.sparkSession)}/days")
-    return U.roll_up(tx.sparkSession.read.parquet(path))
+    """The stored states of all periods, rolled up from those of days: a row a period, however often it is read."""
+    states = U.roll_up(U.day_states(tx))
+    states.write.parquet(path := f"{new_folder(tx.sparkSession)}/periods")
+    return tx.sparkSession.read.schema(states.schema).parquet(path)
 
 
 def with_asked(periods: DataFrame) -> DataFrame:

@@ -134,3 +134,14 @@ def test_stream_gives_the_batch_rows(spark, tmp_path):
     for _ in range(2):
         incremental.run_available(spark, str(tmp_path / "in"), df.schema, str(tmp_path / "out"), str(tmp_path / "cp"), lambda x: x)
     assert changelog.read(spark, str(tmp_path / "out")).count() == 20
+
+
+def test_days_of_the_month_before(spark):
+    """A message of the 31st that is received on the 1st; without the option it lies in the month of receipt, or has no such day."""
+    at = lambda text, received, back: spark.createDataFrame([(text, received)], "b string, r timestamp").select(X.tx_time(F.col("b"), F.col("r"), roll_back=back).alias("t")).first().t
+    received = datetime.datetime(2024, 3, 1, 2, 0)
+    assert at("28日09:30消费5元", received, True) == datetime.datetime(2024, 2, 28, 1, 30)
+    assert at("28日09:30消费5元", received, False) == datetime.datetime(2024, 3, 28, 1, 30)
+    assert at("01日09:30消费5元", received, True) == datetime.datetime(2024, 3, 1, 1, 30)
+    assert at("31日09:30消费5元", received, True) == received  # February has no such day
+    assert at("none", received, True) == received

@@ -78,6 +78,9 @@ def test_touched_days_are_ranges():
     days = [datetime.date(2024, 1, d) for d in (3, 1, 2, 9)] + [None]
     text = M.within(days)._jc.toString()
     assert text.count(">=") == 2 and "NULL" in text.upper()
+    many = [datetime.date(2020, 1, 1) + datetime.timedelta(days=2 * i + (30 if i > 500 else 0)) for i in range(1000)]
+    text = M.within(many)._jc.toString()
+    assert text.count(">=") == M.RANGES and str(many[0]) in text and str(many[-1] + datetime.timedelta(1)) in text and str(many[501]) in text
 
 
 def test_requests_and_charts(spark, tx):

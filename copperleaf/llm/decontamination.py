@@ -23,7 +23,8 @@ map one to one. Such items' lengths are sent to the tasks. Null or empty texts h
 A null id is reported like any other, but in ``clean`` each text without an id stands for
 itself. Repeated rows count as one document: where one of an id's rows leaks, all go.
 Equal items are each reported; of equally good occurrences one is. An empty table of
-documents or items gives no rows. Extra columns, whatever their names, stay in ``clean``.
+documents or items gives no rows. Very long texts are read whole: every window of theirs is
+probed. Extra columns, whatever their names, stay in ``clean``.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ text still count. In training the windows of a text share its label through a lo
 Null or empty text has one empty window, whose score is the bias alone. Repeated rows each
 get their own result; an id or text that is labelled both ways counts as toxic. Very long
 texts are scored whole, but train only up to ``SAMPLE_CHARS``, a bound of the sample. Without
-labelled rows of both classes every score is 0. An empty table gives an empty result.
+labelled rows of both classes every score is 0. An empty table gives an empty result. Only the
+named columns are read, whatever others there are.
 """
 
 from __future__ import annotations

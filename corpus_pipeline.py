@@ -4,6 +4,12 @@ Quality rules drop documents, near-duplicates leave one of each group (shingles
 words, similarity of 0.8 or more), decontamination drops leaks of ``benchmark``, personal
 data are replaced in the texts, and the rest is encoded; the last stage returns a digest of
 each document's piece ids.
+
+Null and empty texts have too few words and go in the first stage, as do rows that repeat in
+the second, but for one. Of documents that are equally good to keep the one of the smallest
+id stays; texts without an id stand for themselves. Very long texts are taken whole by every
+stage. Further columns, whatever their names, stay until the last stage. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations

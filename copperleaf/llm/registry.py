@@ -12,4 +12,4 @@ QUERIES = {
         decontamination.op10_decontamination, collocations.op11_collocations, packing.op12_packing, conversation_trie.op13_conversation_trie,
     )
 }
-SQL = {"op2_quality_rules": quality_rules.SQL, "op4_pii": pii.SQL, "op8_near_duplicates": near_duplicates.SQL, "op11_collocations": collocations.SQL}
+SQL = {"op2_quality_rules": quality_rules.SQL, "op4_pii": pii.SQL, "op8_near_duplicates": near_duplicates.SQL, "op11_collocations": collocations.SQL, "op13_conversation_trie": conversation_trie.SQL}

@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 from pathlib import Path
 
+import duckdb
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parents[2]))
@@ -85,6 +86,9 @@ def test_any_container_gives_the_same_trie(spark, talk, container, monkeypatch):
 def test_registered_query(spark, talk, tmp_path):
     talk.write.parquet(f"{tmp_path}/conversations.parquet")
     assert rows_of(entry.queries()["op13_conversation_trie"](spark, str(tmp_path))) == plain(talks())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    assert sorted(con.sql(entry.oracle_sql()["op13_conversation_trie"]).select(", ".join(NAMES)).fetchall()) == plain(talks())
 
 
 def test_given_conversations(spark):

@@ -267,13 +267,15 @@ FACTS = {
 }
 
 
-def to_transactions(messages: DataFrame, facts: dict[str, Callable[[], Column]] | None = None) -> DataFrame:
+def to_transactions(messages: DataFrame, facts: dict[str, Callable[[], Column]] | None = None, tasks: int | None = None) -> DataFrame:
     """Facts (id and the entries of ``FACTS``) from messages (id, sender, received_at, raw_body), without a shuffle.
 
-    ``facts`` replaces or adds entries by name.
+    ``facts`` replaces or adds entries by name. ``tasks`` deals the messages out first: for
+    few files (or one that cannot be split) and many cores, as the patterns cost more than that.
     """
     each = lambda table: [f().alias(n) for n, f in table.items()]
-    base = messages.select("id", "sender", "received_at", "raw_body", *each(MATCHED))
+    base = messages.select("id", "sender", "received_at", "raw_body")
+    base = (base if tasks is None else base.repartition(tasks)).select("*", *each(MATCHED))
     first = base.select("id", "sender", "received_at", "raw_body", "label", *each(FIRST))
     return first.select("id", *each(FACTS | (facts or {})))
 

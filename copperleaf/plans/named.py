@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from copperleaf.plans import summaries as S
 
-EXPENSE = "is_valid_tx AND direction = 'OUTFLOW' AND tx_type = 'EXPENSE'"
-CNY = "currency = 'CNY'"
+EXPENSE = S.EXPENSE
 MONDAY = "date_add(trunc(make_date(cast(substr(label, 1, 4) AS int), 1, 4), 'week'), 7 * (cast(substr(label, 7) AS int) - 1))"
 #: Kind of a summary: the label's type, its first day and the day after its last in SQL, what is grouped by.
 KINDS = {
@@ -31,10 +30,8 @@ def _sum(condition: str, name: str) -> str:
 
 
 def _figures(kind: str, foreign: str, tail: str) -> list[str]:
-    flows = {"total_expense": ("OUTFLOW", "EXPENSE"), "total_refund": ("INFLOW", "REFUND"), "total_income": ("INFLOW", "INCOME"), "total_transfer": ("OUTFLOW", "TRANSFER")}
     out = ["min(id) AS min_id", "max(id) AS max_id", f"count_if({EXPENSE}) AS tx_count"]
-    out += [_sum(f"is_valid_tx AND direction = '{d}' AND tx_type = '{t}' AND {CNY}", n) for n, (d, t) in flows.items() if kind != "weekly" or n != "total_transfer"]
-    out += [_sum(f"{EXPENSE} AND category = '{c}'", f"{n}_expense") for c, n in S.CATEGORY_COLUMNS.items()]
+    out += [_sum(c, n) for n, c in S.SUMS.items() if kind != "weekly" or n != "total_transfer"]
     if kind == "weekly":
         return out + [_sum(f"{EXPENSE} AND weekday(tx_time) >= 5", "weekend_expense"), _sum(f"{EXPENSE} AND weekday(tx_time) < 5", "weekday_expense"), "min(to_date(tx_time)) AS week_start_date", "max(to_date(tx_time)) AS week_end_date"]
     out.append(f"cast(max(CASE WHEN {EXPENSE} THEN amount END) AS decimal(18,2)) AS max_single_amount")

@@ -21,7 +21,7 @@ KEY = ["period_type", "period_value"]
 SUM = "decimal(28,2)"
 
 
-EXPENSE = "(is_valid_tx AND direction = 'OUTFLOW' AND tx_type = 'EXPENSE')"
+EXPENSE = S.EXPENSE
 
 
 def quoted(text: str) -> str:
@@ -30,9 +30,7 @@ def quoted(text: str) -> str:
 
 def conditions(foreign: str, tail: str | None) -> dict[str, str]:
     """SQL: for which rows the amount is summed, by the sum's name. Names with ``spare_`` are figures from details alone."""
-    flow = lambda d, t: f"is_valid_tx AND direction = '{d}' AND tx_type = '{t}' AND currency = 'CNY'"
-    out = {"total_expense": flow("OUTFLOW", "EXPENSE"), "total_refund": flow("INFLOW", "REFUND"), "total_income": flow("INFLOW", "INCOME"), "total_transfer": flow("OUTFLOW", "TRANSFER")}
-    out |= {f"{n}_expense": f"{EXPENSE} AND category = '{c}'" for c, n in S.CATEGORY_COLUMNS.items()}
+    out = dict(S.SUMS)
     out |= {"all_expense": EXPENSE, "foreign_total": f"is_valid_tx AND currency = {quoted(foreign)}"}
     if tail is not None:
         out["card_expense"] = f"{EXPENSE} AND card_tail = {quoted(tail)}"

@@ -48,14 +48,24 @@ def total(condition: Column) -> Column:
     return F.sum(F.when(condition, F.col("amount")).otherwise(0)).cast(MONEY)
 
 
+EXPENSE = "(is_valid_tx AND direction = 'OUTFLOW' AND tx_type = 'EXPENSE')"
+
+
+def flow(direction: str, tx_type: str) -> str:
+    """SQL: rows of a kind in the home currency."""
+    return f"is_valid_tx AND direction = '{direction}' AND tx_type = '{tx_type}' AND currency = 'CNY'"
+
+
+#: SQL: for which rows the amount is summed, by the sum's name.
+SUMS = {
+    "total_expense": flow("OUTFLOW", "EXPENSE"), "total_refund": flow("INFLOW", "REFUND"), "total_income": flow("INFLOW", "INCOME"), "total_transfer": flow("OUTFLOW", "TRANSFER"),
+    **{f"{n}_expense": f"{EXPENSE} AND category = '{c}'" for c, n in CATEGORY_COLUMNS.items()},
+}
+
+
 def measures() -> list[Column]:
-    return [
-        F.min("id").alias("min_id"), F.max("id").alias("max_id"), F.count_if(is_expense()).alias("tx_count"),
-        total(in_cny(is_expense())).alias("total_expense"), total(in_cny(kind("INFLOW", "REFUND"))).alias("total_refund"),
-        total(in_cny(kind("INFLOW", "INCOME"))).alias("total_income"), total(in_cny(kind("OUTFLOW", "TRANSFER"))).alias("total_transfer"),
-        *[total(is_expense() & (F.col("category") == c)).alias(f"{n}_expense") for c, n in CATEGORY_COLUMNS.items()],
-        F.max(F.when(is_expense(), F.col("amount"))).cast(MONEY).alias("max_single_amount"),
-    ]
+    sums = [f"cast(sum(CASE WHEN {c} THEN amount ELSE 0 END) AS {MONEY}) AS {n}" for n, c in SUMS.items()]
+    return [F.expr(x) for x in ("min(id) AS min_id", "max(id) AS max_id", f"count_if({EXPENSE}) AS tx_count", *sums, f"cast(max(CASE WHEN {EXPENSE} THEN amount END) AS {MONEY}) AS max_single_amount")]
 
 
 def with_net(df: DataFrame) -> DataFrame:

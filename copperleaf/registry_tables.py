@@ -31,7 +31,7 @@ def columns_of(*names: str) -> str:
 
 
 def facts(messages: DataFrame) -> DataFrame:
-    rows = X.to_transactions(X.assemble_raw(messages)).drop("etl_created_at")
+    rows = R.facts(messages).drop("etl_created_at")
     return rows.withColumn("tx_time", F.col("tx_time").cast("timestamp_ntz"))
 
 

@@ -41,6 +41,8 @@ from copperleaf.llm.common import documents, narrow, written
 from copperleaf.llm.hashed import HashIndex, hashes, remembered, slices, text_bytes
 
 MIN_COUNT, KEEP_PERCENT, TOP = 10, 50, 2000
+#: Parts into which a language's phrases are dealt before they are ranked together.
+SALTS = 16
 #: Words with numbers and bits of a number; pairs of a trie; bits of the map of words without.
 WORD_BITS, LOW_BITS, MAP_BITS = 20, 10, 27
 MAX_WORDS, MAX_PAIRS = 1 << WORD_BITS, 1 << 21
@@ -354,8 +356,13 @@ def collocations(docs: DataFrame, lang_col: str = "lang", top: int = TOP, max_wo
     cuts = cuts.select("*", F.expr(_score("l1", "r1")).alias("s1"), F.expr(_score("l2", "r2")).alias("s2"))
     low = lambda x, y: F.when(F.col("s1") <= F.col("s2"), F.col(x)).otherwise(F.col(y))
     triples = cuts.select("lang", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a", low("l1", "l2").alias("l"), low("r1", "r2").alias("r"), low("s1", "s2").alias("score"))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    best = pairs.unionByName(triples).withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+    def best(rows: DataFrame, *by: str) -> DataFrame:
+        order = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+        return rows.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
+
+    # the first ones of each salt first, so that a language's last task gets SALTS * top rows at most
+    dealt = pairs.unionByName(triples).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    best = best(best(dealt, "lang", "salt").drop("rank"), "lang")
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", F.col("words").alias("n"), "score")
 
 

@@ -56,7 +56,7 @@ def within(days: list[datetime.date | None], time: str = S.T) -> Column:
         gaps = sorted(range(1, len(spans)), key=lambda i: spans[i][0] - spans[i - 1][1], reverse=True)
         edges = [0, *sorted(gaps[: RANGES - 1]), len(spans)]
         spans = [[spans[a][0], spans[b - 1][1]] for a, b in zip(edges, edges[1:])]  # noqa: B905
-    moment = lambda d: F.lit(datetime.datetime.combine(d, datetime.time())).cast("timestamp_ntz")
+    moment = lambda d: F.lit(d.isoformat()).cast("date").cast("timestamp_ntz")
     parts = [(F.col(time) >= moment(a)) & (F.col(time) < moment(b + datetime.timedelta(1))) for a, b in spans]
     return reduce(or_, parts + [F.col(time).isNull()] * (None in days))
 

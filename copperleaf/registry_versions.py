@@ -35,7 +35,7 @@ def written_log(spark: SparkSession, sf_dir: str) -> str:
     path = f"{new_folder(spark)}/log"
     for w, s in [(w, s) for s in NUMBERS for w in WRITERS] + [("b", 4)]:
         rows = versions.filter((F.col("writer") == w) & (F.col("seq") == s)).drop("writer", "seq")
-        C.append(rows, path, s, w, F.lit(committed_at(w, s)).cast("timestamp"), OPERATIONS.get((w, s), C.UPSERT))
+        C.append(rows, path, s, w, F.lit(str(committed_at(w, s))).cast("timestamp"), OPERATIONS.get((w, s), C.UPSERT))
     return path
 
 

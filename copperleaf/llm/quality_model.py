@@ -34,7 +34,7 @@ from copperleaf.llm.common import chunks, documents, narrow, run_sums, starts, w
 ORDER = 5
 QUANTILE, MARGIN, HELD_OUT = 0.99, 1.2, 8
 #: Rows of the broadcast table (12 bytes each, twice that in a worker's hash table), of broadcast trusted ids, of broadcast languages, bytes of text in a block.
-MAX_TABLE, MAX_IDS, MAX_LANGS, BLOCK_BYTES = 6_000_000, 2_000_000, 10_000, 4 << 20
+MAX_TABLE, MAX_IDS, MAX_LANGS, BLOCK_BYTES = 6_000_000, 2_000_000, 10_000, 16 << 20
 #: Bytes of text whose n-grams are counted at a time.
 COUNT_BYTES = 12 << 20
 LOW = [(1 << 8 * k) - 1 for k in range(ORDER + 1)]

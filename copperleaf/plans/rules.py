@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 N = 2
+#: Rules that are broadcast at most: some 10 MB.
+BROADCAST = 100_000
 
 
 def _grams(text: Column, n: int) -> Column:
@@ -29,12 +31,19 @@ def filed(rules: DataFrame, n: int = N) -> DataFrame:
     return grams.join(common, "gram").withColumn("r", best).filter("r = 1").select("gram", "word", "label", "priority")
 
 
-def labelled(texts: DataFrame, rules: DataFrame, id_col: str = "id", text_col: str = "text", n: int = N) -> DataFrame:
+def labelled(texts: DataFrame, rules: DataFrame, id_col: str = "id", text_col: str = "text", n: int = N, most: int = BROADCAST) -> DataFrame:
     """id and label of the texts that hold a rule's word; ``rules``: word, label, priority (of equal ones the first label by name).
 
-    Spark broadcasts the filed words below its threshold and shuffles n-grams beyond it.
+    Up to ``most`` rules are broadcast. Beyond, n-grams are shuffled without their texts, which
+    only pairs that share one come back to. Texts are never broadcast, however small their files are.
     """
     asked = F.concat(*[_grams(F.col("text"), k) for k in range(1, n + 1)])
-    rows = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("gram", F.explode(asked))
-    hits = rows.join(filed(rules, n), "gram").filter(F.col("text").contains(F.col("word")))
+    texts = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows, words = texts.withColumn("gram", F.explode(asked)), filed(rules, n)
+    if rules.limit(most + 1).count() <= most:
+        pairs = rows.join(F.broadcast(words), "gram")
+    else:
+        near = rows.drop("text").hint("merge").join(words, "gram").withColumnRenamed("id", "_id")
+        pairs = near.hint("merge").join(texts, F.col("_id").eqNullSafe(F.col("id"))).drop("_id")
+    hits = pairs.filter(F.col("text").contains(F.col("word")))
     return hits.groupBy("id").agg(F.min(F.struct("priority", "label")).alias("best")).select(F.col("id").alias(id_col), "best.label")

@@ -107,7 +107,7 @@ def by_rules(messages: DataFrame) -> DataFrame:
     texts = X.assemble_raw(messages).select("id", "raw_body")
     table = messages.sparkSession.createDataFrame(RULES, "word string, label string, priority int")
     found = rules.labelled(texts, table, text_col="raw_body")
-    return texts.select("id").join(found, "id", "left").select("id", F.coalesce("label", F.lit("OTHER")).alias("category"))
+    return texts.select("id").hint("merge").join(found, "id", "left").select("id", F.coalesce("label", F.lit("OTHER")).alias("category"))
 
 
 QUERIES["category_by_rules"] = lambda spark, d: by_rules(R.messages(spark, d))

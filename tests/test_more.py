@@ -107,6 +107,17 @@ def test_ten_thousand_rule_words(spark):
     assert got == want and got[902] == "L1" and 903 not in got
 
 
+def test_texts_are_not_broadcast_for_their_rules(spark, tmp_path):
+    spark.range(300).select("id", F.concat(F.lit("中文"), F.col("id").cast("string")).alias("text")).write.parquet(str(tmp_path / "t"))
+    texts = spark.read.parquet(str(tmp_path / "t"))  # a small file, as many bytes as Spark takes its n-grams for
+    table = spark.createDataFrame([("文7", "a", 1), ("9", "b", 0)], "word string, label string, priority int")
+    few, many = [rules.labelled(texts, table, most=m) for m in (2, 1)]
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan(few) and "BuildLeft" not in plan(few) and "Broadcast" not in plan(many)
+    want = {i: "b" if "9" in str(i) else "a" for i in range(300) if "9" in str(i) or str(i)[0] == "7"}
+    assert {r.id: r.label for r in few.collect()} == {r.id: r.label for r in many.collect()} == want
+
+
 def test_sketches_merge(spark):
     rows = spark.range(20_000).select(F.timestamp_seconds(F.lit(1704067200) + (F.col("id") % 60) * 86400).cast("timestamp_ntz").alias(S.T), (F.col("id") % 3777).cast("string").alias("cleaned_merchant"), F.lit("c").alias("counterparty"))
     exact = {(r.period_type, r.period_value): r for r in sketches.exact_merchants(rows).collect()}

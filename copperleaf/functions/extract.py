@@ -134,12 +134,13 @@ def amount_matches(body: Column) -> Column:
     return F.array(*[_group(body, p) for p in AMOUNTS])
 
 
-def amount(body: Column, matches: Column | None = None) -> Column:
-    """The first positive match by priority; with none, the value of the last pattern that matched. ``matches``: a column of ``amount_matches``."""
+def amount(body: Column, matches: Column | None = None, zeros: bool = True) -> Column:
+    """The first positive match by priority; with none, the value of the last pattern that matched, or null without ``zeros``. ``matches``: a column of ``amount_matches``."""
     seen = F.filter(amount_matches(body) if matches is None else matches, lambda r: r.isNotNull())
     values = F.transform(seen, lambda r: F.round(F.replace(r, F.lit(","), F.lit("")).try_cast("decimal(38,18)"), 2).try_cast("decimal(12,2)"))
     # each pattern is matched once: a fold keeps the first positive value, and the last one until then
     best = F.aggregate(values, F.lit(None).cast("decimal(12,2)"), lambda a, v: F.when(a > 0, a).otherwise(v))
+    best = best if zeros else F.when(best > 0, best)
     return filled(body, F.when(~(code_only(body) | has(body, LOAN_ADS)), best))
 
 
@@ -267,16 +268,18 @@ FACTS = {
 }
 
 
-def to_transactions(messages: DataFrame, facts: dict[str, Callable[[], Column]] | None = None, tasks: int | None = None) -> DataFrame:
+def to_transactions(messages: DataFrame, facts: dict[str, Callable[[], Column]] | None = None, tasks: int | None = None, zeros: bool = True) -> DataFrame:
     """Facts (id and the entries of ``FACTS``) from messages (id, sender, received_at, raw_body), without a shuffle.
 
     ``facts`` replaces or adds entries by name. ``tasks`` deals the messages out first: for
     few files (or one that cannot be split) and many cores, as the patterns cost more than that.
+    Without ``zeros`` a message without a positive amount has none, and so no other currency.
     """
     each = lambda table: [f().alias(n) for n, f in table.items()]
     base = messages.select("id", "sender", "received_at", "raw_body")
     base = (base if tasks is None else base.repartition(tasks)).select("*", *each(MATCHED))
-    first = base.select("id", "sender", "received_at", "raw_body", "label", *each(FIRST))
+    table = FIRST if zeros else FIRST | {"amount": lambda: amount(F.col("raw_body"), F.col("amount_matches"), zeros=False)}
+    first = base.select("id", "sender", "received_at", "raw_body", "label", *each(table))
     return first.select("id", *each(FACTS | (facts or {})))
 
 

@@ -11,10 +11,10 @@ from copperleaf.plans.summaries import MONEY
 CODES = ["CNY", *[code for code, _ in X.CURRENCIES]]
 
 
-def amounts(messages: DataFrame) -> DataFrame:
-    """Messages, amounts found, suspected misses (an action word but no amount) and the sum of each currency: one row."""
+def amounts(messages: DataFrame, zeros: bool = True) -> DataFrame:
+    """Messages, amounts found, suspected misses (an action word but no amount) and the sum of each currency: one row. Without ``zeros`` only positive amounts are found."""
     body, value = F.col("raw_body"), F.col("amount")
-    rows = messages.select("raw_body", X.amount(body).alias("amount")).withColumn("currency", X.currency(body, value))
+    rows = messages.select("raw_body", X.amount(body, zeros=zeros).alias("amount")).withColumn("currency", X.currency(body, value))
     return rows.agg(
         F.count("*").alias("n_messages"), F.count("amount").alias("n_amounts"), F.count_if(value.isNull() & X.has(body, X.VALID_WORDS)).alias("n_suspected"),
         *[F.coalesce(F.sum(F.when(F.col("currency") == c, value)), F.lit(0)).cast(MONEY).alias(f"sum_{c.lower()}") for c in CODES],

@@ -34,7 +34,7 @@ def test_rows_as_in_sql(spark, duck, name):
 
 
 #: Queries of amounts, which the SQL leaves out where no pattern finds a positive one.
-OF_AMOUNTS = ["amount", "audit_amount", "currency", "lineage_join"]
+OF_AMOUNTS = ["amount", "audit_amount", "currency", "lineage_join", "to_transactions"]
 
 
 @pytest.mark.parametrize("name", OF_AMOUNTS)

@@ -277,7 +277,9 @@ def to_transactions(messages: DataFrame, facts: dict[str, Callable[[], Column]]
     """
     each = lambda table: [f().alias(n) for n, f in table.items()]
     base = messages.select("id", "sender", "received_at", "raw_body")
-    base = (base if tasks is None else base.repartition(tasks)).select("*", *each(MATCHED))
+    base = base if tasks is None else base.repartition(tasks)
+    # the text comes out of a generator, so that a filter on facts is not moved to before the dealing, with the text made anew for each of its words
+    base = base.select("id", "sender", "received_at", F.explode(F.array("raw_body")).alias("raw_body")).select("*", *each(MATCHED))
     table = FIRST if zeros else FIRST | {"amount": lambda: amount(F.col("raw_body"), F.col("amount_matches"), zeros=False)}
     first = base.select("id", "sender", "received_at", "raw_body", "label", *each(table))
     return first.select("id", *each(FACTS | (facts or {})))

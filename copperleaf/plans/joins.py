@@ -1,4 +1,7 @@
-"""Joins of facts to what they came from, and of merchants to a table of aliases."""
+"""Joins of facts to what they came from, and of merchants to a table of aliases.
+
+Facts and messages are merged, as either may be large when its files are small.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +11,12 @@ from pyspark.sql import functions as F
 
 def lineage(raw: DataFrame, facts: DataFrame) -> DataFrame:
     """Facts with the sender of their raw message."""
-    return facts.join(raw.select(F.col("id").alias("raw_record_id"), "sender"), "raw_record_id")
+    return facts.hint("merge").join(raw.select(F.col("id").alias("raw_record_id"), "sender"), "raw_record_id")
 
 
 def gaps(raw: DataFrame, facts: DataFrame) -> DataFrame:
     """Raw messages without a fact."""
-    return raw.join(facts.select(F.col("raw_record_id").alias("id")), "id", "left_anti")
+    return raw.hint("merge").join(facts.select(F.col("raw_record_id").alias("id")), "id", "left_anti")
 
 
 def alias_join(tx: DataFrame, aliases: DataFrame) -> DataFrame:

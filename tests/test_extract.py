@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from copperleaf.functions import extract as X
 from copperleaf.functions import text
-from copperleaf.plans import summaries
+from copperleaf.plans import joins, summaries
 from copperleaf.sources import changelog, offsets
 from copperleaf.streaming import incremental
 
@@ -53,6 +53,18 @@ def test_facts_and_fields_can_be_replaced_by_name(spark):
     assert raw.receiver_phone == "one" and raw.sender == "CGB" and raw.id is not None
 
 
+def test_filters_on_facts_stay_behind_the_dealing(spark, tmp_path):
+    """Also, neither side of the join to the messages is broadcast, however small its file is."""
+    spark.createDataFrame([(1, "CGB", AT, SAMPLE), (2, "CGB", AT, None), (3, "CGB", AT, " ")], "id long, sender string, received_at timestamp_ntz, raw_body string").write.parquet(str(tmp_path / "m"))
+    raw = spark.read.parquet(str(tmp_path / "m"))
+    valid = X.to_transactions(raw, tasks=3).filter("is_valid_tx")
+    plan = valid._jdf.queryExecution().executedPlan().toString()
+    assert "消费" in plan[: plan.index("Exchange RoundRobin")] and "消费" not in plan[plan.index("Exchange RoundRobin") :]
+    for df, ids in ((joins.lineage(raw, valid), [1]), (joins.gaps(raw, valid), [2, 3])):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.id for r in df.collect()) == ids
+
+
 def test_message_in_parts(spark):
     part = "array<struct<is_html:boolean,content:string>>"
     df = spark.createDataFrame([([(True, "<p> a </p>"), (False, "b <c>"), (True, None)],), ([],)], f"parts {part}")

@@ -29,13 +29,19 @@ def committed_at(writer: str, seq: int) -> datetime.datetime:
     return datetime.datetime(2024, 1, 20 if (writer, seq) == LATE else 1 + seq, 1 if writer == "b" else 0)
 
 
+def operation(writer: str, seq: int) -> str:
+    return OPERATIONS.get((writer, seq), C.UPSERT)
+
+
 def written_log(spark: SparkSession, sf_dir: str) -> str:
     """The folder of a log of ten commits; the last of them is written twice."""
     versions = spark.sql(VERSIONS, lineitem=R.table(spark, sf_dir, "lineitem"), orders=R.table(spark, sf_dir, "orders"))
     path = f"{new_folder(spark)}/log"
-    for w, s in [(w, s) for s in NUMBERS for w in WRITERS] + [("b", 4)]:
-        rows = versions.filter((F.col("writer") == w) & (F.col("seq") == s)).drop("writer", "seq")
-        C.append(rows, path, s, w, F.lit(str(committed_at(w, s))).cast("timestamp"), OPERATIONS.get((w, s), C.UPSERT))
+    of = lambda value: F.expr("CASE " + " ".join(f"WHEN writer = '{w}' AND seq = {s} THEN '{value(w, s)}'" for w in WRITERS for s in NUMBERS) + " END")
+    # one pass over the tables, however many commits
+    C.append_commits(versions.select("*", of(committed_at).alias("_commit_ts"), of(operation).alias("_op")).withColumnsRenamed({"writer": "_writer", "seq": "_commit_seq"}), path)
+    last = versions.filter("writer = 'b' AND seq = 4").drop("writer", "seq")
+    C.append(last, path, 4, "b", F.lit(str(committed_at("b", 4))).cast("timestamp"), operation("b", 4))
     return path
 
 
@@ -43,7 +49,7 @@ def over_log(name: str, run, sql: str) -> None:
     """Register run(log, path); ``sql`` may use v: the versions with seq, writer, op and done (the commit's time)."""
     QUERIES[name] = lambda spark, d: (lambda path: run(C.read(spark, path), path))(written_log(spark, d))
     cases = lambda of, other: "CASE " + " ".join(f"WHEN writer = '{w}' AND seq = {s} THEN {of(w, s)}" for w in WRITERS for s in NUMBERS) + f" ELSE {other} END"
-    op, at = cases(lambda w, s: f"'{OPERATIONS.get((w, s), C.UPSERT)}'", "NULL"), cases(lambda w, s: f"timestamp '{committed_at(w, s)}'", "NULL")
+    op, at = cases(lambda w, s: f"'{operation(w, s)}'", "NULL"), cases(lambda w, s: f"timestamp '{committed_at(w, s)}'", "NULL")
     SQL[name] = f"WITH v AS (SELECT *, {op} AS op, {at} AS done FROM ({VERSIONS.format(lineitem='lineitem', orders='orders')})) {sql}"
 
 

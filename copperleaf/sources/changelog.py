@@ -45,6 +45,12 @@ def append(df: DataFrame, path: str, seq: int, writer: str = "main", at: Column
     rows.write.mode("overwrite").parquet(f"{path}/_writer={writer}/_commit_seq={seq}")
 
 
+def append_commits(df: DataFrame, path: str) -> None:
+    """Write many commits in one pass: rows carry ``_writer``, ``_commit_seq``, ``_commit_ts`` and ``_op``. Commits of which there are rows are replaced, others stay."""
+    rows = df.withColumn("_commit_ts", F.col("_commit_ts").cast("timestamp"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_writer", "_commit_seq").parquet(path)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("_commit_seq", F.col("_commit_seq").cast("long")).withColumn("_writer", F.col("_writer").cast("string"))
 

@@ -79,9 +79,11 @@ def month_of(time: str) -> Column:
 
 def make_base(log: DataFrame, bases: str, number: int, keys: list[str], tie: Column, time: str) -> None:
     """Write the newest version of each key by month, with the commits that it holds; what was taken away stays as a mark, for commits that come late."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first(log, tie)))
-    newest = log.withColumn("_rank", rank).filter("_rank = 1").drop("_rank").withColumn("month", month_of(time))
-    newest.repartitionByRange("month", time).sortWithinPartitions("month", time).write.mode("overwrite").partitionBy("month").parquet(f"{bases}/rows/base={number}")
+    # dealt by time, which is in the keys and orders months: versions of a key meet by the same shuffle and sort that lay out the files
+    rows = log.repartitionByRange(time).withColumn("month", month_of(time))
+    rank = F.row_number().over(Window.partitionBy("month", time, *[k for k in keys if k != time]).orderBy(*newest_first(log, tie)))
+    newest = rows.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    newest.sortWithinPartitions("month", time).write.mode("overwrite").partitionBy("month").parquet(f"{bases}/rows/base={number}")
     # written last: a base without its commits is not there
     commits(log).withColumn("base", F.lit(number)).write.mode("overwrite").parquet(f"{bases}/commits/number={number}")
 
@@ -99,8 +101,7 @@ def current(log: DataFrame, bases: str, keys: list[str], tie: Column, time: str,
     """The table's rows (with ``SYSTEM``), now or at a time: the newest base that fits and the commits that it lacks.
 
     Only folders of commits that the base lacks are read; months of the base in which they
-    have no row pass through without a shuffle, and in the others only keys that they hold
-    meet them.
+    have no row pass through without a shuffle, and the others meet them in one.
     """
     spark = log.sparkSession
     log = log if at is None else log.filter(F.col("_commit_ts") <= at)
@@ -121,8 +122,6 @@ def current(log: DataFrame, bases: str, keys: list[str], tie: Column, time: str,
     if base is None:
         return newest(tail).filter(F.col("_op") != DELETE)
     months = [r.m for r in tail.select(month_of(time).alias("m")).distinct().collect()]  # months, however many rows
-    touched, names = base.filter(F.col("month").isin(months)), tail.select(*keys).distinct()
-    meeting = newest(touched.join(names, keys, "left_semi").select(*log.columns).unionByName(tail))
-    parts = [base.filter(~F.col("month").isin(months)), touched.join(names, keys, "left_anti")]
-    rest = reduce(DataFrame.unionByName, [p.select(*log.columns) for p in parts])
-    return rest.unionByName(meeting).filter(F.col("_op") != DELETE)
+    touched, rest = base.filter(F.col("month").isin(months)), base.filter(~F.col("month").isin(months))
+    meeting = newest(touched.select(*log.columns).unionByName(tail))
+    return rest.select(*log.columns).unionByName(meeting).filter(F.col("_op") != DELETE)

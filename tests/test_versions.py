@@ -84,6 +84,23 @@ def test_bases_skip_history(spark, log, tmp_path):
     assert rows(V.current(table, bases, KEYS, TIE(), "t")) == want
 
 
+def test_bases_and_their_commits_meet_in_one_shuffle(spark, log, tmp_path):
+    table, bases = C.read(spark, log), str(tmp_path / "bases")
+    V.make_base(table.filter("_commit_seq < 2"), bases, 1, KEYS, TIE(), "t")
+    plan = V.current(table, bases, KEYS, TIE(), "t")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_many_commits_in_one_pass(spark, tmp_path):
+    path = str(tmp_path / "log")
+    put = lambda rows: C.append_commits(spark.createDataFrame(rows, "id long, v string, _writer string, _commit_seq int, _op string, _commit_ts string"), path)
+    at = "2024-06-01 00:00:00"
+    put([(1, "x", "a", 0, C.UPSERT, at), (2, "x", "a", 0, C.UPSERT, at), (1, None, "b", 0, C.DELETE, at), (3, "y", "a", 1, C.APPEND, at)])
+    put([(3, "z", "a", 1, C.APPEND, at)])  # replaces its commit only
+    C.append(spark.createDataFrame([(4, "w")], "id long, v string"), path, 1, "b", F.lit(at).cast("timestamp"))
+    assert rows(C.live_rows(C.read(spark, path), ["id"], TIE())) == [(2, "x"), (3, "z"), (4, "w")]
+
+
 def test_newest_version_is_limited_before_the_shuffle(spark, log):
     plan = C.latest_by_key(C.read(spark, log), KEYS, TIE())._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2 and "SortAggregate" not in plan

@@ -95,7 +95,7 @@ def refresh(log: DataFrame, folder: str, keys: list[str], tie: Column, foreign:
         image = lambda side: changes.filter(F.col(side).isNotNull()).select(*keys, f"{side}.*")
         added, gone = image("new"), image("old")
         delta = make(added.withColumn("_sign", F.lit(1)).unionByName(gone.withColumn("_sign", F.lit(-1))), sign="_sign")
-        ends = lambda rows: rows.groupBy(S.day().alias(U.DAY)).agg(*U.ends(foreign, tail))
+        ends = lambda rows: U.ends(rows, foreign, tail)
         parts = old_states.filter(among(F.col(U.DAY), days)).unionByName(delta, True).unionByName(ends(added), True)
         after = U.merged(parts, U.DAY).filter("n_details > 0")
         # where no amount is left, which sums are null is only known from the rows

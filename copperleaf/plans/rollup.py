@@ -51,27 +51,40 @@ def bit(name: str) -> int:
 
 
 def mask(foreign: str, tail: str | None) -> str:
-    """SQL: bits of the sums to which a row adds nothing but a missing amount."""
+    """SQL over ``kinds``: bits of the sums to which they add nothing but missing amounts."""
     parts = [f"CASE WHEN {c} THEN {bit(n)}L ELSE 0L END" for n, c in conditions(foreign, tail).items() if not n.startswith("spare_")]
-    return f"CASE WHEN amount IS NULL THEN {' | '.join(parts)} ELSE 0L END"
+    return f"CASE WHEN n_known = 0 THEN {' | '.join(parts)} ELSE 0L END"
 
 
-#: SQL of extremes and counts by name.
-EXTREMES = {"min_id": ("min", "id"), "max_id": ("max", "id"), "max_single_amount": ("max", f"CASE WHEN {EXPENSE} THEN amount END")}
-COUNTS = {"tx_count": EXPENSE, "n_details": "true", "n_amounts": "amount IS NOT NULL"}
+#: SQL over ``kinds`` of extremes and counts by name.
+EXTREMES = {"min_id": ("min", "min_id"), "max_id": ("max", "max_id"), "max_single_amount": ("max", f"CASE WHEN {EXPENSE} THEN largest END")}
+COUNTS = {"tx_count": f"CASE WHEN {EXPENSE} THEN n ELSE 0L END", "n_details": "n", "n_amounts": "n_known"}
 
 
-def ends(foreign: str, tail: str | None) -> list[Column]:
-    """What can only be added: extremes and the mask."""
+def kinds(tx: DataFrame, tail: str | None, sign: str | None = None) -> DataFrame:
+    """Rows of a day between which no condition tells, as one: a few sums a row of tx, so that the many of a state are made of far fewer rows."""
+    by = ["is_valid_tx", "direction", "tx_type", "currency", "category"]
+    card = [] if tail is None else [F.expr(f"CASE WHEN card_tail = {quoted(tail)} THEN card_tail END AS card_tail")]
+    one, times = (sign, f" * {sign}") if sign else ("1L", "")
+    sums = [f"cast(sum({one}) AS bigint) AS n", f"cast(sum(CASE WHEN amount IS NOT NULL THEN {one} ELSE 0L END) AS bigint) AS n_known", f"cast(sum(amount{times}) AS {SUM}) AS amount"]
+    most = [] if sign else ["min(id) AS min_id", "max(id) AS max_id", "max(amount) AS largest"]
+    return tx.groupBy(S.day().alias(DAY), *by, *card).agg(*map(F.expr, sums + most))
+
+
+def ends(tx: DataFrame, foreign: str, tail: str | None) -> DataFrame:
+    """What can only be added, by day: extremes and the mask."""
+    return kinds(tx, tail).groupBy(DAY).agg(*_ends(foreign, tail))
+
+
+def _ends(foreign: str, tail: str | None) -> list[Column]:
     return [F.expr(f"{f}({x}) AS {n}") for n, (f, x) in EXTREMES.items()] + [F.expr(f"bit_and({mask(foreign, tail)}) AS {MASK}")]
 
 
 def day_states(tx: DataFrame, foreign: str = "USD", tail: str | None = None, sign: str | None = None) -> DataFrame:
     """A state for each day of tx; with ``sign``, a column of 1 and -1, rows are added or taken away (then without extremes and mask)."""
-    times = f" * {sign}" if sign else ""
-    counts = [F.expr(f"sum(CASE WHEN {c} THEN 1L{times} ELSE 0L END) AS {n}") for n, c in COUNTS.items()]
-    sums = [F.expr(f"cast(sum(CASE WHEN {c} THEN amount{times} END) AS {SUM}) AS {n}") for n, c in conditions(foreign, tail).items()]
-    rows = tx.groupBy(S.day().alias(DAY)).agg(*counts, *sums, *([] if sign else ends(foreign, tail)))
+    counts = [F.expr(f"sum({x}) AS {n}") for n, x in COUNTS.items()]
+    sums = [F.expr(f"cast(sum(CASE WHEN {c} THEN amount END) AS {SUM}) AS {n}") for n, c in conditions(foreign, tail).items()]
+    rows = kinds(tx, tail, sign).groupBy(DAY).agg(*counts, *sums, *([] if sign else _ends(foreign, tail)))
     return rows.fillna(0, list(conditions(foreign, tail)))
 
 

@@ -46,6 +46,13 @@ def test_rolled_up_equals_direct(tx):
     assert table(U.monthly(states)) == table(S.monthly_summary(tx, tail="0025"))
 
 
+def test_states_are_made_of_kinds(tx):
+    """The many sums see one row for all of a day's rows between which no condition tells."""
+    many = tx.withColumn("id", F.explode(F.array("id", F.col("id") + 10_000)))
+    assert U.kinds(many, "0025").count() == U.kinds(tx, "0025").count()
+    assert table(U.daily(U.day_states(many))) == table(S.daily_summary(many))
+
+
 def test_no_rows(tx):
     states = U.day_states(tx.limit(0), tail="0025")
     assert U.daily(states).collect() == U.weekly(states).collect() == U.monthly(states).collect() == U.roll_up(states).collect() == []
